@@ -121,12 +121,12 @@ def reject_ambiguous(
 def present_keys(target: DataFrame, source: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Distinct keys found on both sides, under the source's names.
 
-    Deduplicating first lets a key that owns much of the target collapse before the shuffle.
+    Deduplicating first lets a key that owns much of either side collapse before the shuffle.
     If the source is small enough to broadcast, Catalyst moves the semi join below the
-    distinct and the target keys are reduced where they are scanned.
+    target's distinct and the target keys are reduced where they are scanned.
     """
     target_keys = target.select(*[F.col(f"`{t}`").alias(s) for t, s in keys.items()]).distinct()
-    source_keys = source.select(*[F.col(f"`{s}`") for s in keys.values()])
+    source_keys = source.select(*[F.col(f"`{s}`") for s in keys.values()]).distinct()
     return target_keys.join(source_keys, list(keys.values()), "left_semi")
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverloom.session import ensure_checkpoint_dir
+from silverloom.session import ensure_checkpoint_dir, partitions_for
 
 _SEQ = "__seq"
 _PART = "__part"
@@ -34,9 +34,8 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def _positioned(df: DataFrame, order_by: Sequence[Column | str], partitions: int | None):
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    n = partitions or partitions_for(df)
     # The hash spreads rows whose order columns are equal over several ranges.
     order = [*_columns(order_by), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     tagged = (

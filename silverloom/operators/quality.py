@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.operators.ordering import union_all
+from silverloom.session import run_each
 
 PROFILE_SCHEMA = (
     "table_name string, status string, row_count bigint, table_schema string, "
@@ -101,27 +102,31 @@ def profile(
     A table is a frame or a function that opens one. Failing to open or to read a table is
     recorded in its row and does not stop the rest.
     """
-    rows = []
-    for name, table in tables.items():
+
+    def examine(item):
+        name, table = item
         try:
             df = table() if callable(table) else table
             count = df.count()
             sample = df.limit(sample_rows).select(F.to_json(F.struct("*"))).collect()
             text = "[" + ",".join(r[0] for r in sample) + "]"
-            rows.append((name, "success", count, df.schema.simpleString(), text, None))
+            return name, "success", count, df.schema.simpleString(), text, None
         except Exception as e:  # any failure belongs in the report
-            rows.append((name, "error", None, None, None, _message(e)))
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+            return name, "error", None, None, None, _message(e)
+
+    return spark.createDataFrame(run_each(spark, tables.items(), examine), PROFILE_SCHEMA)
 
 
 def run_suite(spark: SparkSession, queries: Mapping[str, str], max_rows: int = 20) -> DataFrame:
     """Run named SQL texts; per query its status and up to ``max_rows`` rows as JSON."""
-    rows = []
-    for name, text in queries.items():
+
+    def answer(item):
+        name, text = item
         try:
             result = spark.sql(text).limit(max_rows)
             found = [r[0] for r in result.select(F.to_json(F.struct("*"))).collect()]
-            rows.append((name, "success", len(found), "[" + ",".join(found) + "]", None))
+            return name, "success", len(found), "[" + ",".join(found) + "]", None
         except Exception as e:  # any failure belongs in the report
-            rows.append((name, "error", None, None, _message(e)))
-    return spark.createDataFrame(rows, SUITE_SCHEMA)
+            return name, "error", None, None, _message(e)
+
+    return spark.createDataFrame(run_each(spark, queries.items(), answer), SUITE_SCHEMA)

@@ -1,11 +1,21 @@
-"""Where checkpoints and intermediate tables go."""
+"""Session-level helpers: scratch folders, partition counts, independent jobs."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+
+A = TypeVar("A")
+B = TypeVar("B")
+
+_PARTITION_BYTES = 128 << 20
+_MAX_PARTITIONS = 100_000
 
 
 def _shared_root(spark: SparkSession) -> str:
@@ -33,3 +43,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path not used before, in the shared folder."""
     return f"{_shared_root(spark).rstrip('/')}/silverloom/{label}-{uuid.uuid4().hex}"
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for a full exchange of ``df``: about 128 MB of scanned bytes each, and not
+    fewer than the session's shuffle setting."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # Unknown sizes are reported as huge defaults.
+    if size >= 1 << 60:
+        return floor
+    return max(floor, min(-(-size // _PARTITION_BYTES), _MAX_PARTITIONS))
+
+
+def run_each(
+    spark: SparkSession, items: Iterable[A], job: Callable[[A], B], parallelism: int = 4
+) -> list[B]:
+    """Run independent jobs side by side, so that one table's last tasks do not leave the
+    cluster idle; results keep the order of the items."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(job), items))

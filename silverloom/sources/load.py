@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from silverloom.session import run_each
+
 REPORT_SCHEMA = "table_name string, target string, status string, row_count bigint, error string"
 
 
@@ -21,16 +23,18 @@ def load_tables(
     ``write`` must run one action on the frame it is given. Rows are counted while they are
     written, not by a second scan.
     """
-    rows = []
-    for table, target in mapping.items():
+
+    def load(item):
+        table, target = item
         try:
             seen = Observation()
             write(read(table).observe(seen, F.count(F.lit(1)).alias("rows")), target)
-            rows.append((table, target, "success", seen.get.get("rows", 0), None))
+            return table, target, "success", seen.get.get("rows", 0), None
         except Exception as e:  # any failure belongs in the report
             message = f"{type(e).__name__}: {e}".splitlines()[0]
-            rows.append((table, target, "failed", None, message))
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+            return table, target, "failed", None, message
+
+    return spark.createDataFrame(run_each(spark, mapping.items(), load), REPORT_SCHEMA)
 
 
 def failed_tables(report: DataFrame) -> list[str]:
