@@ -45,17 +45,42 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/silverloom/{label}-{uuid.uuid4().hex}"
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate; None where it only has its huge default."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else None
+
+
 def partitions_for(df: DataFrame) -> int:
     """Partitions for a full exchange of ``df``: about 128 MB of scanned bytes each, and not
     fewer than the session's shuffle setting."""
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # Unknown sizes are reported as huge defaults.
-    if size >= 1 << 60:
-        return floor
+    size = estimated_bytes(df) or 0
     return max(floor, min(-(-size // _PARTITION_BYTES), _MAX_PARTITIONS))
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small table out to all cores, ahead of costly row-local work.
+
+    A scan is never split finer than ``spark.sql.files.openCostInBytes``, so a table below
+    that size per core leaves cores idle, and is cheap to exchange. Larger tables and streams
+    are returned as they are.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    size = estimated_bytes(df)
+    return df.repartition(cores) if size is not None and size < cores * split else df
+
+
+def spread_unsplit(df: DataFrame) -> DataFrame:
+    """As :func:`spread_small`, for files that cannot be split, whatever their size."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def run_each(
     spark: SparkSession, items: Iterable[A], job: Callable[[A], B], parallelism: int = 4
 ) -> list[B]:

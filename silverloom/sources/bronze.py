@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from silverloom.schemas import BRONZE_COLUMNS
+from silverloom.session import spread_small, spread_unsplit
 
 # A header, line breaks inside quotes, doubled quotes inside quotes.
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
 
 
 def read_bronze(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Read ``credits`` or ``movies``; columns are found by header name, others are ignored."""
+    """Read ``credits`` or ``movies``; columns are found by header name, others are ignored.
+
+    A multi-line file is read by one task; rows of fewer files than cores are dealt out before
+    their cells are parsed.
+    """
     df = spark.read.options(**CSV_OPTIONS).csv(path)
     wanted = BRONZE_COLUMNS[entity]
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise ValueError(f"{entity}: columns missing from the header: {', '.join(missing)}")
-    return df.select(*wanted)
+    return spread_unsplit(df.select(*wanted))
 
 
 def land_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -26,5 +31,5 @@ def land_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     A multi-line CSV file cannot be split, and each table built from it parses every cell of
     every row again. Landed once, each builder reads just the columns it needs in parallel.
     """
-    df.write.format(fmt).mode("overwrite").save(path)
+    spread_small(df).write.format(fmt).mode("overwrite").save(path)
     return df.sparkSession.read.format(fmt).load(path)

@@ -26,7 +26,7 @@ def q_pk_violations(spark, sf):
 def q_sentinel_collisions(spark, sf):
     """Rows imputed with one sentinel collide on the key they are meant to fill."""
     parts = table(spark, sf, "part").select(
-        F.when(F.col("p_size") > 25, F.format_string("c%d", F.col("p_partkey"))).alias("credit_id")
+        F.when(F.col("p_size") > 25, F.concat(F.lit("c"), F.col("p_partkey"))).alias("credit_id")
     )
     return pk_violations(parts.fillna({"credit_id": "0000000000"}), ["credit_id"])
 

@@ -8,7 +8,7 @@ from silverloom.functions import extract_value, parse_objects
 from silverloom.operators import conform, conform_report, explode_objects
 from silverloom.plans import build_movies, build_objects
 from silverloom.schemas import DATE, DOUBLE, FLOAT, INT, LONG, OBJECT_TABLES, STRING, struct
-from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
+from silverloom.workloads.inputs import bronze_credits, bronze_movies, spread_table, table
 
 _BRONZE = {"credits": bronze_credits, "movies": bronze_movies}
 
@@ -36,7 +36,12 @@ def q_silver_companies_replace(spark, sf):
 
 
 def q_explode_json_items(spark, sf):
-    lines = table(spark, sf, "lineitem")
+    lines = spread_table(
+        spark,
+        sf,
+        "lineitem",
+        *("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"),
+    )
     part = F.struct(F.col("l_partkey").alias("id"), F.col("l_returnflag").alias("name"))
     supplier = F.struct(F.col("l_suppkey").alias("id"), F.col("l_linestatus").alias("name"))
     cells = lines.select("l_orderkey", F.to_json(F.array(part, supplier)).alias("items"))
@@ -81,10 +86,16 @@ _TEXT_ORDERS = struct(
 
 def _text_orders(spark, sf):
     key, cust, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
-    return table(spark, sf, "orders").select(
+    orders = spread_table(
+        spark,
+        sf,
+        "orders",
+        *("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority"),
+    )
+    return orders.select(
         key.cast("string").alias("o_orderkey"),
-        F.when(status == "P", F.format_string("%d.7", cust))
-        .when(status == "O", F.format_string("%d00000000000", cust + 1))
+        F.when(status == "P", F.concat(cust.cast("string"), F.lit(".7")))
+        .when(status == "O", F.concat((cust + 1).cast("string"), F.lit("00000000000")))
         .otherwise(cust.cast("string"))
         .alias("o_custkey"),
         F.when(status == "P", "n/a")
@@ -93,7 +104,7 @@ def _text_orders(spark, sf):
         F.when(F.col("o_orderpriority") == "5-LOW", "2020-13-45")
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
         .alias("o_orderdate"),
-        F.format_string("%d.5", cust).alias("weight"),
+        F.concat(cust.cast("string"), F.lit(".5")).alias("weight"),
         F.col("o_orderpriority").alias("note"),
     )
 

@@ -28,6 +28,15 @@ INTS = [
     ("", None),
     (None, None),
     ("99999999999", None),
+    ("9999999999", None),
+    ("2147483647", 2147483647),
+    ("-2147483648.9", -2147483648),
+    ("000000000000000012", 12),
+    ("+4", 4),
+    ("5.99999999999999", 5),
+    ("1.2.3", None),
+    (".", None),
+    ("-", None),
     ("NaN", None),
 ]
 
@@ -48,12 +57,17 @@ def test_to_long_keeps_large_keys_exact(spark):
 
 
 def test_to_double_float_date(spark):
-    df = column(spark, ["2.5", "abc", None])
-    assert [r[0] for r in df.select(to_double("c")).collect()] == [2.5, None, None]
-    assert [r[0] for r in df.select(to_float("c")).collect()] == [2.5, None, None]
-    days = column(spark, ["2009-12-10", "2020-13-45", "soon", None])
+    df = column(spark, ["2.5", "abc", None, "1e3", " .5 ", "-7", "5 apples", "-Infinity"])
+    wanted = [2.5, None, None, 1000.0, 0.5, -7.0, None, float("-inf")]
+    assert [r[0] for r in df.select(to_double("c")).collect()] == wanted
+    assert [r[0] for r in df.select(to_float("c")).collect()] == wanted
+    days = column(
+        spark, ["2009-12-10", "2020-13-45", "2021-02-29", "2009-12-10x", "2009", "soon", None]
+    )
     got = [r[0] for r in days.select(to_date("c")).collect()]
-    assert got == [datetime.date(2009, 12, 10), None, None, None]
+    assert got == [datetime.date(2009, 12, 10)] + [None] * 6
+    dotted = column(spark, ["10.12.2009", "x"]).select(to_date("c", "dd.MM.yyyy"))
+    assert [r[0] for r in dotted.collect()] == [datetime.date(2009, 12, 10), None]
 
 
 def test_cast_to_leaves_typed_input_alone(spark):
