@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.session import ensure_checkpoint_dir
+
 
 def actor_topk(
     movies: DataFrame,
@@ -107,23 +109,70 @@ def team_consistency(
 ) -> DataFrame:
     """Per lead (say, director): movies led, distinct crew names in them, crew positions.
 
-    Answers the self-join of lead rows with all crew rows of the same movie, where a position
-    counts once per lead row, without forming that join:
-
-    * ``crew`` is first counted per (movie, name), so a huge movie is spread over its names;
-    * positions are a sum over (lead, movie) of lead rows times the movie's named rows;
-    * distinct names do need names per lead. An ordinary movie contributes its (lead, name)
-      pairs, at most ``hot_pairs`` of them. In a larger movie the pairs would be quadratic, so
-      leads are grouped by *which* large movies they led: the names of such a set are
-      counted once for all its leads, and each lead adds the names of its ordinary movies
-      that the set lacks.
+    The answer of the self-join of lead rows with all crew rows of the same movie, where a
+    position counts once per lead row. A movie of L lead rows and R rows contributes L * R
+    pairs. A first aggregate over the movies tells whether any of them exceeds ``hot_pairs``;
+    if none does, the pairs are formed and counted in two steps (per lead and name, then per
+    lead). If one does, they are not formed: see :func:`_teams_by_sets`.
     """
     rows = crew.where(F.col(movie_id).isNotNull()).select(
-        F.col(movie_id).alias("movie"), F.col(name).alias("name"), is_lead.alias("_lead")
+        F.col(movie_id).alias("movie"), F.col(name).alias("name"), is_lead.alias("is_lead")
+    )
+    sizes = rows.groupBy("movie").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_lead").alias("leads")
     )
-    # The grain everything below works on: one row per (movie, name).
-    credits = rows.groupBy("movie", "name").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("_lead").alias("lead_rows")
+    if sizes.where(_product("rows", "leads") > hot_pairs).isEmpty():
+        teams = _teams_by_join(rows, min_movies)
+    else:
+        teams = _teams_by_sets(rows, min_movies, hot_pairs)
+    return teams.orderBy(F.desc("movie_count"), F.asc_nulls_last("lead")).limit(k)
+
+
+def _product(a: str, b: str) -> Column:
+    # In floating point: the product of two counts may exceed a bigint.
+    return F.col(a).cast("double") * F.col(b)
+
+
+def _teams_by_join(rows: DataFrame, min_movies: int) -> DataFrame:
+    leads = rows.where("is_lead").select("movie", F.col("name").alias("lead"))
+    led = leads.distinct().groupBy("lead").agg(F.count(F.lit(1)).alias("movie_count"))
+    teams = (
+        leads.join(rows.where(F.col("name").isNotNull()).select("movie", "name"), "movie")
+        .groupBy("lead", "name")
+        .agg(F.count(F.lit(1)).alias("positions"))
+        .groupBy("lead")
+        .agg(F.count(F.lit(1)).alias("members"), F.sum("positions").alias("positions"))
+    )
+    zero = F.lit(0)
+    return (
+        led.where(F.col("movie_count") >= min_movies)
+        .alias("l")
+        .join(teams.alias("t"), F.col("l.lead").eqNullSafe(F.col("t.lead")), "left")
+        .select(
+            F.col("l.lead").alias("lead"),
+            "movie_count",
+            F.coalesce("members", zero).alias("unique_crew_members"),
+            F.coalesce("positions", zero).alias("total_crew_positions"),
+        )
+    )
+
+
+def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFrame:
+    """The same without forming the pairs of a large movie.
+
+    * Rows are counted per (movie, name), so a huge movie is spread over its names. This
+      table is stored once, as everything else is derived from it.
+    * Positions are a sum over (lead, movie) of lead rows times the movie's named rows.
+    * Distinct names do need names per lead. An ordinary movie contributes its distinct
+      (lead, name) pairs, at most ``hot_pairs``. For larger movies, leads are grouped by
+      *which* of them they led: the names of such a set are counted once for all its leads,
+      and each lead adds the names of its ordinary movies that the set lacks.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    credits = (
+        rows.groupBy("movie", "name")
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_lead").alias("lead_rows"))
+        .checkpoint()
     )
     movies = credits.groupBy("movie").agg(
         F.sum(F.when(F.col("name").isNotNull(), F.col("rows")).otherwise(0)).alias("positions"),
@@ -134,7 +183,7 @@ def team_consistency(
         credits.where("lead_rows > 0")
         .select("movie", F.col("name").alias("lead"), "lead_rows")
         .join(movies.where("leads > 0"), "movie")
-        .withColumn("hot", F.col("names") * F.col("leads") > F.lit(hot_pairs))
+        .withColumn("hot", _product("names", "leads") > hot_pairs)
     )
     leads = (
         led.groupBy("lead")
@@ -186,8 +235,6 @@ def team_consistency(
             ),
             "total_crew_positions",
         )
-        .orderBy(F.desc("movie_count"), F.asc_nulls_last("lead"))
-        .limit(k)
     )
 
 

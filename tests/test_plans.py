@@ -7,6 +7,8 @@ import pytest
 from silverloom.functions import parse_objects
 from silverloom.operators import length_violations, merge
 from silverloom.plans import actor_topk, build_silver
+from silverloom.session import spread_small
+from silverloom.sources import land_bronze
 from silverloom.workloads import all_queries
 from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 
@@ -30,20 +32,42 @@ def test_no_python_and_no_cross_joins(lazy_plans):
         assert not re.search(r"CartesianProduct|NestedLoopJoin", text), name
 
 
-def test_silver_builders_are_one_narrow_stage(spark):
-    tables = build_silver(bronze_credits(spark, SF), bronze_movies(spark, SF))
-    for name, df in tables.items():
+@pytest.fixture(scope="module")
+def landed_silver(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("landed")
+    credits = land_bronze(bronze_credits(spark, SF), str(root / "credits"))
+    movies = land_bronze(bronze_movies(spark, SF), str(root / "movies"))
+    return build_silver(credits, movies)
+
+
+def test_silver_builders_are_one_narrow_stage(landed_silver):
+    for name, df in landed_silver.items():
         text = plan(df)
         assert "Exchange" not in text, name
         assert text.count("from_json") <= 1, name
 
 
-def test_builders_read_their_own_columns(spark, tmp_path):
-    path = str(tmp_path / "movies")
-    bronze_movies(spark, SF).write.parquet(path)
-    landed = spark.read.parquet(path)
-    genres = plan(build_silver(bronze_credits(spark, SF), landed)["genres"])
-    assert "ReadSchema: struct<id:string,genres:string>" in genres
+def test_builders_read_their_own_columns(landed_silver):
+    assert "ReadSchema: struct<id:string,genres:string>" in plan(landed_silver["genres"])
+    assert "ReadSchema: struct<movie_id:string,title:string,crew:string>" in plan(
+        landed_silver["crew"]
+    )
+
+
+def test_only_small_tables_are_dealt_out(spark):
+    small = table(spark, SF, "orders")
+    assert spread_small(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "RoundRobinPartitioning" in plan(spread_small(small))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert "Exchange" not in plan(spread_small(table(spark, SF, "orders")))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_ordinary_teams_need_no_three_way_expansion(spark):
+    text = plan(all_queries()["team_consistency"](spark, SF))
+    assert "Expand" not in text
 
 
 def test_name_test_reaches_the_scan(spark):
