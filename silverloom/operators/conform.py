@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from silverloom.functions import cast_to
 
 
-def _converted(df: DataFrame, schema: T.StructType) -> dict[str, tuple[Column, Column]]:
+def conversions(df: DataFrame, schema: T.StructType) -> dict[str, tuple[Column, Column]]:
+    """Per column of the schema, its value before and after the cast."""
     present = {f.name: f.dataType for f in df.schema}
     missing = [f.name for f in schema if f.name not in present]
     if missing:
@@ -25,7 +26,7 @@ def _converted(df: DataFrame, schema: T.StructType) -> dict[str, tuple[Column, C
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in its order and types; unconvertible values become NULL."""
-    return df.select(*[new.alias(name) for name, (_, new) in _converted(df, schema).items()])
+    return df.select(*[new.alias(name) for name, (_, new) in conversions(df, schema).items()])
 
 
 def conform_report(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,7 +35,7 @@ def conform_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     A single scan with one global aggregate, whatever the number of columns.
     """
     before = {f.name: f.dataType.simpleString() for f in df.schema}
-    columns = _converted(df, schema)
+    columns = conversions(df, schema)
     counters = []
     for i, (old, new) in enumerate(columns.values()):
         counters.append(F.count(old).alias(f"present_{i}"))

@@ -6,6 +6,7 @@ from silverloom.plans.analytics import (
     year_revenue,
 )
 from silverloom.plans.silver import build_movies, build_objects, build_silver, write_silver
+from silverloom.plans.targets import check_targets
 
 __all__ = [
     "actor_topk",
@@ -13,6 +14,7 @@ __all__ = [
     "build_objects",
     "build_silver",
     "career_history",
+    "check_targets",
     "genre_revenue",
     "team_consistency",
     "write_silver",

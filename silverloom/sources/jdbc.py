@@ -56,6 +56,11 @@ def jdbc_write_options(
     }
 
 
+def column_types(target: TargetTable) -> str:
+    """Types for a table that does not exist yet, where the frame's types say too little."""
+    return ", ".join(f"`{c}` VARCHAR({n})" for c, n in target.lengths.items())
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
@@ -69,6 +74,9 @@ def write_jdbc(
 
     Executors write in parallel over at most ``max_connections`` connections.
     """
-    rows = df if target is None else conform(df, target.schema)
     settings = jdbc_write_options(url, table, options, max_connections)
+    rows = df
+    if target is not None:
+        rows = conform(df, target.schema)
+        settings.setdefault("createTableColumnTypes", column_types(target))
     rows.write.format("jdbc").options(**settings).mode(mode).save()

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from silverloom.operators import assign_parts
-from silverloom.plans import build_movies, build_silver, write_silver
-from silverloom.schemas import LONG, SILVER_TABLES, STRING, struct
+from silverloom.plans import build_movies, build_silver, check_targets, write_silver
+from silverloom.schemas import LONG, OBJECT_TABLES, SILVER_TABLES, STRING, struct
 from silverloom.session import scratch_path
 from silverloom.sources import (
     concat_pages,
@@ -141,13 +141,22 @@ def q_load_report(spark, sf):
     return report.select("table_name", "status", "row_count")
 
 
-def q_silver_load(spark, sf):
-    """Land bronze in columns, write all eight silver tables, report the rows of each."""
+def _load_silver(spark, sf):
     credits = land_bronze(bronze_credits(spark, sf), scratch_path(spark, "credits"))
     movies = land_bronze(bronze_movies(spark, sf), scratch_path(spark, "movies"))
     root = scratch_path(spark, "silver")
-    report = write_silver(spark, build_silver(credits, movies), root)
-    return report.select("table_name", "status", "row_count")
+    return root, write_silver(spark, build_silver(credits, movies), root)
+
+
+def q_silver_load(spark, sf):
+    """Land bronze in columns, write all eight silver tables, report the rows of each."""
+    return _load_silver(spark, sf)[1].select("table_name", "status", "row_count")
+
+
+def q_target_checks(spark, sf):
+    """The rules of the relational targets over the stored silver tables."""
+    root, _ = _load_silver(spark, sf)
+    return check_targets({name: read_table(spark, f"{root}/{name}") for name in SILVER_TABLES})
 
 
 def q_stream_ingest(spark, sf):
@@ -178,6 +187,7 @@ QUERIES = {
     "part_files": q_part_files,
     "load_report": q_load_report,
     "silver_load": q_silver_load,
+    "target_checks": q_target_checks,
     "stream_ingest": q_stream_ingest,
     "stream_insert_absent": q_stream_insert_absent,
 }
@@ -203,6 +213,14 @@ _SILVER_SIZES = {
 }
 assert set(_SILVER_SIZES) == set(SILVER_TABLES)
 
+_RULES = {name: ("type", "primary key", "foreign key", "length") for name in OBJECT_TABLES}
+_RULES["movies"] = ("type", "primary key", "length")
+# Part and maker of a line share its number; every crew entry has the same imputed id.
+_BROKEN_KEYS = {
+    "cast": "(SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))",
+    "crew": "1",
+}
+
 
 def _movies_sql():
     from silverloom.workloads.silver import SQL as silver_sql
@@ -248,6 +266,12 @@ FROM parts GROUP BY part""",
         f"SELECT '{name}' AS table_name, 'success' AS status, count(*) AS row_count FROM {rows}"
         for name, rows in _SILVER_SIZES.items()
     ),
+    "target_checks": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{rule}' AS rule, CAST("
+        f"{_BROKEN_KEYS.get(name, '0') if rule == 'primary key' else '0'} AS BIGINT) AS violations"
+        for name, rules in _RULES.items()
+        for rule in rules
+    ),
     "stream_ingest": _KEYWORDS,
     "stream_insert_absent": """
         SELECT o_custkey, min(o_orderkey) AS o_orderkey,

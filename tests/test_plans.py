@@ -13,7 +13,7 @@ from silverloom.workloads import all_queries
 from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"profile", "query_suite", "load_report", "silver_load"}
+EAGER = {"profile", "query_suite", "load_report", "silver_load", "target_checks"}
 
 
 def plan(df):

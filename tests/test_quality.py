@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from silverloom.operators import (
     conform,
     conform_report,
@@ -10,7 +12,8 @@ from silverloom.operators import (
     row_counts,
     run_suite,
 )
-from silverloom.schemas import DATE, INT, STRING, struct
+from silverloom.plans import check_targets
+from silverloom.schemas import DATE, INT, MOVIES, STRING, struct
 
 KV = "k int, v string"
 
@@ -85,6 +88,26 @@ def test_profile_isolates_failures(spark):
     assert found["late"].status == "error"
 
 
+def test_check_targets(spark):
+    movies = spark.createDataFrame([("1",), ("2",), ("x",)], "movie_id string").select(
+        "movie_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in MOVIES.fields[1:]]
+    )
+    genres = spark.createDataFrame(
+        [("1", -9999, "a"), ("1", -9999, "b"), ("9", 1, "c" * 101), (None, 1, "d")],
+        "movie_id string, id int, name string",
+    )
+    got = {(r.table_name, r.rule): r.violations for r in check_targets({"movies": movies, "genres": genres}).collect()}
+    assert got == {
+        ("movies", "type"): 1,
+        ("movies", "primary key"): 1,
+        ("movies", "length"): 0,
+        ("genres", "type"): 0,
+        ("genres", "primary key"): 2,
+        ("genres", "foreign key"): 1,
+        ("genres", "length"): 1,
+    }
+
+
 def test_run_suite(spark):
     report = run_suite(
         spark, {"dates": "SELECT DATE'2001-01-01' AS d", "bad": "SELEC", "long": "SELECT * FROM range(50)"}

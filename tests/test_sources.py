@@ -23,7 +23,7 @@ from silverloom.sources import (
     write_search_index,
     write_table,
 )
-from silverloom.sources.jdbc import jdbc_write_options, read_jdbc
+from silverloom.sources.jdbc import column_types, jdbc_write_options, read_jdbc
 from silverloom.sources.tables import APPEND, CREATE
 
 
@@ -136,6 +136,10 @@ def test_jdbc_options():
     assert (options["url"], options["dbtable"], options["driver"]) == ("jdbc:x:y", "t", "d")
 
 
+def test_jdbc_column_types():
+    assert column_types(TARGETS["genres"]) == "`name` VARCHAR(100)"
+
+
 def test_jdbc_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError, match="bounds"):
         read_jdbc(spark, "jdbc:x:y", "t", partition_column="id")
