@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.operators.skew import exchanged
+
 _HIT = "__hit"
 _COPIES = "__copies"
 
@@ -181,7 +183,7 @@ def merge(
             acts = reduce(lambda a, b: a | b, [_holds(c.condition) for c in matched])
         if check_ambiguous:
             reject_ambiguous(target, eligible, keys, acts, target_alias, source_alias)
-        condition = _every([t(a) == s(b) for a, b in keys.items()])
+        condition = exchanged([t(a) for a in keys], [s(b) for b in keys.values()])
         joined = target.alias(target_alias).join(
             eligible.withColumn(_HIT, F.lit(True)).alias(source_alias),
             condition if acts is None else condition & acts,
@@ -218,10 +220,12 @@ def _inserted(
     target, source, eligible, keys, clauses, source_condition, source_alias
 ) -> DataFrame:
     present = present_keys(target, eligible, keys).alias("__p")
-    matches = [_field(source_alias, c) == _field("__p", c) for c in keys.values()]
+    matches = exchanged(
+        [_field(source_alias, c) for c in keys.values()], [_field("__p", c) for c in keys.values()]
+    )
     if source_condition is not None:
-        matches.append(_holds(source_condition))
-    fresh = source.alias(source_alias).join(present, _every(matches), "left_anti").alias(source_alias)
+        matches = matches & _holds(source_condition)
+    fresh = source.alias(source_alias).join(present, matches, "left_anti").alias(source_alias)
 
     taken = F.lit(False)
     parts = []
@@ -276,7 +280,9 @@ def cascade_delete(
     """
     deleted = parent.where(_holds(condition)).select(F.col(f"`{key}`").alias("__deleted")).distinct()
     remaining = {
-        name: child.alias("__c").join(deleted, _field("__c", fk) == F.col("__deleted"), "left_anti")
+        name: child.alias("__c").join(
+            deleted, exchanged([_field("__c", fk)], [F.col("__deleted")]), "left_anti"
+        )
         for name, (child, fk) in children.items()
     }
     return delete_where(parent, condition), remaining

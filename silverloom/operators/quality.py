@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.operators.ordering import union_all
+from silverloom.operators.skew import exchanged
 from silverloom.session import run_each
 
 PROFILE_SCHEMA = (
@@ -59,12 +60,10 @@ def fk_orphans(
         *[F.col(f"`{p}`").alias(f"__p{i}") for i, p in enumerate(pairs.values())]
     ).distinct()
     not_null = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in pairs])
-    matches = [F.col(f"c.`{c}`") == F.col(f"__p{i}") for i, c in enumerate(pairs)]
-    return (
-        child.where(not_null)
-        .alias("c")
-        .join(parent_keys, reduce(lambda a, b: a & b, matches), "left_anti")
+    matches = exchanged(
+        [F.col(f"c.`{c}`") for c in pairs], [F.col(f"__p{i}") for i in range(len(pairs))]
     )
+    return child.where(not_null).alias("c").join(parent_keys, matches, "left_anti")
 
 
 def length_violations(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.operators.dml import present_keys, reject_ambiguous
+from silverloom.operators.skew import exchanged
 
 _HIT = "__hit"
 _VERSION = "__version"
@@ -75,7 +76,7 @@ def scd2_apply(
 
     joined = dim.alias("d").join(
         updates.withColumn(_HIT, F.lit(True)).alias("u"),
-        (F.col(f"d.`{key}`") == F.col(f"u.`{key}`")) & changed,
+        exchanged([F.col(f"d.`{key}`")], [F.col(f"u.`{key}`")]) & changed,
         "left",
     )
     hit = F.col(f"u.{_HIT}").isNotNull()
@@ -109,7 +110,7 @@ def scd2_apply(
     present = present_keys(known, updates, {key: key}).alias("p")
     added = (
         updates.alias("u")
-        .join(present, F.col(f"u.`{key}`") == F.col(f"p.`{key}`"), "left_anti")
+        .join(present, exchanged([F.col(f"u.`{key}`")], [F.col(f"p.`{key}`")]), "left_anti")
         .alias("u")
         .select(*[fresh(f.name).cast(f.dataType).alias(f.name) for f in dim.schema])
     )

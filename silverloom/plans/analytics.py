@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.operators.skew import exchanged
 from silverloom.session import ensure_checkpoint_dir
 
 
@@ -182,8 +183,18 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
     led = (
         credits.where("lead_rows > 0")
         .select("movie", F.col("name").alias("lead"), "lead_rows")
-        .join(movies.where("leads > 0"), "movie")
-        .withColumn("hot", _product("names", "leads") > hot_pairs)
+        .alias("c")
+        .join(
+            movies.where("leads > 0").alias("m"),
+            exchanged([F.col("c.movie")], [F.col("m.movie")]),
+        )
+        .select(
+            "c.movie",
+            "lead",
+            "lead_rows",
+            "positions",
+            (_product("names", "leads") > hot_pairs).alias("hot"),
+        )
     )
     leads = (
         led.groupBy("lead")
@@ -198,13 +209,14 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
 
     ordinary = led.where(~F.col("hot")).select("movie", "lead").alias("a")
     kept = leads.select("lead", "hot_set").alias("b")
-    same_lead = F.col("a.lead").eqNullSafe(F.col("b.lead"))
+    same_lead = exchanged([F.col("a.lead")], [F.col("b.lead")], null_safe=True)
     near = (
         ordinary.join(kept, same_lead)
         .select("movie", "b.lead", "hot_set")
         .join(named, "movie")
         .select("lead", "hot_set", "name")
         .distinct()
+        .alias("n")
     )
     hot_names = (
         leads.where(F.size("hot_set") > 0)
@@ -215,17 +227,22 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
         .select("hot_set", "name")
         .distinct()
     )
+    in_set = exchanged(
+        [F.col("n.hot_set"), F.col("n.name")], [F.col("h.hot_set"), F.col("h.name")]
+    )
     near_count = (
-        near.join(hot_names, ["hot_set", "name"], "left_anti")
+        near.join(hot_names.alias("h"), in_set, "left_anti")
         .groupBy("lead")
         .agg(F.count(F.lit(1)).alias("near_names"))
         .alias("n")
     )
     hot_count = hot_names.groupBy("hot_set").agg(F.count(F.lit(1)).alias("hot_names"))
     zero = F.lit(0)
+    # Most leads share the empty set.
+    of_set = exchanged([F.col("l.hot_set")], [F.col("s.hot_set")])
     return (
-        leads.join(hot_count, "hot_set", "left")
-        .alias("l")
+        leads.alias("l")
+        .join(hot_count.alias("s"), of_set, "left")
         .join(near_count, F.col("l.lead").eqNullSafe(F.col("n.lead")), "left")
         .select(
             F.col("l.lead").alias("lead"),

@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from silverloom.functions import parse_objects
-from silverloom.operators import length_violations, merge
+from silverloom.operators import cascade_delete, fk_orphans, length_violations, merge
 from silverloom.plans import actor_topk, build_silver
 from silverloom.session import spread_small
 from silverloom.sources import land_bronze
@@ -96,9 +97,56 @@ def test_large_source_reuses_the_key_partitioning(spark):
         text = plan(merge(target, source, "c_custkey"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Two full sides, source rows again for the anti join, and the keys of both sides.
-    assert text.count("Exchange hashpartitioning(c_custkey") == 5
     assert "FullOuter" not in text
+    # Distinct keys of both sides meet without a further exchange.
+    semi = text[text.index("LeftSemi") :]
+    assert semi.count("Exchange hashpartitioning(c_custkey") == 2
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+@pytest.fixture
+def everything_is_large(spark):
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SKEW:
+        spark.conf.unset(key)
+
+
+def finished(df):
+    df.collect()
+    return plan(df)
+
+
+def hot_table(spark):
+    """A key that holds a third of 120,000 rows, in many map tasks."""
+    return spark.range(0, 120_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+
+
+def test_a_hot_key_is_split(spark, everything_is_large):
+    hot = hot_table(spark)
+    others = spark.range(0, 100_000, 1, 4).selectExpr("id AS k", "id AS v")
+    unique = others.groupBy("k").agg(F.max("v").alias("v"))
+    few_left = others.where("k > 200")
+
+    assert "skew=true" in finished(fk_orphans(hot, others, ["k"]))
+    assert "skew=true" in finished(cascade_delete(others, "k", "v > 9", {"c": (hot, "k")})[1]["c"])
+    updated = merge(hot, unique, "k", not_matched=[])
+    assert "skew=true" in finished(updated)
+    assert updated.count() == 120_000
+    inserted = merge(few_left, hot, "k", matched=[])
+    assert "skew=true" in finished(inserted)
+    assert inserted.where("k = 7").count() == 40_001
 
 
 def test_row_checks_do_not_shuffle(spark):
