@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from silverloom.session import ensure_checkpoint_dir, partitions_for
 
 _SEQ = "__seq"
+_TASK = "__task"
 _PART = "__part"
 _OFFSET = "__offset"
 _TOTAL = "__total"
@@ -36,11 +37,14 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 def _positioned(df: DataFrame, order_by: Sequence[Column | str], partitions: int | None):
     ensure_checkpoint_dir(df.sparkSession)
     n = partitions or partitions_for(df)
-    # The hash spreads rows whose order columns are equal over several ranges.
-    order = [*_columns(order_by), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    # Rows whose order columns are equal can be cut apart by the hash, and copies of one row
+    # by the task that read them, so no value has to fit into one range.
+    order = [*_columns(order_by), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col(_TASK)]
     tagged = (
-        df.repartitionByRange(n, *order)
+        df.withColumn(_TASK, F.spark_partition_id())
+        .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
+        .drop(_TASK)
         .withColumn(_SEQ, F.monotonically_increasing_id())
     )
     # Range bounds come from a sample, so a second evaluation could cut elsewhere: the tagged

@@ -68,8 +68,10 @@ def genre_revenue(
     tagged = genres.groupBy(movie_id, F.col(name).alias("genre")).agg(
         F.count(F.lit(1)).alias("_times")
     )
+    same_movie = exchanged([F.col(f"e.{movie_id}")], [F.col(f"g.{movie_id}")])
     return (
-        earned.join(tagged, movie_id)
+        earned.alias("e")
+        .join(tagged.alias("g"), same_movie)
         .groupBy("genre")
         .agg(
             F.sum(F.col("_total") * F.col("_times")).alias("_revenue"),

@@ -41,6 +41,14 @@ def test_positions_with_one_dominant_value(spark):
     assert max(hot) - min(hot) == len(hot) - 1
 
 
+def test_copies_of_one_row_are_cut_apart(spark):
+    df = spark.range(0, 8000, 1, 16).select(F.lit(5).alias("v"), F.lit("copy").alias("w"))
+    got = with_position(df, ["v"], partitions=8).cache()
+    assert sorted(r.position for r in got.collect()) == list(range(8000))
+    per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task <= 4000
+
+
 def test_descending_order_with_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 9)], "id int, v int")
     got = with_position(df, [F.desc_nulls_last("v"), "id"])
