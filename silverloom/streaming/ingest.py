@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from silverloom.functions.json_cells import NATIVE
 from silverloom.operators.dml import absent_rows
@@ -65,15 +67,13 @@ def ingest_absent(
 
     A batch that is run again after a failure finds its keys present and adds nothing twice.
     """
-
     schema = stream.schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
         existing = batch.sparkSession.read.schema(schema).parquet(target)
         absent_rows(existing, batch, key, order_by).write.mode("append").parquet(target)
 
-    # The target exists from the start, so each batch can read it.
-    stream.sparkSession.createDataFrame([], schema).write.mode("append").parquet(target)
+    _ensure_table(stream.sparkSession, schema, target)
     query = (
         stream.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
@@ -81,3 +81,13 @@ def ingest_absent(
         .start()
     )
     query.awaitTermination()
+
+
+def _ensure_table(spark: SparkSession, schema: StructType, target: str) -> None:
+    """An empty table at a new path, so that the first batch can read it too."""
+    try:
+        spark.read.schema(schema).parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([], schema).write.parquet(target)

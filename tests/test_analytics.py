@@ -11,16 +11,14 @@ from silverloom.plans import (
     year_revenue,
 )
 
-MOVIES = "movie_id string, title string, revenue double, release_date date"
-
-
 def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
 def test_actor_topk_orders_nulls_last_and_breaks_ties(spark):
-    movies = spark.sql(
-        "SELECT * FROM VALUES ('1','A',5D),('2','B',NULL),('3','C',9D),('4','D',9D) AS t(movie_id,title,revenue)"
+    movies = spark.createDataFrame(
+        [("1", "A", 5.0), ("2", "B", None), ("3", "C", 9.0), ("4", "D", 9.0)],
+        "movie_id string, title string, revenue double",
     )
     cast = spark.createDataFrame(
         [(m, n) for m in "1234" for n in ("Tom Cruise", "tom cruise jr", "Other")],
@@ -125,7 +123,12 @@ def test_team_ranking_ties(spark):
 
 def test_career_history(spark):
     crew = spark.createDataFrame(
-        [("1", "Ahmet", "Editor"), ("2", "Ahmet", "Director"), ("2", "Else", "Writer"), ("3", "Ahmet", "Gaffer")],
+        [
+            ("1", "Ahmet", "Editor"),
+            ("2", "Ahmet", "Director"),
+            ("2", "Else", "Writer"),
+            ("3", "Ahmet", "Gaffer"),
+        ],
         "movie_id string, name string, job string",
     )
     movies = spark.sql(

@@ -96,7 +96,8 @@ def test_check_targets(spark):
         [("1", -9999, "a"), ("1", -9999, "b"), ("9", 1, "c" * 101), (None, 1, "d")],
         "movie_id string, id int, name string",
     )
-    got = {(r.table_name, r.rule): r.violations for r in check_targets({"movies": movies, "genres": genres}).collect()}
+    report = check_targets({"movies": movies, "genres": genres}).collect()
+    got = {(r.table_name, r.rule): r.violations for r in report}
     assert got == {
         ("movies", "type"): 1,
         ("movies", "primary key"): 1,

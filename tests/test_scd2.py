@@ -129,7 +129,10 @@ def test_repeats_that_do_not_clash_follow_the_staged_merge(spark):
 
 
 def test_columns_the_update_lacks_are_null_in_new_versions(spark):
-    dim = spark.createDataFrame([(1, "s", True, "1990", None, "x")], "k int, state string, flag boolean, a string, b string, note string")
+    dim = spark.createDataFrame(
+        [(1, "s", True, "1990", None, "x")],
+        "k int, state string, flag boolean, a string, b string, note string",
+    )
     upd = spark.createDataFrame([(1, "t", "1995")], "k int, state string, a string")
     got = scd2_apply(dim, upd, "k", ["state"], flag="flag", start="a", end="b")
     assert rows(got) == sorted(
