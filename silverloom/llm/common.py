@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import string
+import tempfile
+import zipfile
 from collections.abc import Sequence
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +37,25 @@ def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions that run there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="code-")  # the driver serves the archive until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def words(text: Column) -> Column:
     """The maximal runs of characters other than ASCII white space; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")

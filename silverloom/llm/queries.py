@@ -1,8 +1,11 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from silverloom.llm import lines, shards, urls
+from silverloom.llm import lines, mixing, pii, shards, token_ids, urls
 
 QUERIES = {
+    "op2_token_ids": token_ids.op2_token_ids,
+    "op3_pii": pii.op3_pii,
+    "op6_mixing": mixing.op6_mixing,
     "op8_url_filters": urls.op8_url_filters,
     "op9_sharding": shards.op9_sharding,
     "op10_quality_rules": lines.op10_quality_rules,
