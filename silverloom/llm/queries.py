@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from silverloom.llm import lines, mixing, pii, shards, token_ids, urls
+from silverloom.llm import bpe, lines, mixing, pii, shards, token_counts, token_ids, urls
 
 QUERIES = {
     "op2_token_ids": token_ids.op2_token_ids,
     "op3_pii": pii.op3_pii,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op6_mixing": mixing.op6_mixing,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_url_filters": urls.op8_url_filters,
     "op9_sharding": shards.op9_sharding,
     "op10_quality_rules": lines.op10_quality_rules,
