@@ -76,14 +76,13 @@ def mix_sources(
 
     Sources in code point order, null last, weigh ``weights`` in turn. Every document is taken
     as many whole times as its source's target holds the source, and a seeded sample once more:
-    documents are dealt by a hash of their id into cells of a size class; in each class the
-    first cells up to the fraction are taken, then, from the largest class down, one more cell
-    where it still fits. So the taken words come as near to the target as cells are small, long
-    documents or not. Repeated ids share a cell; null texts have size 0 and are taken 0 times
+    documents are dealt by a hash of their id into cells of a size class; from the largest class
+    down, the first cells that come nearest to the fraction are taken, and what a class falls
+    short or goes beyond is carried to the next. So short documents make up for long ones. Repeated ids share a cell; null texts have size 0 and are taken 0 times
     beyond the whole repetitions; an empty table gives an empty one.
 
     Cells are summed partially before the shuffle, so a source with a third of the rows is at
-    most 4,096 rows per size class; the plan (a row per source and size class) is stored, so the
+    most 4,096 cells per size class, the largest group that meets; the plan (a row per source and size class) is stored, so the
     planner broadcasts it only if it is small. Columns of ``docs`` named like new ones are replaced.
     """
     new = ["size", "source_size", "target", "reps"]
@@ -118,44 +117,44 @@ def mix_sources(
         "__source", "source_size", words_.alias("target"), whole.alias("__whole")
     ).withColumn("__need", F.col("target") - F.col("source_size") * F.col("__whole"))
 
-    by_cell = Window.partitionBy(*keys).orderBy("__cell")
-    run = by_cell.rowsBetween(Window.unboundedPreceding, 0)
-    everything = by_cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    fits = F.col("__sum") <= F.col("__all") * F.when(
-        F.col("source_size") > 0, F.col("__need") / F.col("source_size")
-    ).otherwise(0)
+    run = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
+    source_columns = ["__source", "source_size", "target", "__whole", "__need"]
     classes = (
-        cells.withColumns({"__sum": F.sum("__words").over(run), "__all": F.sum("__words").over(everything)})
-        .join(goal, "__source")
-        .groupBy("__source", "source_size", "target", "__whole", "__need", "__class")
+        cells.withColumn("sum", F.sum("__words").over(run))
+        .groupBy(*keys)
         .agg(
-            F.coalesce(F.max(F.when(fits, F.col("__cell"))), F.lit(-1)).alias("last"),
-            F.coalesce(F.max(F.when(fits, F.col("__sum"))), F.lit(0)).alias("sum"),
-            F.min(F.when(~fits, F.struct("__cell", "__words"))).alias("next"),
+            F.max("sum").alias("all"),
+            F.sort_array(F.collect_list(F.struct(F.col("__cell").alias("cell"), "sum"))).alias(
+                "cells"
+            ),
         )
-        .groupBy("__source", "source_size", "target", "__whole", "__need")
+        .join(goal, "__source")
+        .groupBy(*source_columns)
         .agg(
             F.sort_array(
-                F.collect_list(F.struct(F.col("__class").alias("class"), "last", "sum", "next")),
+                F.collect_list(F.struct(F.col("__class").alias("class"), "all", "cells")),
                 asc=False,
             ).alias("classes")
         )
     )
+    part = F.when(F.col("source_size") > 0, F.col("__need") / F.col("source_size")).otherwise(0.0)
 
     def settle(acc: Column, x: Column) -> Column:
-        more = F.coalesce(x["next"]["__words"] <= acc["left"], F.lit(False))
-        last = F.when(more, x["next"]["__cell"]).otherwise(x["last"])
+        goal = acc["left"] + x["all"] * part
+        fits = F.size(F.filter(x["cells"], lambda c: c["sum"] <= goal))
+        below, above = F.get(x["cells"], fits - 1), F.get(x["cells"], fits)
+        nearer = above["sum"] - goal < goal - F.coalesce(below["sum"], F.lit(0))
+        last = F.when(nearer, above).otherwise(below)
+        step = F.struct(
+            x["class"].alias("class"), F.coalesce(last["cell"], F.lit(-1)).alias("last")
+        )
         return F.struct(
-            (acc["left"] - F.when(more, x["next"]["__words"]).otherwise(0)).alias("left"),
-            F.concat(
-                acc["plan"], F.array(F.struct(x["class"].alias("class"), last.alias("last")))
-            ).alias("plan"),
+            (goal - F.coalesce(last["sum"], F.lit(0))).alias("left"),
+            F.concat(acc["plan"], F.array(step)).alias("plan"),
         )
 
-    taken = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x["sum"])
     start = F.struct(
-        (F.col("__need") - taken).alias("left"),
-        F.array().cast("array<struct<class: int, last: int>>").alias("plan"),
+        F.lit(0.0).alias("left"), F.array().cast("array<struct<class: int, last: int>>").alias("plan")
     )
     plan = classes.withColumn(
         "__plan", F.aggregate("classes", start, settle, lambda a: a["plan"])
