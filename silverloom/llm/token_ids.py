@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +33,7 @@ _HEAD = struct.Struct("<4sBBI")  # magic, bits per plane, planes, ids
 _MAGIC = b"BPL1"
 #: Chunks of text kept with their ids in each Python worker; emptied when full.
 _CACHE = 400_000
+_LONGEST_CHUNK = 64
 
 _BLOCK_SCHEMA = (
     "part int, block long, first long, n int, payload binary, "
@@ -72,31 +75,64 @@ def unpack_block(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(octets).view("<u4").reshape(-1)
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte that is no printable Latin-1 character as 256 + its
+    place among those."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
 
 
-def encode_texts(texts: Iterable[str | None], tokenizer: str) -> Iterator[bytes]:
-    """Ids of each whole text, as little-endian unsigned 32-bit integers.
+class ChunkEncoder:
+    """Ids of whole texts, by chunks between blanks and line breaks that are kept once seen.
 
-    For tokenizers whose tokens never hold a blank or a line break and do not look across one:
-    the text is cut there, and a chunk seen before is not encoded again.
+    For tokenizers that normalise to NFC and lower case, and whose pieces are runs of letters,
+    single digits or runs of other signs, without white space. There a cut at a blank or line
+    break, and before a full stop or comma after a letter, changes no id, and a word of Latin letters
+    is one piece that the model can be asked for without the steps before it.
     """
-    encoder, known = _tokenizer(tokenizer)
-    cut = [(text or "").replace("\n", " ").split(" ") for text in texts]
-    if len(known) > _CACHE:
-        known.clear()
-    fresh = list({w for words in cut for w in words if w not in known})
-    for i in range(0, len(fresh), 1000):
-        some = fresh[i : i + 1000]
-        for word, found in zip(some, encoder.encode_batch(some, add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-    for words in cut:
-        yield b"".join(map(known.__getitem__, words))
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {}
+
+    @staticmethod
+    def _is_word(chunk: str) -> bool:
+        letters = chunk.isalpha() and max(chunk) < "\u0250"
+        return letters and unicodedata.is_normalized("NFC", chunk) and chunk.lower().isalpha()
+
+    def _new(self, chunk: str) -> bytes:
+        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha():
+            ids = self._get(chunk[:-1]) + self._get(chunk[-1])
+        elif self._is_word(chunk):
+            word = chunk.lower().encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        else:
+            found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            ids = np.array(found, "<u4").tobytes()
+        if len(chunk) <= _LONGEST_CHUNK:
+            if len(self.known) > _CACHE:
+                self.known.clear()
+            self.known[chunk] = ids
+        return ids
+
+    def _get(self, chunk: str) -> bytes:
+        ids = self.known.get(chunk)
+        return self._new(chunk) if ids is None else ids
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit integers."""
+        return b"".join(map(self._get, text.replace("\n", " ").split(" ")))
+
+
+@lru_cache(maxsize=2)
+def _chunk_encoder(path: str) -> ChunkEncoder:
+    return ChunkEncoder(path)
 
 
 class _Blocks:
@@ -156,6 +192,8 @@ def write_token_ids(
 ) -> None:
     """Encode every whole text and store the ids in ascending ``doc_id`` order.
 
+    ``tokenizer`` is a file whose kind :class:`ChunkEncoder` describes.
+
     Null texts are empty; null ids come first; rows with one doc_id are ordered by their texts
     and all kept. Without ``end_id`` an empty document has no ids and leaves no trace. Documents
     are range partitioned, with the text's hash and the reading task as tie-breaks, so repeated
@@ -174,11 +212,12 @@ def write_token_ids(
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _chunk_encoder(tokenizer)
         blocks = _Blocks(TaskContext.get().partitionId(), block, bits)
         for batch in batches:
-            ids = encode_texts(batch.column("text").to_pylist(), tokenizer)
-            for key, found in zip(batch.column("doc_id").to_pylist(), ids):
-                for row in blocks.feed(key, np.frombuffer(found + end, "<u4")):
+            for key, text in zip(batch.column("doc_id"), batch.column("text")):
+                ids = np.frombuffer(encoder.encode(text.as_py() or "") + end, "<u4")
+                for row in blocks.feed(key.as_py(), ids):
                     yield _block_rows([row])
         if blocks.held:
             yield _block_rows([blocks.close()])
