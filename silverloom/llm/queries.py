@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from silverloom.llm import bpe, lines, mixing, pii, shards, token_counts, token_ids, urls
+from silverloom.llm import ann, bpe, jaccard, lines, mixing, pii, shards, token_counts, token_ids, urls
 
 QUERIES = {
+    "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_token_ids": token_ids.op2_token_ids,
     "op3_pii": pii.op3_pii,
+    "op4_nearest": ann.op4_nearest,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_mixing": mixing.op6_mixing,
     "op7_byte_bpe": bpe.op7_byte_bpe,

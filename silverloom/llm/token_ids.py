@@ -107,7 +107,7 @@ class ChunkEncoder:
         return letters and unicodedata.is_normalized("NFC", chunk) and chunk.lower().isalpha()
 
     def _new(self, chunk: str) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha():
+        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].lower().isalpha():
             ids = self._get(chunk[:-1]) + self._get(chunk[-1])
         elif self._is_word(chunk):
             word = chunk.lower().encode().decode("latin-1").translate(self.letters)
