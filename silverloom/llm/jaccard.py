@@ -6,10 +6,11 @@ every shingle ``s``: the set of all shingles up to ``s`` in one fixed order, rar
 metric of the symmetric difference, a document and one linked to it lie within their few
 differing shingles of each other, so by the triangle inequality both meet such a pivot within
 their first ``n - ceil(t n) + 1`` shingles. A document is replicated into just these regions, and
-two linked documents share one.
+two linked documents share one. In the first that they share, the smaller of the two stands even within its first
+``n - ceil(2 t n / (1 + t)) + 1``; a region needs such an "early" member in each pair.
 
-Within a region documents are the pivots, under the Jaccard distance, with radius ``r = 1 - t``.
-All members are compared with the pivot. Those within ``r`` are its cell; they are linked and one
+Within a region early documents are the pivots, under the Jaccard distance, with radius
+``r = 1 - t``. All members are compared with the pivot. Those within ``r`` are its cell; they are linked and one
 component. Members beyond ``2 r`` cannot be linked to the cell. So the cell goes on with the
 boundary (between ``r`` and ``2 r``) as one region, boundary and rest as another, and both are
 joined in the same way. Regions that have become one component are done; those of a few members are compared
@@ -196,7 +197,8 @@ def _windows(often: np.ndarray, share: int, parts: int):
             place = np.arange(len(t.text)) - t.first[t.text]
             kept = new[t.text] & (place < reach[t.text])
             text = t.text[kept]
-            return t.hashes[order][kept].view(np.int64), t.marks[0][text], t.sizes[text]
+            hashes = t.hashes[order][kept].view(np.int64)
+            return hashes, t.marks[0][text], t.sizes[text].astype(np.int64), place[kept]
 
         return work, None
 
@@ -254,14 +256,25 @@ def ngram_join(
     for row in slots.groupBy("slot").agg(F.sum("often")).collect():
         often[row[0]] = row[1]
 
-    keyed = _by_texts(source, "region long, node long, n long", _windows(often, share, parts), size)
+    keyed = _by_texts(
+        source, "region long, node long, n long, at long", _windows(often, share, parts), size
+    )
+    # ceil(2 t n / (1 + t)) in whole numbers.
+    both = F.ceil(F.lit(2 * share) * F.col("n") / F.lit(parts + share))
+    keyed = keyed.withColumn("early", F.col("at") <= F.col("n") - both)
     everyone = Window.partitionBy("region").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     regions = stored(
-        keyed.withColumns({"lo": F.min("node").over(everyone), "hi": F.max("node").over(everyone)})
-        .where("lo < hi")
-        .select("region", "node", F.lit(0).alias("settled"))
+        keyed.withColumns(
+            {
+                "lo": F.min("node").over(everyone),
+                "hi": F.max("node").over(everyone),
+                "any": F.max("early").over(everyone),
+            }
+        )
+        .where("lo < hi AND any")
+        .select("region", "node", "n", "at", "early", F.lit(0).alias("settled"))
         .distinct(),
         "join-regions",
     )
@@ -305,9 +318,10 @@ def _level(
             F.count(F.lit(1)).alias("members"),
             F.min("component").alias("lo"),
             F.max("component").alias("hi"),
-            F.min(F.struct("settled", "node", "component")).alias("pivot"),
+            F.min(F.struct(~F.col("early"), "settled", "node", "component")).alias("pivot"),
+            F.max("early").alias("any"),
         )
-        .where("lo < hi")
+        .where("lo < hi AND any")
         .select(
             "region",
             "members",
@@ -317,12 +331,17 @@ def _level(
     )
     here = stored(split_join(here, open_, ["region"], "inner"), "join-level")
     small, large = here.where(F.col("members") <= LEAF), here.where(F.col("members") > LEAF)
-    other = small.select("region", F.col("node").alias("b"), F.col("component").alias("other"))
+    one, other = (
+        small.select("region", *[F.col(x).alias(f"{x}{end}") for x in ("node", "component", "n", "at")])
+        for end in "ab"
+    )
+    # What two sets can still have in common from the places of this shingle on.
+    most = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
     pairs = (
-        small.select("region", F.col("node").alias("a"), "component")
-        .join(other, "region")
-        .where("a < b AND component <> other")
-        .select("a", "b")
+        one.join(other, "region")
+        .where("nodea < nodeb AND componenta <> componentb")
+        .where(_linked(most, F.col("na"), F.col("nb"), share, parts))
+        .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
     )
     stars = large.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     pairs = pairs.union(stars).distinct()
@@ -334,20 +353,7 @@ def _level(
     found = stored(found, "join-pairs")
     near = found.where(_linked(F.col("common"), F.col("na"), F.col("nb"), share, parts))
 
-    # Links between components, then every node's component anew.
-    ends = near.select("a", "b")
-    for end in ("a", "b"):
-        ends = split_join(
-            ends, labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), [end], "inner"
-        )
-    merged = components(ends.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
-    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
-    labels = stored(
-        split_join(labels, merged, ["component"], "left").select(
-            "node", F.coalesce("into", "component").alias("component")
-        ),
-        "join-labels",
-    )
+    labels = _relabel(labels, near)
 
     # Distance from the pivot, in parts of the whole: within r, within 2 r, or beyond.
     union = F.col("na") + F.col("nb") - F.col("common")
@@ -360,29 +366,41 @@ def _level(
         .otherwise(2)
         .alias("ring"),
     )
+    own = ["node", "n", "at", "early", "settled"]
     ringed = split_join(
-        large.where("node <> pivot").select("region", "pivot", "node", "settled"),
+        large.where("node <> pivot").select("region", "pivot", *own),
         measured,
         ["pivot", "node"],
         "inner",
     )
     name = F.xxhash64("region", "pivot", "cell")
-    cell = ringed.where("ring <= 1").select(
-        "region", "pivot", F.lit(0).alias("cell"), "node",
-        F.when(F.col("ring") == 0, 1).otherwise(F.col("settled")).alias("settled"), "ring",
-    )
-    rest = ringed.where("ring >= 1").select(
-        "region", "pivot", F.lit(1).alias("cell"), "node", "settled", "ring"
-    )
+    ringed = ringed.withColumn("settled", F.when(F.col("ring") == 0, 1).otherwise(F.col("settled")))
+    cell = ringed.where("ring <= 1").select("region", "pivot", F.lit(0).alias("cell"), *own)
+    rest = ringed.where("ring >= 1").select("region", "pivot", F.lit(1).alias("cell"), *own)
     # A cell without a boundary has nothing to be compared with.
     edge = ringed.where("ring = 1").select("region", "pivot").distinct()
     cell = split_join(cell, edge, ["region", "pivot"], "left_semi")
     regions = stored(
-        cell.union(rest).select(name.alias("region"), "node", "settled"), "join-regions"
+        cell.union(rest).select(name.alias("region"), *own), "join-regions"
     )
     return regions, labels, not regions.isEmpty()
 
 
+def _relabel(labels: DataFrame, near: DataFrame) -> DataFrame:
+    """Every node's component anew, after links between nodes (a, b)."""
+    ends = near.select("a", "b")
+    if ends.isEmpty():
+        return labels
+    for end in ("a", "b"):
+        named = labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+        ends = split_join(ends, named, [end], "inner")
+    merged = components(ends.select(F.col("ca").alias("u"), F.col("cb").alias("v")))
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    new = split_join(labels, merged, ["component"], "left")
+    component = F.coalesce("into", "component").alias("component")
+    return stored(new.select("node", component), "join-labels")
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without those linked to a document of smaller id. Rows that share an
     id stay or go together, those without one stay."""
