@@ -57,7 +57,9 @@ def to_float(c: Column | str) -> Column:
 def to_date(c: Column | str, pattern: str = ISO_DATE) -> Column:
     column = _col(c)
     if pattern == ISO_DATE:
-        return F.when(column.rlike(_ISO_DATE_TEXT), column.try_cast("date"))
+        # Only text has to look like a date; a timestamp is cut to its day.
+        typed = F.typeof(column) != "string"
+        return F.when(typed | column.rlike(_ISO_DATE_TEXT), column.try_cast("date"))
     return F.try_to_date(column, pattern)
 
 

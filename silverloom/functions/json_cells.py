@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 NATIVE = "native"
 REPLACE = "replace"
 
+#: A value of any size, a number of any length, any depth: by default the reader gives the
+#: whole cell up beyond its limits.
+UNLIMITED = {
+    name: "2147483647" for name in ("maxStringLen", "maxNumLen", "maxNestingDepth")
+}
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -38,24 +44,26 @@ def parse_objects(c: Column | str, fields: Sequence[str], quote_mode: str = NATI
 
     NULL, empty or broken text gives NULL. A missing key or JSON null gives a NULL field, a
     null element stays an element, and the last of two equal keys wins. Only the fields
-    asked for are materialised.
+    asked for are materialised. Size, length of numbers and depth are not limited, but for
+    ``replace``, which loses cells nested deeper than 1,000 levels.
     """
     _check_mode(quote_mode)
     text = _col(c)
     element = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     if quote_mode == NATIVE:
         # The reader would wrap a lone root object into a one-element array.
-        return F.when(_starts_with(text, "["), F.from_json(text, T.ArrayType(element)))
+        return F.when(_starts_with(text, "["), F.from_json(text, T.ArrayType(element), UNLIMITED))
 
     # The reader stops after the first complete value. Placing the cell before a sentinel in
     # an outer object makes anything that follows the array break the parse.
     guarded = F.from_json(
         F.concat(F.lit('{"cell":'), _double_quoted(text), F.lit(',"end":1}')),
         "cell array<string>, end string",
+        UNLIMITED,
     )
     elements = F.when(guarded["end"] == "1", guarded["cell"])
     return F.when(
-        _starts_with(text, "["), F.transform(elements, lambda e: F.from_json(e, element))
+        _starts_with(text, "["), F.transform(elements, lambda e: F.from_json(e, element, UNLIMITED))
     )
 
 
@@ -64,4 +72,4 @@ def extract_value(c: Column | str, key: str, quote_mode: str = NATIVE) -> Column
     _check_mode(quote_mode)
     text = _col(c) if quote_mode == NATIVE else _double_quoted(_col(c))
     schema = T.StructType([T.StructField(key, T.StringType())])
-    return F.when(_starts_with(text, "{"), F.from_json(text, schema).getField(key))
+    return F.when(_starts_with(text, "{"), F.from_json(text, schema, UNLIMITED).getField(key))

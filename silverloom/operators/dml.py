@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.operators.skew import exchanged
+from silverloom.operators.skew import common_type, exchanged, key_of
 
 _HIT = "__hit"
 _COPIES = "__copies"
@@ -129,6 +129,8 @@ def present_keys(target: DataFrame, source: DataFrame, keys: Mapping[str, str])
     """
     target_keys = target.select(*[F.col(f"`{t}`").alias(s) for t, s in keys.items()]).distinct()
     source_keys = source.select(*[F.col(f"`{s}`") for s in keys.values()]).distinct()
+    for s in keys.values():
+        common_type(target_keys.schema[s].dataType, source_keys.schema[s].dataType)
     return target_keys.join(source_keys, list(keys.values()), "left_semi")
 
 
@@ -183,7 +185,10 @@ def merge(
             acts = reduce(lambda a, b: a | b, [_holds(c.condition) for c in matched])
         if check_ambiguous:
             reject_ambiguous(target, eligible, keys, acts, target_alias, source_alias)
-        condition = exchanged([t(a) for a in keys], [s(b) for b in keys.values()])
+        condition = exchanged(
+            [key_of(target, a, target_alias) for a in keys],
+            [key_of(source, b, source_alias) for b in keys.values()],
+        )
         joined = target.alias(target_alias).join(
             eligible.withColumn(_HIT, F.lit(True)).alias(source_alias),
             condition if acts is None else condition & acts,
@@ -219,13 +224,14 @@ def _updated_columns(target, matched, t, s) -> list[Column]:
 def _inserted(
     target, source, eligible, keys, clauses, source_condition, source_alias
 ) -> DataFrame:
-    present = present_keys(target, eligible, keys).alias("__p")
+    present = present_keys(target, eligible, keys)
     matches = exchanged(
-        [_field(source_alias, c) for c in keys.values()], [_field("__p", c) for c in keys.values()]
+        [key_of(source, c, source_alias) for c in keys.values()],
+        [key_of(present, c, "__p") for c in keys.values()],
     )
     if source_condition is not None:
         matches = matches & _holds(source_condition)
-    fresh = source.alias(source_alias).join(present, matches, "left_anti").alias(source_alias)
+    fresh = source.alias(source_alias).join(present.alias("__p"), matches, "left_anti").alias(source_alias)
 
     taken = F.lit(False)
     parts = []
@@ -281,7 +287,7 @@ def cascade_delete(
     deleted = parent.where(_holds(condition)).select(F.col(f"`{key}`").alias("__deleted")).distinct()
     remaining = {
         name: child.alias("__c").join(
-            deleted, exchanged([_field("__c", fk)], [F.col("__deleted")]), "left_anti"
+            deleted, exchanged([key_of(child, fk, "__c")], [key_of(deleted, "__deleted")]), "left_anti"
         )
         for name, (child, fk) in children.items()
     }

@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.operators.ordering import union_all
-from silverloom.operators.skew import exchanged
+from silverloom.operators.skew import exchanged, key_of
 from silverloom.session import run_each
 
 PROFILE_SCHEMA = (
     "table_name string, status string, row_count bigint, table_schema string, "
     "sample string, error string"
 )
-SUITE_SCHEMA = "query string, status string, row_count int, result string, error string"
+SUITE_SCHEMA = (
+    "query string, status string, rows_shown int, truncated boolean, result string, error string"
+)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -61,7 +63,8 @@ def fk_orphans(
     ).distinct()
     not_null = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in pairs])
     matches = exchanged(
-        [F.col(f"c.`{c}`") for c in pairs], [F.col(f"__p{i}") for i in range(len(pairs))]
+        [key_of(child, c, "c") for c in pairs],
+        [key_of(parent_keys, c) for c in parent_keys.columns],
     )
     return child.where(not_null).alias("c").join(parent_keys, matches, "left_anti")
 
@@ -117,15 +120,20 @@ def profile(
 
 
 def run_suite(spark: SparkSession, queries: Mapping[str, str], max_rows: int = 20) -> DataFrame:
-    """Run named SQL texts; per query its status and up to ``max_rows`` rows as JSON."""
+    """Run named SQL texts; per query its status and its first rows as JSON.
+
+    At most ``max_rows`` are shown; ``truncated`` says whether the answer has more.
+    """
 
     def answer(item):
         name, text = item
         try:
-            result = spark.sql(text).limit(max_rows)
+            result = spark.sql(text).limit(max_rows + 1)
             found = [r[0] for r in result.select(F.to_json(F.struct("*"))).collect()]
-            return name, "success", len(found), "[" + ",".join(found) + "]", None
+            shown = found[:max_rows]
+            text = "[" + ",".join(shown) + "]"
+            return name, "success", len(shown), len(found) > max_rows, text, None
         except Exception as e:  # any failure belongs in the report
-            return name, "error", None, None, _message(e)
+            return name, "error", None, None, None, _message(e)
 
     return spark.createDataFrame(run_each(spark, queries.items(), answer), SUITE_SCHEMA)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.operators.dml import present_keys, reject_ambiguous
-from silverloom.operators.skew import exchanged
+from silverloom.operators.skew import exchanged, key_of
 
 _HIT = "__hit"
 _VERSION = "__version"
@@ -34,8 +34,8 @@ def scd2_stage(
     updates: DataFrame,
     key: str,
     tracked: Sequence[str],
-    flag: str = "still_here",
-    merge_key: str = "mergeKey",
+    flag: str = "is_current",
+    merge_key: str = "merge_key",
     null_safe: bool = False,
 ) -> DataFrame:
     """Rows to MERGE on ``merge_key``: every update under its key, which closes the current
@@ -46,8 +46,8 @@ def scd2_stage(
     reopened = u.join(
         dim.alias("d"),
         (F.col(f"u.`{key}`") == F.col(f"d.`{key}`")) & _changed(tracked, flag, null_safe),
-    ).select(F.lit(None).alias(merge_key), *fields)
-    return reopened.union(u.select(F.col(f"u.`{key}`").alias("merge_key"), *fields))
+    ).select(F.lit(None).cast(updates.schema[key].dataType).alias(merge_key), *fields)
+    return reopened.union(u.select(F.col(f"u.`{key}`"), *fields))
 
 
 def scd2_apply(
@@ -55,9 +55,9 @@ def scd2_apply(
     updates: DataFrame,
     key: str,
     tracked: Sequence[str],
-    flag: str = "still_here",
-    start: str = "join_date",
-    end: str = "leave_date",
+    flag: str = "is_current",
+    start: str = "valid_from",
+    end: str = "valid_to",
     null_safe: bool = False,
     reopen_closed: bool = False,
 ) -> DataFrame:
@@ -76,7 +76,7 @@ def scd2_apply(
 
     joined = dim.alias("d").join(
         updates.withColumn(_HIT, F.lit(True)).alias("u"),
-        exchanged([F.col(f"d.`{key}`")], [F.col(f"u.`{key}`")]) & changed,
+        exchanged([key_of(dim, key, "d")], [key_of(updates, key, "u")]) & changed,
         "left",
     )
     hit = F.col(f"u.{_HIT}").isNotNull()
@@ -107,10 +107,11 @@ def scd2_apply(
     )
 
     known = dim.where(F.col(f"`{flag}`") == F.lit(True)) if reopen_closed else dim
-    present = present_keys(known, updates, {key: key}).alias("p")
+    present = present_keys(known, updates, {key: key})
+    unknown = exchanged([key_of(updates, key, "u")], [key_of(present, key, "p")])
     added = (
         updates.alias("u")
-        .join(present, exchanged([F.col(f"u.`{key}`")], [F.col(f"p.`{key}`")]), "left_anti")
+        .join(present.alias("p"), unknown, "left_anti")
         .alias("u")
         .select(*[fresh(f.name).cast(f.dataType).alias(f.name) for f in dim.schema])
     )

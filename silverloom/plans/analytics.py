@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.operators.skew import exchanged
+from silverloom.operators.skew import common_type, exchanged, key_of
 from silverloom.session import ensure_checkpoint_dir
 
 
@@ -56,28 +56,19 @@ def genre_revenue(
 ) -> DataFrame:
     """Mean revenue and number of movies per genre, for movies that earned something.
 
-    Both sides are reduced to one row per (key) and (key, genre) before they meet, with
-    multiplicities carried as counts. A key repeated on either side, or on both, then joins
-    as one row instead of as all pairs.
+    The scans are joined as they are and the pairs are summed where they arise, before the
+    shuffle by genre. Both sides have an exchange of their own, so a hot key can be split.
+    ``movie_id`` is the key of the movies; a key that both sides repeat counts once for each
+    pair, as in SQL. Keys may differ in type as far as they widen.
     """
-    earned = (
-        movies.where(F.col(revenue) > 0)
-        .groupBy(movie_id)
-        .agg(F.sum(revenue).alias("_total"), F.count(F.lit(1)).alias("_movies"))
-    )
-    tagged = genres.groupBy(movie_id, F.col(name).alias("genre")).agg(
-        F.count(F.lit(1)).alias("_times")
-    )
-    same_movie = exchanged([F.col(f"e.{movie_id}")], [F.col(f"g.{movie_id}")])
+    earned = movies.where(F.col(revenue) > 0).select(movie_id, F.col(revenue).alias("revenue"))
+    tagged = genres.select(movie_id, F.col(name).alias("genre"))
+    to = common_type(earned.schema[movie_id].dataType, tagged.schema[movie_id].dataType)
+    earned, tagged = (df.withColumn(movie_id, F.col(movie_id).cast(to)) for df in (earned, tagged))
     return (
-        earned.alias("e")
-        .join(tagged.alias("g"), same_movie)
+        earned.join(tagged, movie_id)
         .groupBy("genre")
-        .agg(
-            F.sum(F.col("_total") * F.col("_times")).alias("_revenue"),
-            F.sum(F.col("_movies") * F.col("_times")).alias("movie_count"),
-        )
-        .select("genre", (F.col("_revenue") / F.col("movie_count")).alias("avg_revenue"), "movie_count")
+        .agg(F.avg("revenue").alias("avg_revenue"), F.count(F.lit(1)).alias("movie_count"))
         .orderBy(F.desc_nulls_last("avg_revenue"), F.asc("genre"))
         .limit(k)
     )
@@ -188,7 +179,7 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
         .alias("c")
         .join(
             movies.where("leads > 0").alias("m"),
-            exchanged([F.col("c.movie")], [F.col("m.movie")]),
+            exchanged([key_of(credits, "movie", "c")], [key_of(movies, "movie", "m")]),
         )
         .select(
             "c.movie",
@@ -209,16 +200,15 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
     )
     named = credits.where(F.col("name").isNotNull()).select("movie", "name")
 
-    ordinary = led.where(~F.col("hot")).select("movie", "lead").alias("a")
-    kept = leads.select("lead", "hot_set").alias("b")
-    same_lead = exchanged([F.col("a.lead")], [F.col("b.lead")], null_safe=True)
+    ordinary = led.where(~F.col("hot")).select("movie", "lead")
+    kept = leads.select("lead", "hot_set")
+    same_lead = exchanged([key_of(ordinary, "lead", "a")], [key_of(kept, "lead", "b")], null_safe=True)
     near = (
-        ordinary.join(kept, same_lead)
+        ordinary.alias("a").join(kept.alias("b"), same_lead)
         .select("movie", "b.lead", "hot_set")
         .join(named, "movie")
         .select("lead", "hot_set", "name")
         .distinct()
-        .alias("n")
     )
     hot_names = (
         leads.where(F.size("hot_set") > 0)
@@ -230,10 +220,11 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
         .distinct()
     )
     in_set = exchanged(
-        [F.col("n.hot_set"), F.col("n.name")], [F.col("h.hot_set"), F.col("h.name")]
+        [key_of(near, c, "n") for c in ("hot_set", "name")],
+        [key_of(hot_names, c, "h") for c in ("hot_set", "name")],
     )
     near_count = (
-        near.join(hot_names.alias("h"), in_set, "left_anti")
+        near.alias("n").join(hot_names.alias("h"), in_set, "left_anti")
         .groupBy("lead")
         .agg(F.count(F.lit(1)).alias("near_names"))
         .alias("n")
@@ -241,7 +232,7 @@ def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFram
     hot_count = hot_names.groupBy("hot_set").agg(F.count(F.lit(1)).alias("hot_names"))
     zero = F.lit(0)
     # Most leads share the empty set.
-    of_set = exchanged([F.col("l.hot_set")], [F.col("s.hot_set")])
+    of_set = exchanged([key_of(leads, "hot_set", "l")], [key_of(hot_count, "hot_set", "s")])
     return (
         leads.alias("l")
         .join(hot_count.alias("s"), of_set, "left")

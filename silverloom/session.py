@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,25 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 A = TypeVar("A")
 B = TypeVar("B")
 
-_PARTITION_BYTES = 128 << 20
-_MAX_PARTITIONS = 100_000
-
 
 def _shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or else the checkpoint folder in use.
-
-    If neither is set, a single-machine session gets a new local folder; a cluster must name
-    a folder that all executors see.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="silverloom-")
-    context.setCheckpointDir(root)
-    return root
+    """The folder named by ``spark.checkpoint.dir``, the checkpoint folder in use, or else the
+    warehouse: in each case a place that the cluster's file system resolves for all executors."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = named or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -51,14 +38,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < 1 << 60 else None
 
 
-def partitions_for(df: DataFrame) -> int:
-    """Partitions for a full exchange of ``df``: about 128 MB of scanned bytes each, and not
-    fewer than the session's shuffle setting."""
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df) or 0
-    return max(floor, min(-(-size // _PARTITION_BYTES), _MAX_PARTITIONS))
-
-
 def spread_small(df: DataFrame) -> DataFrame:
     """Deal the rows of a small table out to all cores, ahead of costly row-local work.
 
@@ -78,7 +57,7 @@ def spread_small(df: DataFrame) -> DataFrame:
 def spread_unsplit(df: DataFrame) -> DataFrame:
     """As :func:`spread_small`, for files that cannot be split, whatever their size."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def run_each(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from threading import Thread
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,21 @@ from silverloom.session import run_each
 REPORT_SCHEMA = "table_name string, target string, status string, row_count bigint, error string"
 
 
+#: Seconds after a write in which its count must have arrived.
+COUNT_WITHIN = 30
+
+
+def _count(seen: Observation) -> int:
+    """The observed count. Asking for it would wait for ever if no action had run."""
+    found: list[int] = []
+    waiting = Thread(target=lambda: found.append(seen.get.get("rows", 0)), daemon=True)
+    waiting.start()
+    waiting.join(COUNT_WITHIN)
+    if not found:
+        raise RuntimeError("write ran no action on the frame that it was given")
+    return found[0]
+
+
 def load_tables(
     spark: SparkSession,
     mapping: Mapping[str, str],
@@ -20,8 +36,8 @@ def load_tables(
 ) -> DataFrame:
     """Read and write every ``table -> target``; a failure is reported and the rest go on.
 
-    ``write`` must run one action on the frame it is given. Rows are counted while they are
-    written, not by a second scan.
+    ``write`` must run one action on the frame it is given, or the table counts as failed.
+    Rows are counted while they are written, not by a second scan.
     """
 
     def load(item):
@@ -29,7 +45,7 @@ def load_tables(
         try:
             seen = Observation()
             write(read(table).observe(seen, F.count(F.lit(1)).alias("rows")), target)
-            return table, target, "success", seen.get.get("rows", 0), None
+            return table, target, "success", _count(seen), None
         except Exception as e:  # any failure belongs in the report
             message = f"{type(e).__name__}: {e}".splitlines()[0]
             return table, target, "failed", None, message

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverloom.functions.json_cells import UNLIMITED
 from silverloom.schemas import LISTING
 
 
 def read_pages(spark: SparkSession, path: str, record: T.StructType = LISTING) -> DataFrame:
+    """Stored pages; a line that is no JSON of this shape fails the job when it is read, as a
+    lost page would let records of later pages in."""
     schema = T.StructType(
         [T.StructField("page", T.LongType()), T.StructField("results", T.ArrayType(record))]
     )
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(mode="FAILFAST", **UNLIMITED).json(path)
 
 
 def concat_pages(pages: DataFrame, first: int) -> DataFrame:

@@ -16,7 +16,7 @@ from silverloom.functions.json_cells import NATIVE
 from silverloom.operators.dml import absent_rows
 from silverloom.plans.silver import build_movies, build_objects
 from silverloom.schemas import BRONZE_COLUMNS, OBJECT_TABLES
-from silverloom.sources.bronze import CSV_OPTIONS
+from silverloom.sources.bronze import CHECKED_HEADER, CSV_OPTIONS
 
 
 def stream_bronze(
@@ -24,7 +24,7 @@ def stream_bronze(
 ) -> DataFrame:
     """Bronze CSV as a stream, with the column order taken from the headers present."""
     header = spark.read.options(**CSV_OPTIONS).csv(path).schema
-    reader = spark.readStream.schema(header).options(**CSV_OPTIONS)
+    reader = spark.readStream.schema(header).options(**CSV_OPTIONS, **CHECKED_HEADER)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(path).select(*BRONZE_COLUMNS[entity])
@@ -38,6 +38,7 @@ def ingest_table(
     checkpoint: str,
     quote_mode: str = NATIVE,
     files_per_batch: int | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Append one silver table from the new bronze files; every file is taken exactly once."""
     if table == "movies":
@@ -47,7 +48,7 @@ def ingest_table(
         bronze = stream_bronze(spark, source, entity, files_per_batch)
         rows = build_objects(bronze, table, quote_mode)
     query = (
-        rows.writeStream.format("parquet")
+        rows.writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
@@ -62,6 +63,7 @@ def ingest_absent(
     key: str | Sequence[str],
     order_by: Sequence[str],
     checkpoint: str,
+    fmt: str = "parquet",
 ) -> None:
     """Append the rows of a stream whose key the target lacks; the first row per key wins.
 
@@ -70,10 +72,11 @@ def ingest_absent(
     schema = stream.schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        existing = batch.sparkSession.read.schema(schema).parquet(target)
-        absent_rows(existing, batch, key, order_by).write.mode("append").parquet(target)
+        existing = batch.sparkSession.read.schema(schema).format(fmt).load(target)
+        absent = absent_rows(existing, batch, key, order_by)
+        absent.write.mode("append").format(fmt).save(target)
 
-    _ensure_table(stream.sparkSession, schema, target)
+    _ensure_table(stream.sparkSession, schema, target, fmt)
     query = (
         stream.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
@@ -83,11 +86,11 @@ def ingest_absent(
     query.awaitTermination()
 
 
-def _ensure_table(spark: SparkSession, schema: StructType, target: str) -> None:
+def _ensure_table(spark: SparkSession, schema: StructType, target: str, fmt: str) -> None:
     """An empty table at a new path, so that the first batch can read it too."""
     try:
-        spark.read.schema(schema).parquet(target)
+        spark.read.schema(schema).format(fmt).load(target)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        spark.createDataFrame([], schema).write.parquet(target)
+        spark.createDataFrame([], schema).write.format(fmt).save(target)

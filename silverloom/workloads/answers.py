@@ -161,12 +161,19 @@ WHERE {where}
 ORDER BY o.o_totalprice DESC NULLS LAST, o.o_orderkey, c.c_name LIMIT {k}
 """
 
+# Counted apart: what a lead led, whom those movies name, and positions per lead row.
 _TEAM = """
-SELECT c.{name} AS {out}, count(DISTINCT c.{movie}) AS movie_count,
-       count(DISTINCT cr.{name}) AS unique_crew_members, count(cr.{name}) AS total_crew_positions
-FROM {rows} c JOIN {rows} cr ON c.{movie} = cr.{movie}
-WHERE c.{lead}
-GROUP BY c.{name} HAVING count(DISTINCT c.{movie}) > 1
+WITH credited AS (SELECT {movie} AS movie, {name} AS person, {lead} AS leads FROM {rows}),
+led AS (SELECT movie, person, count(*) AS n FROM credited WHERE leads GROUP BY ALL),
+named AS (SELECT movie, count(person) AS positions FROM credited GROUP BY movie),
+around AS (SELECT DISTINCT led.person, c.person AS member
+           FROM led JOIN (SELECT DISTINCT movie, person FROM credited) c USING (movie)),
+team AS (SELECT person, count(member) AS unique_crew_members FROM around GROUP BY person)
+SELECT led.person AS {out}, count(*) AS movie_count,
+       any_value(team.unique_crew_members) AS unique_crew_members,
+       CAST(sum(led.n * named.positions) AS BIGINT) AS total_crew_positions
+FROM led JOIN named USING (movie) JOIN team ON team.person = led.person
+GROUP BY led.person HAVING count(*) > 1
 ORDER BY movie_count DESC, {out} LIMIT {k}
 """
 

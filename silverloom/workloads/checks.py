@@ -31,9 +31,14 @@ def q_sentinel_collisions(spark, sf):
     return pk_violations(parts.fillna({"credit_id": "0000000000"}), ["credit_id"])
 
 
-def q_fk_orphans(spark, sf):
+def q_fk_orphans_mixed(spark, sf):
+    """References that are narrower integers than the keys they refer to."""
+    return q_fk_orphans(spark, sf, "int")
+
+
+def q_fk_orphans(spark, sf, key_type="bigint"):
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.expr("nullif(l_partkey, 1999)").alias("member_ref")
+        "l_orderkey", "l_linenumber", F.expr(f"CAST(nullif(l_partkey, 1999) AS {key_type})").alias("member_ref")
     )
     return fk_orphans(lines, table(spark, sf, "customer"), {"member_ref": "c_custkey"})
 
@@ -56,12 +61,15 @@ def q_query_suite(spark, sf):
     report = run_suite(
         spark,
         {
-            "by_status": f"SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderstatus",
+            "by_status": f"SELECT o_orderstatus, count(*) AS n FROM {orders}"
+            " GROUP BY o_orderstatus ORDER BY o_orderstatus",
             "broken": f"SELECT no_such_column FROM {orders}",
             "many": f"SELECT o_custkey, sum(o_totalprice) AS total FROM {orders} GROUP BY o_custkey",
         },
     )
-    return report.select("query", "status", "row_count")
+    # The answer itself is compared where its order is fixed.
+    result = F.when(F.col("query") == "by_status", F.col("result"))
+    return report.select("query", "status", "rows_shown", "truncated", result.alias("result"))
 
 
 def q_open_table(spark, sf):
@@ -73,6 +81,7 @@ QUERIES = {
     "pk_violations": q_pk_violations,
     "sentinel_collisions": q_sentinel_collisions,
     "fk_orphans": q_fk_orphans,
+    "fk_orphans_mixed": q_fk_orphans_mixed,
     "length_violations": q_length_violations,
     "profile": q_profile,
     "query_suite": q_query_suite,
@@ -105,11 +114,16 @@ SQL = {
     )
     + " UNION ALL SELECT 'missing', 'error', NULL, true",
     "query_suite": """
+        WITH n AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)
         SELECT 'by_status' AS query, 'success' AS status,
-               CAST(least(20, count(DISTINCT o_orderstatus)) AS INTEGER) AS row_count FROM orders
-        UNION ALL SELECT 'broken', 'error', NULL
-        UNION ALL SELECT 'many', 'success', CAST(least(20, count(DISTINCT o_custkey)) AS INTEGER)
-                  FROM orders""",
+               CAST(least(20, count(*)) AS INTEGER) AS rows_shown, count(*) > 20 AS truncated,
+               '[' || string_agg('{"o_orderstatus":"' || s || '","n":' || n || '}', ',' ORDER BY s)
+               || ']' AS result FROM n
+        UNION ALL SELECT 'broken', 'error', NULL, NULL, NULL
+        UNION ALL SELECT 'many', 'success', CAST(least(20, count(DISTINCT o_custkey)) AS INTEGER),
+                         count(DISTINCT o_custkey) > 20, NULL FROM orders""",
     "open_table": """
         SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY c_mktsegment""",
 }
+SQL["fk_orphans_mixed"] = f"""
+    SELECT * REPLACE (CAST(member_ref AS INTEGER) AS member_ref) FROM ({SQL['fk_orphans']})"""

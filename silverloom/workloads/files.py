@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from silverloom.operators import assign_parts
+from silverloom.functions.json_cells import UNLIMITED
+from silverloom.operators import assign_parts, with_position
 from silverloom.plans import build_movies, build_silver, check_targets, write_silver
 from silverloom.schemas import LONG, OBJECT_TABLES, SILVER_TABLES, STRING, struct
 from silverloom.session import scratch_path
@@ -83,7 +84,9 @@ def q_search_docs(spark, sf):
     path = scratch_path(spark, "docs")
     write_search_docs(to_search_docs(table(spark, sf, "part"), "part", "p_partkey"), path)
     written = spark.read.schema("_index string, _id string, _source string").json(path)
-    fields = F.from_json("_source", "p_name string, p_size int, p_retailprice double")
+    fields = F.from_json(
+        "_source", "p_name string, p_size int, p_retailprice double", UNLIMITED
+    )
     return written.select("_index", "_id", fields.alias("f")).select("_index", "_id", "f.*")
 
 
@@ -176,7 +179,27 @@ def q_stream_insert_absent(spark, sf):
     return read_table(spark, target)
 
 
+def q_csv_reordered_parts(spark, sf):
+    """Two part sets whose headers have the columns in another order, read as one."""
+    movies, paths = bronze_movies(spark, sf), [scratch_path(spark, f"set-{i}") for i in (1, 2)]
+    even = F.col("id").cast("bigint") % 2 == 0
+    _write_csv(movies.where(even), paths[0])
+    _write_csv(movies.where(~even).select(*reversed(movies.columns)), paths[1])
+    return build_movies(read_bronze(spark, paths, "movies"))
+
+
+def q_chunk_parts_joined(spark, sf):
+    """Positions over a join, whose size the optimizer overrates by far."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    order = ["o_orderdate", "o_orderkey", "l_linenumber"]
+    return with_position(joined.select(*order), order)
+
+
 QUERIES = {
+    "csv_reordered_parts": q_csv_reordered_parts,
+    "chunk_parts_joined": q_chunk_parts_joined,
     "csv_roundtrip": q_csv_roundtrip,
     "json_roundtrip": q_json_roundtrip,
     "append_overwrite": q_append_overwrite,
@@ -278,3 +301,8 @@ FROM parts GROUP BY part""",
                arg_min(o_orderpriority, o_orderkey) AS o_orderpriority
         FROM orders GROUP BY o_custkey""",
 }
+SQL["csv_reordered_parts"] = SQL["csv_roundtrip"]
+SQL["chunk_parts_joined"] = """
+    SELECT o_orderdate, o_orderkey, l_linenumber,
+           row_number() OVER (ORDER BY o_orderdate, o_orderkey, l_linenumber) - 1 AS position
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""

@@ -44,6 +44,12 @@ def q_merge_upsert_all(spark, sf):
     return merge(_target(spark, sf), _source(spark, sf), "id")
 
 
+def q_merge_mixed_keys(spark, sf):
+    """The target's keys are narrower integers than the source's."""
+    target = _target(spark, sf).withColumn("id", F.col("id").cast("int"))
+    return merge(target, _source(spark, sf), "id")
+
+
 def q_merge_on_conjunct(spark, sf):
     return merge(
         _target(spark, sf), _source(spark, sf), "id", source_condition="s.branch >= 'Brand#2'"
@@ -51,36 +57,39 @@ def q_merge_on_conjunct(spark, sf):
 
 
 def q_merge_clauses(spark, sf):
-    source = _source(spark, sf).withColumnRenamed("id", "mergeKey")
+    source = _source(spark, sf).withColumnRenamed("id", "source_id")
     return merge(
         _target(spark, sf),
         source,
-        {"id": "mergeKey"},
+        {"id": "source_id"},
         matched=[
             Update({"balance": "s.balance", "branch": "'raised'"}, "s.balance > t.balance"),
             Update({"name": "concat(t.name, '/', s.name)"}, "t.branch = 'BUILDING'"),
         ],
         not_matched=[
-            Insert({"id": "s.mergeKey", "name": "s.name", "branch": "'new'", "balance": "null"})
+            Insert({"id": "s.source_id", "name": "s.name", "branch": "'new'", "balance": "null"})
         ],
     )
 
 
+_TRACKED = ["segment", "zone"]
+
+
 def _dimension(spark, sf):
     closed = F.col("c_acctbal") < 0
     return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("person"),
-        F.col("c_mktsegment").alias("state"),
-        F.when(F.col("c_nationkey") != 7, F.col("c_nationkey").cast("string")).alias("province"),
-        (~closed).alias("still_here"),
-        F.lit("1992-01-01").alias("join_date"),
-        F.when(closed, "1993-01-01").alias("leave_date"),
+        F.col("c_name").alias("title"),
+        F.col("c_mktsegment").alias("segment"),
+        F.when(F.col("c_nationkey") != 7, F.col("c_nationkey").cast("string")).alias("zone"),
+        (~closed).alias("is_current"),
+        F.lit("2020-01-01").alias("valid_from"),
+        F.when(closed, "2021-06-30").alias("valid_to"),
     )
 
 
 def _updates(spark, sf):
-    """Customers move to a province named after their region (some are there already), and
+    """Customers move to a zone named after their region (some are there already), and
     parts become new members under negative keys."""
     nations = table(spark, sf, "nation")
     moved = (
@@ -88,24 +97,29 @@ def _updates(spark, sf):
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("person"),
-            F.col("c_mktsegment").alias("state"),
-            F.col("n_regionkey").cast("string").alias("province"),
-            F.lit("1995-01-09").alias("join_date"),
+            F.col("c_name").alias("title"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("n_regionkey").cast("string").alias("zone"),
+            F.lit("2024-05-01").alias("valid_from"),
         )
     )
     joined = table(spark, sf, "part").select(
         (-1 - F.col("p_partkey")).alias("id"),
-        F.col("p_name").alias("person"),
-        F.col("p_brand").alias("state"),
-        F.col("p_type").alias("province"),
-        F.lit("1994-09-01").alias("join_date"),
+        F.col("p_name").alias("title"),
+        F.col("p_brand").alias("segment"),
+        F.col("p_type").alias("zone"),
+        F.lit("2024-04-01").alias("valid_from"),
     )
     return moved.unionByName(joined)
 
 
 def q_scd2_apply(spark, sf):
-    return scd2_apply(_dimension(spark, sf), _updates(spark, sf), "id", ["state", "province"])
+    return scd2_apply(_dimension(spark, sf), _updates(spark, sf), "id", _TRACKED)
+
+
+def q_scd2_mixed_keys(spark, sf):
+    updates = _updates(spark, sf).withColumn("id", F.col("id").cast("decimal(12,2)"))
+    return scd2_apply(_dimension(spark, sf), updates, "id", _TRACKED)
 
 
 def q_scd2_null_safe_reopen(spark, sf):
@@ -113,7 +127,7 @@ def q_scd2_null_safe_reopen(spark, sf):
         _dimension(spark, sf),
         _updates(spark, sf),
         "id",
-        ["state", "province"],
+        _TRACKED,
         null_safe=True,
         reopen_closed=True,
     )
@@ -121,31 +135,20 @@ def q_scd2_null_safe_reopen(spark, sf):
 
 def q_scd2_staged_merge(spark, sf):
     """The same result in two steps: staged rows, then MERGE on the staged key."""
-    dim = _dimension(spark, sf)
-    staged = scd2_stage(dim, _updates(spark, sf), "id", ["state", "province"])
+    dim, updates = _dimension(spark, sf), _updates(spark, sf)
+    differs = " OR ".join(f"s.{c} <> t.{c}" for c in _TRACKED)
+    new_version = {c: f"s.{c}" for c in updates.columns}
     return merge(
         dim,
-        staged,
-        {"id": "mergeKey"},
+        scd2_stage(dim, updates, "id", _TRACKED),
+        {"id": "merge_key"},
         matched=[
             Update(
-                {"still_here": "false", "leave_date": "s.join_date"},
-                "t.still_here = true AND (s.state <> t.state OR s.province <> t.province)",
-            )
-        ],
-        not_matched=[
-            Insert(
-                {
-                    "id": "s.id",
-                    "person": "s.person",
-                    "state": "s.state",
-                    "province": "s.province",
-                    "still_here": "true",
-                    "join_date": "s.join_date",
-                    "leave_date": "null",
-                }
+                {"is_current": "false", "valid_to": "s.valid_from"},
+                f"t.is_current AND ({differs})",
             )
         ],
+        not_matched=[Insert(new_version | {"is_current": "true", "valid_to": "null"})],
     )
 
 
@@ -161,9 +164,13 @@ def q_delete_where(spark, sf):
     return delete_where(table(spark, sf, "part"), "nullif(p_size, 10) < 20")
 
 
-def q_cascade_delete(spark, sf):
+def q_cascade_mixed_keys(spark, sf):
+    return q_cascade_delete(spark, sf, "int")
+
+
+def q_cascade_delete(spark, sf, key_type="bigint"):
     orders = table(spark, sf, "orders").withColumn(
-        "customer_ref", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+        "customer_ref", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast(key_type))
     )
     _, children = cascade_delete(
         table(spark, sf, "customer"),
@@ -191,7 +198,10 @@ def q_insert_if_absent(spark, sf):
 
 QUERIES = {
     "merge_upsert_all": q_merge_upsert_all,
+    "merge_mixed_keys": q_merge_mixed_keys,
     "merge_on_conjunct": q_merge_on_conjunct,
+    "scd2_mixed_keys": q_scd2_mixed_keys,
+    "cascade_mixed_keys": q_cascade_mixed_keys,
     "merge_clauses": q_merge_clauses,
     "scd2_apply": q_scd2_apply,
     "scd2_null_safe_reopen": q_scd2_null_safe_reopen,
@@ -211,32 +221,32 @@ s AS (
 
 _SCD_FRAMES = """
 WITH dim AS (
-  SELECT c_custkey AS id, c_name AS person, c_mktsegment AS state,
-         CASE WHEN c_nationkey <> 7 THEN CAST(c_nationkey AS VARCHAR) END AS province,
-         NOT (c_acctbal < 0) AS still_here, '1992-01-01' AS join_date,
-         CASE WHEN c_acctbal < 0 THEN '1993-01-01' END AS leave_date
+  SELECT c_custkey AS id, c_name AS title, c_mktsegment AS segment,
+         CASE WHEN c_nationkey <> 7 THEN CAST(c_nationkey AS VARCHAR) END AS zone,
+         NOT (c_acctbal < 0) AS is_current, '2020-01-01' AS valid_from,
+         CASE WHEN c_acctbal < 0 THEN '2021-06-30' END AS valid_to
   FROM customer),
 upd AS (
-  SELECT c_custkey AS id, c_name AS person, c_mktsegment AS state,
-         CAST(n_regionkey AS VARCHAR) AS province, '1995-01-09' AS join_date
+  SELECT c_custkey AS id, c_name AS title, c_mktsegment AS segment,
+         CAST(n_regionkey AS VARCHAR) AS zone, '2024-05-01' AS valid_from
   FROM customer JOIN nation ON c_nationkey = n_nationkey
   UNION ALL
-  SELECT -1 - p_partkey, p_name, p_brand, p_type, '1994-09-01' FROM part),
+  SELECT -1 - p_partkey, p_name, p_brand, p_type, '2024-04-01' FROM part),
 hit AS (
-  SELECT dim.id, upd.person, upd.state, upd.province, upd.join_date
-  FROM dim JOIN upd ON dim.id = upd.id WHERE dim.still_here AND ({changed}))
-SELECT dim.id, dim.person, dim.state, dim.province,
-       CASE WHEN hit.id IS NULL THEN dim.still_here ELSE false END AS still_here, dim.join_date,
-       CASE WHEN hit.id IS NULL THEN dim.leave_date ELSE hit.join_date END AS leave_date
+  SELECT dim.id, upd.title, upd.segment, upd.zone, upd.valid_from
+  FROM dim JOIN upd ON dim.id = upd.id WHERE dim.is_current AND ({changed}))
+SELECT dim.id, dim.title, dim.segment, dim.zone,
+       CASE WHEN hit.id IS NULL THEN dim.is_current ELSE false END AS is_current, dim.valid_from,
+       CASE WHEN hit.id IS NULL THEN dim.valid_to ELSE hit.valid_from END AS valid_to
 FROM dim LEFT JOIN hit ON dim.id = hit.id
 UNION ALL
-SELECT id, person, state, province, true, join_date, NULL FROM hit
+SELECT id, title, segment, zone, true, valid_from, NULL FROM hit
 UNION ALL
-SELECT id, person, state, province, true, join_date, NULL FROM upd
+SELECT id, title, segment, zone, true, valid_from, NULL FROM upd
 WHERE NOT EXISTS (SELECT 1 FROM dim WHERE dim.id = upd.id AND {blocking})
 """
 
-_THREE_VALUED = "upd.state <> dim.state OR upd.province <> dim.province"
+_THREE_VALUED = "upd.segment <> dim.segment OR upd.zone <> dim.zone"
 
 SQL = {
     "merge_upsert_all": _FRAMES
@@ -264,8 +274,8 @@ SELECT s.id, s.name, 'new', NULL FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE
     "scd2_apply": _SCD_FRAMES.format(changed=_THREE_VALUED, blocking="true"),
     "scd2_staged_merge": _SCD_FRAMES.format(changed=_THREE_VALUED, blocking="true"),
     "scd2_null_safe_reopen": _SCD_FRAMES.format(
-        changed="upd.state IS DISTINCT FROM dim.state OR upd.province IS DISTINCT FROM dim.province",
-        blocking="dim.still_here",
+        changed="upd.segment IS DISTINCT FROM dim.segment OR upd.zone IS DISTINCT FROM dim.zone",
+        blocking="dim.is_current",
     ),
     "update_where": """
         SELECT p_partkey, p_name,
@@ -290,3 +300,11 @@ SELECT s.id, s.name, 'new', NULL FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE
           FROM orders WHERE o_orderpriority <> '5-LOW')
         WHERE rn = 1 AND id NOT IN (SELECT s_suppkey FROM supplier)""",
 }
+
+# The same rows, with the target's narrower key.
+SQL["merge_mixed_keys"] = f"""
+    SELECT CAST(id AS INTEGER) AS id, * EXCLUDE (id) FROM ({SQL['merge_upsert_all']})"""
+SQL["scd2_mixed_keys"] = SQL["scd2_apply"]
+SQL["cascade_mixed_keys"] = f"""
+    SELECT * REPLACE (CAST(customer_ref AS INTEGER) AS customer_ref)
+    FROM ({SQL['cascade_delete']})"""

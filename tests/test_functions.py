@@ -133,3 +133,22 @@ def test_extract_value(spark):
     assert [r[0] for r in got] == ["69", "v", None, None, None, None, None]
     dotted = column(spark, ['{"k.x": 1}']).select(extract_value("c", "k.x", "replace"))
     assert dotted.first()[0] == "1"
+
+
+@pytest.mark.parametrize("mode", ["native", "replace"])
+def test_cells_of_any_size_survive(spark, mode):
+    """Values over 20 MB, long numbers and deep nesting keep their cell."""
+    big = "x" * 25_000_000
+    # Replacing quotes writes each element out again, which Spark does to 1,000 levels only.
+    levels = 1100 if mode == "native" else 900
+    number, deep = "7" * 1500, "[" * levels + "]" * levels
+    cells = [
+        f'[{{"name": "{big}"}}, {{"name": "b"}}]',
+        f'[{{"name": "a", "other": {number}}}]',
+        f'[{{"name": "c", "other": {deep}}}]',
+    ]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    parsed = df.select(F.transform(parse_objects("c", ["name"], mode), lambda o: F.length(o["name"])))
+    assert sorted(r[0] for r in parsed.collect()) == [[1], [1], [25_000_000, 1]]
+    roots = df.select(F.length(extract_value(F.expr("substring(c, 2, length(c) - 2)"), "name", mode)))
+    assert sorted(r[0] for r in roots.where("c NOT LIKE '%b%'").collect()) == [1, 1]

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverloom.operators import assign_parts, top_k, union_all, with_position
-from silverloom.session import partitions_for
 
 
 def sizes(df, k):
@@ -63,5 +62,12 @@ def test_top_k_and_union(spark):
     assert both.count() == 12
 
 
-def test_partition_count_follows_the_session_for_small_input(spark):
-    assert partitions_for(spark.range(10)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_the_shuffle_is_as_wide_as_the_session(spark):
+    """Whatever the optimizer thinks of the input's size: too much, or nothing."""
+    one = spark.range(200).selectExpr("id AS a", "id % 5 AS b")
+    wide = one.join(one.toDF("c", "b"), "b")
+    for df in (one, wide, wide.join(one.toDF("d", "b"), "b")):
+        small = with_position(df, df.columns)
+        parts = small.select(F.spark_partition_id()).distinct().count()
+        assert parts <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert small.count() == small.select("position").distinct().count() == df.count()

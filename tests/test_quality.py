@@ -116,4 +116,5 @@ def test_run_suite(spark):
     found = {r["query"]: r for r in report.collect()}
     assert json.loads(found["dates"].result) == [{"d": "2001-01-01"}]
     assert (found["bad"].status, found["bad"].result) == ("error", None)
-    assert found["long"].row_count == 20
+    assert (found["long"].rows_shown, found["long"].truncated) == (20, True)
+    assert (found["dates"].rows_shown, found["dates"].truncated) == (1, False)

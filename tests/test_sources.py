@@ -22,6 +22,7 @@ from silverloom.sources import (
     write_search_docs,
     write_search_index,
     write_table,
+    read_bronze,
 )
 from silverloom.sources.jdbc import column_types, jdbc_write_options, read_jdbc
 from silverloom.sources.tables import APPEND, CREATE
@@ -152,3 +153,41 @@ def test_targets_drop_what_the_database_lacks():
 
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def _csv(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+
+
+@pytest.mark.parametrize(
+    "header", ["title,movie_id,cast,crew", "movie_id,title,cast,crew,note", "movie_id,title,cast"]
+)
+def test_parts_with_another_header_are_refused(spark, tmp_path, header):
+    folder = tmp_path / "credits"
+    _csv(folder, "part-1.csv", "movie_id,title,cast,crew\n1,a,[],[]\n")
+    _csv(folder, "part-2.csv", header + "\n" + ",".join("x" for _ in header.split(",")) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bronze(spark, str(folder), "credits").collect()
+
+
+def test_part_sets_are_put_together_by_name(spark, tmp_path):
+    _csv(tmp_path / "a", "p.csv", "movie_id,title,cast,crew\n1,a,c1,w1\n")
+    _csv(tmp_path / "b", "p.csv", "crew,cast,title,movie_id\nw2,c2,b,2\n")
+    got = read_bronze(spark, [str(tmp_path / "a"), str(tmp_path / "b")], "credits")
+    found = {(r.movie_id, r.title, r["cast"], r.crew) for r in got.collect()}
+    assert found == {("1", "a", "c1", "w1"), ("2", "b", "c2", "w2")}
+
+
+def test_a_broken_page_fails_the_read(spark, tmp_path):
+    (tmp_path / "pages.json").write_text('{"page": 1, "results": [{"id": 1}]}\n{"page": 2, "resu\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_pages(spark, str(tmp_path)).collect()
+
+
+def test_a_write_without_an_action_is_a_failure(spark, monkeypatch):
+    from silverloom.sources import load
+
+    monkeypatch.setattr(load, "COUNT_WITHIN", 1)
+    report = load.load_tables(spark, {"a": "b"}, lambda t: spark.range(3), lambda df, target: None)
+    assert report.first().status == "failed"
