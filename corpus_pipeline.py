@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from silverloom.llm.bpe import decode_documents, encode_documents
 from silverloom.llm.common import stored, table, words
 from silverloom.llm.jaccard import keep_one
-from silverloom.llm.lines import judge_quality
+from silverloom.llm.lines import keep_good
 from silverloom.llm.mixing import mix_sources, repeat_rows
 from silverloom.llm.pii import find_pii, mask_pii
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return judge_quality(docs).where("kept").select(*docs.columns)
+    return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -146,10 +146,15 @@ def judge_quality(
     Null and empty texts have no words and fail; documents without a host form a host of their
     own; repeated rows get the same verdict and count once. The common words of the texts are
     stored in between, so the planner knows whether they are small enough to broadcast.
-    Columns of ``docs`` named like the new ones are replaced.
+    Columns of ``docs`` named like the new ones are replaced. To drop documents use
+    :func:`keep_good`: a filter on ``kept`` would be pushed into the statistics and repeat them.
     """
     new = [*_STATS, "base_failed", "kept"]
     docs = docs.drop(*[c for c in docs.columns if c in new])
+    return _judged(docs, text, host, scratch).select(*docs.columns, *new)
+
+
+def _judged(docs: DataFrame, text: str, host: str, scratch: str | None) -> DataFrame:
     common = stored(common_words(docs, text, host, scratch), "common")
     judged = split_join(
         _text_keys(text_stats(docs, text), text, host), common, ["__host", "__t1", "__t2"], "left"
@@ -159,7 +164,20 @@ def judge_quality(
     left = n - F.coalesce("__common", F.lit(0))
     return judged.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (left >= n * MIN_LEFT)
-    ).select(*docs.columns, *new)
+    )
+
+
+def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that :func:`judge_quality` keeps.
+
+    Verdicts hang on the text and its host alone. They are stored, without the texts, and the
+    rejected ones are taken from the documents by an anti join.
+    """
+    keys = ["__host", "__t1", "__t2"]
+    used = docs.select(F.col(text).alias("text"), F.col(host).alias("host"))
+    verdicts = stored(_judged(used, "text", "host", None).select(*keys, "kept"), "verdicts")
+    gone = stored(verdicts.where("NOT kept").select(*keys).distinct(), "rejected")
+    return split_join(_text_keys(docs, text, host), gone, keys, "left_anti").select(*docs.columns)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
