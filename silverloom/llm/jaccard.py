@@ -13,8 +13,9 @@ Within a region early documents are the pivots, under the Jaccard distance, with
 ``r = 1 - t``. All members are compared with the pivot. Those within ``r`` are its cell; they are linked and one
 component. Members beyond ``2 r`` cannot be linked to the cell. So the cell goes on with the
 boundary (between ``r`` and ``2 r``) as one region, boundary and rest as another, and both are
-joined in the same way. Regions that have become one component are done; those of a few members are compared
-pair by pair.
+joined in the same way. Regions that have become one component are done; those of a few members
+are compared pair by pair. Before two sets are compared, the counts of their shingles in fixed
+slices of the hash space, whose distance never exceeds that of the sets, rule out most pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +37,11 @@ SHARE, PARTS = 80, 100
 #: Slots of the table of shingle frequencies that orders shingles.
 SLOTS = 1 << 16
 #: Largest region that is compared pair by pair.
-LEAF = 8
+LEAF = 64
+#: Pivots of a larger region: one while it may be one cluster, several once that is known.
+PIVOTS = (1, 32)
+#: Slices of the hash space in which the shingles of a set are counted.
+SLICES = 64
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
 _BYTES = 2 << 20
 _SEEN = 100_000
@@ -207,9 +212,15 @@ def _windows(often: np.ndarray, share: int, parts: int):
 
 def _whole_sets():
     def work(ids: pa.Array, t: _Texts):
+        n = len(t.sizes)
+        cell = t.text * SLICES + (t.hashes % _U(SLICES)).astype(np.int64)
+        counts = np.bincount(cell, minlength=n * SLICES).astype(np.int32)
+        slices = pa.ListArray.from_arrays(
+            pa.array(np.arange(n + 1, dtype=np.int32) * SLICES), pa.array(counts)
+        )
         ends = np.append(t.first, len(t.hashes)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(t.hashes.view(np.int64)))
-        return t.marks[0], t.sizes.astype(np.int64), lists
+        return t.marks[0], t.sizes.astype(np.int64), slices, lists
 
     return work, None
 
@@ -284,17 +295,17 @@ def ngram_join(
     )
     whole = _by_texts(
         source.join(members.distinct(), "doc_id", "left_semi"),
-        "node long, n long, shingles array<bigint>",
+        "node long, n long, slices array<int>, shingles array<bigint>",
         _whole_sets,
         size,
     )
     sets = stored(whole.where("n > 0").dropDuplicates(["node"]), "join-shingles")
     labels = stored(sets.select("node", F.col("node").alias("component")), "join-labels")
 
-    while True:
-        regions, labels, more = _level(regions, labels, sets, share, parts)
-        if not more:
-            break
+    more, pivots = True, PIVOTS[0]
+    while more:
+        regions, labels, more = _level(regions, labels, sets, share, parts, pivots)
+        pivots = PIVOTS[1]
 
     placed = split_join(with_id.select("doc_id", "n", "node"), labels, ["node"], "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
@@ -307,10 +318,11 @@ def ngram_join(
 
 
 def _level(
-    regions: DataFrame, labels: DataFrame, sets: DataFrame, share: int, parts: int
+    regions: DataFrame, labels: DataFrame, sets: DataFrame, share: int, parts: int, pivots: int
 ) -> tuple[DataFrame, DataFrame, bool]:
     """One level of the recursion: the regions to go on with, the components, and whether any
-    region is left. ``settled`` members come last as pivots."""
+    region is left. Early members are pivots first, those of a cell last; the first pivot splits
+    the region, and all of them are done with after the level."""
     here = split_join(regions, labels, ["node"], "inner")
     open_ = (
         here.groupBy("region")
@@ -318,71 +330,83 @@ def _level(
             F.count(F.lit(1)).alias("members"),
             F.min("component").alias("lo"),
             F.max("component").alias("hi"),
-            F.min(F.struct(~F.col("early"), "settled", "node", "component")).alias("pivot"),
             F.max("early").alias("any"),
         )
         .where("lo < hi AND any")
-        .select(
-            "region",
-            "members",
-            F.col("pivot.node").alias("pivot"),
-            F.col("pivot.component").alias("pivot_component"),
-        )
-    )
-    here = stored(split_join(here, open_, ["region"], "inner"), "join-level")
-    small, large = here.where(F.col("members") <= LEAF), here.where(F.col("members") > LEAF)
-    one, other = (
-        small.select("region", *[F.col(x).alias(f"{x}{end}") for x in ("node", "component", "n", "at")])
-        for end in "ab"
+        .select("region", "members")
     )
+    turn = Window.partitionBy("region").orderBy(F.desc("early"), "settled", "node")
+    here = split_join(here, open_, ["region"], "inner").withColumn("turn", F.row_number().over(turn))
+    here = stored(here, "join-level")
+    own = ["node", "n", "at", "early", "settled"]
+    large = here.where(F.col("members") > LEAF)
+
+    def end(rows: DataFrame, name: str) -> DataFrame:
+        columns = [F.col(x).alias(f"{x}{name}") for x in ("node", "component", "n", "at")]
+        return rows.select("region", *columns)
+
     # What two sets can still have in common from the places of this shingle on.
     most = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    small = here.where(F.col("members") <= LEAF)
     pairs = (
-        one.join(other, "region")
+        end(small, "a")
+        .join(end(small, "b"), "region")
         .where("nodea < nodeb AND componenta <> componentb")
         .where(_linked(most, F.col("na"), F.col("nb"), share, parts))
-        .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
     )
-    stars = large.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    pairs = pairs.union(stars).distinct()
-    found = (
-        pairs.join(sets.toDF("a", "na", "sa"), "a")
-        .join(sets.toDF("b", "nb", "sb"), "b")
-        .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common"))
+    leads = large.where((F.col("turn") <= pivots) & F.col("early"))
+    stars = end(leads, "a").join(end(large, "b"), "region").where("nodea <> nodeb")
+    # The first pivot's distances are all wanted, the others' where they can link.
+    first = large.where("turn = 1").select("region", F.col("node").alias("first"))
+    stars = split_join(stars, first, ["region"], "inner").where(
+        (F.col("nodea") == F.col("first"))
+        | ((F.col("componenta") != F.col("componentb")) & _linked(most, F.col("na"), F.col("nb"), share, parts))
     )
-    found = stored(found, "join-pairs")
-    near = found.where(_linked(F.col("common"), F.col("na"), F.col("nb"), share, parts))
-
-    labels = _relabel(labels, near)
-
-    # Distance from the pivot, in parts of the whole: within r, within 2 r, or beyond.
+    a, b = F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")
+    pairs = pairs.select(a, b).union(stars.select(a, b)).distinct()
+
+    # Counts by slice bound what two sets have in common; only pairs that may lie within 2 r of
+    # each other are compared in full.
+    wide = max(2 * share - parts, 0)
+    counted = pairs
+    for x in "ab":
+        counted = counted.join(sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("slices").alias(f"s{x}")), x)
+    shared = F.zip_with("sa", "sb", lambda x, y: F.least(x, y))
+    bound = F.aggregate(shared, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    near = _linked(F.col("bound"), F.col("na"), F.col("nb"), wide, parts)
+    counted = stored(
+        counted.withColumn("bound", bound).select("a", "b", "na", "nb", near.alias("near")), "join-bounds"
+    )
+    found = counted.where("near").select("a", "b", "na", "nb")
+    for x in "ab":
+        found = found.join(sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")), x)
+    common = F.size(F.array_intersect("sa", "sb"))
+    found = stored(found.select("a", "b", "na", "nb", common.alias("common")), "join-pairs")
+    linked = found.where(_linked(F.col("common"), F.col("na"), F.col("nb"), share, parts))
+    labels = _relabel(labels, linked)
+
+    # Distance from the first pivot, in parts of the whole: within r, within 2 r, or beyond.
     union = F.col("na") + F.col("nb") - F.col("common")
     apart = parts * (union - F.col("common"))
-    measured = found.select(
-        F.col("a").alias("pivot"),
-        F.col("b").alias("node"),
-        F.when(apart <= (parts - share) * union, 0)
-        .when(apart <= 2 * (parts - share) * union, 1)
-        .otherwise(2)
-        .alias("ring"),
+    ring = F.when(apart <= (parts - share) * union, 0).when(
+        apart <= 2 * (parts - share) * union, 1
+    ).otherwise(2)
+    measured = found.select("a", "b", ring.alias("ring"))
+    left = large.where(~((F.col("turn") <= pivots) & F.col("early"))).select("region", *own)
+    left = split_join(left, first, ["region"], "inner").withColumns(
+        {"a": F.least("node", "first"), "b": F.greatest("node", "first")}
     )
-    own = ["node", "n", "at", "early", "settled"]
-    ringed = split_join(
-        large.where("node <> pivot").select("region", "pivot", *own),
-        measured,
-        ["pivot", "node"],
-        "inner",
+    ringed = split_join(left, measured, ["a", "b"], "left").withColumn(
+        "ring", F.coalesce("ring", F.lit(2))
     )
-    name = F.xxhash64("region", "pivot", "cell")
     ringed = ringed.withColumn("settled", F.when(F.col("ring") == 0, 1).otherwise(F.col("settled")))
-    cell = ringed.where("ring <= 1").select("region", "pivot", F.lit(0).alias("cell"), *own)
-    rest = ringed.where("ring >= 1").select("region", "pivot", F.lit(1).alias("cell"), *own)
+    cell = ringed.where("ring <= 1").select("region", "first", F.lit(0).alias("cell"), *own)
+    rest = ringed.where("ring >= 1").select("region", "first", F.lit(1).alias("cell"), *own)
     # A cell without a boundary has nothing to be compared with.
-    edge = ringed.where("ring = 1").select("region", "pivot").distinct()
-    cell = split_join(cell, edge, ["region", "pivot"], "left_semi")
-    regions = stored(
-        cell.union(rest).select(name.alias("region"), *own), "join-regions"
-    )
+    edge = ringed.where("ring = 1").select("region", "first").distinct()
+    cell = split_join(cell, edge, ["region", "first"], "left_semi")
+    name = F.xxhash64("region", "first", "cell").alias("region")
+    regions = stored(cell.union(rest).select(name, *own), "join-regions")
     return regions, labels, not regions.isEmpty()
 
 
