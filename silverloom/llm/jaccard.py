@@ -299,8 +299,10 @@ def ngram_join(
         _whole_sets,
         size,
     )
-    sets = stored(whole.where("n > 0").dropDuplicates(["node"]), "join-shingles")
-    labels = stored(sets.select("node", F.col("node").alias("component")), "join-labels")
+    # A set may be there twice if rows share a doc_id; the pairs found with it are made distinct.
+    sets = stored(whole.where("n > 0"), "join-shingles")
+    labels = sets.select("node", F.col("node").alias("component")).distinct()
+    labels = stored(labels, "join-labels")
 
     more, pivots = True, PIVOTS[0]
     while more:
@@ -375,13 +377,17 @@ def _level(
     bound = F.aggregate(shared, F.lit(0).cast("long"), lambda acc, x: acc + x)
     near = _linked(F.col("bound"), F.col("na"), F.col("nb"), wide, parts)
     counted = stored(
-        counted.withColumn("bound", bound).select("a", "b", "na", "nb", near.alias("near")), "join-bounds"
+        counted.withColumn("bound", bound)
+        .select("a", "b", "na", "nb", near.alias("near"))
+        .distinct(),
+        "join-bounds",
     )
     found = counted.where("near").select("a", "b", "na", "nb")
     for x in "ab":
         found = found.join(sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")), x)
     common = F.size(F.array_intersect("sa", "sb"))
-    found = stored(found.select("a", "b", "na", "nb", common.alias("common")), "join-pairs")
+    found = found.select("a", "b", "na", "nb", common.alias("common")).distinct()
+    found = stored(found, "join-pairs")
     linked = found.where(_linked(F.col("common"), F.col("na"), F.col("nb"), share, parts))
     labels = _relabel(labels, linked)
 
