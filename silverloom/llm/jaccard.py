@@ -229,6 +229,12 @@ def _linked(common: Column, a: Column, b: Column, share: int, parts: int) -> Col
     return parts * common >= share * (a + b - common)
 
 
+def _release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now: it does so when the driver's JVM
+    collects their plans, which a driver with little to do may put off past the end of the job."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def ngram_join(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -289,6 +295,7 @@ def ngram_join(
         .distinct(),
         "join-regions",
     )
+    _release(docs.sparkSession)
     members = stored(
         classes.join(regions.select("node").distinct(), "node", "left_semi").select("doc_id"),
         "join-members",
@@ -301,12 +308,14 @@ def ngram_join(
     )
     # A set may be there twice if rows share a doc_id; the pairs found with it are made distinct.
     sets = stored(whole.where("n > 0"), "join-shingles")
+    _release(docs.sparkSession)
     labels = sets.select("node", F.col("node").alias("component")).distinct()
     labels = stored(labels, "join-labels")
 
     more, pivots = True, PIVOTS[0]
     while more:
         regions, labels, more = _level(regions, labels, sets, share, parts, pivots)
+        _release(docs.sparkSession)
         pivots = PIVOTS[1]
 
     placed = split_join(with_id.select("doc_id", "n", "node"), labels, ["node"], "left")
@@ -365,17 +374,21 @@ def _level(
         | ((F.col("componenta") != F.col("componentb")) & _linked(most, F.col("na"), F.col("nb"), share, parts))
     )
     a, b = F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")
-    pairs = pairs.select(a, b).union(stars.select(a, b)).distinct()
+    wanted = (F.col("nodea") == F.col("first")).alias("ring")
+    pairs = pairs.select(a, b, F.lit(False).alias("ring")).union(stars.select(a, b, wanted))
+    pairs = pairs.groupBy("a", "b").agg(F.max("ring").alias("ring"))
 
-    # Counts by slice bound what two sets have in common; only pairs that may lie within 2 r of
-    # each other are compared in full.
+    # Counts by slice bound what two sets have in common; only pairs that may be linked, and with
+    # the first pivot those that may lie within 2 r, are compared in full.
     wide = max(2 * share - parts, 0)
     counted = pairs
     for x in "ab":
         counted = counted.join(sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("slices").alias(f"s{x}")), x)
     shared = F.zip_with("sa", "sb", lambda x, y: F.least(x, y))
     bound = F.aggregate(shared, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    near = _linked(F.col("bound"), F.col("na"), F.col("nb"), wide, parts)
+    near = _linked(F.col("bound"), F.col("na"), F.col("nb"), share, parts) | (
+        F.col("ring") & _linked(F.col("bound"), F.col("na"), F.col("nb"), wide, parts)
+    )
     counted = stored(
         counted.withColumn("bound", bound)
         .select("a", "b", "na", "nb", near.alias("near"))
