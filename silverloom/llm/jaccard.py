@@ -14,13 +14,14 @@ Within a region early documents are the pivots, under the Jaccard distance, with
 component. Members beyond ``2 r`` cannot be linked to the cell. So the cell goes on with the
 boundary (between ``r`` and ``2 r``) as one region, boundary and rest as another, and both are
 joined in the same way. Regions that have become one component are done; those of a few members
-are compared pair by pair. Before two sets are compared, the counts of their shingles in fixed
-slices of the hash space, whose distance never exceeds that of the sets, rule out most pairs.
+are compared pair by pair. Distances are taken from the counts of shingles in slices of the hash
+space first: they never exceed those of the sets, so they rule out most pairs and make boundaries
+no smaller. Only pairs that they leave open are compared shingle by shingle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,12 @@ from silverloom.llm.graph import components
 SHINGLE = 5
 #: Linked if ``PARTS * common >= SHARE * all``.
 SHARE, PARTS = 80, 100
-#: Slots of the table of shingle frequencies that orders shingles.
-SLOTS = 1 << 16
+#: Slots of the table of shingle frequencies that orders shingles, and how many are sent at a time.
+SLOTS, BLOCK = 1 << 20, 1 << 12
 #: Largest region that is compared pair by pair.
 LEAF = 64
 #: Pivots of a larger region: one while it may be one cluster, several once that is known.
 PIVOTS = (1, 32)
-#: Slices of the hash space in which the shingles of a set are counted.
-SLICES = 64
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
 _BYTES = 2 << 20
 _SEEN = 100_000
@@ -163,41 +162,102 @@ def _by_texts(df: DataFrame, schema: str, make, size: int) -> DataFrame:
     return df.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _describe():
-    def work(ids: pa.Array, t: _Texts):
-        return ids, t.sizes.astype(np.int64), t.marks[0], t.marks[1]
+def _counts(t: _Texts, wanted: np.ndarray) -> pa.Array:
+    """How many shingles of each wanted set fall in each slice, a byte a slice. A set of ``n`` has
+    the power of two up to ``n`` as its number of slices. Null if a count exceeds a byte."""
+    slices = np.where(wanted, 1 << np.frexp(np.maximum(t.sizes, 1))[1] >> 1, 0)
+    ends = np.append(0, np.cumsum(slices))
+    own = wanted[t.text]
+    text, hashes = t.text[own], t.hashes[own]
+    cell = ends[text] + (hashes % slices[text].astype(_U)).astype(np.int64)
+    counts = np.bincount(cell, minlength=ends[-1])
+    good = wanted.copy()
+    good[np.searchsorted(ends, np.flatnonzero(counts > 255), "right") - 1] = False
+    data = pa.py_buffer(np.minimum(counts, 255).astype(np.uint8).tobytes())
+    valid = pa.py_buffer(np.packbits(good, bitorder="little").tobytes())
+    offsets = pa.py_buffer(ends.astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(wanted), [valid, offsets, data])
 
-    return work, None
 
+class _New:
+    """Picks the sets that a task has not met before; it remembers a bounded number."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+
+    def __call__(self, ids: pa.Array, t: _Texts) -> np.ndarray:
+        new = np.zeros(len(t.sizes), bool)
+        for i, mark in enumerate(t.marks[0].tolist()):
+            if t.sizes[i] and mark not in self.seen and ids[i].is_valid:
+                if len(self.seen) >= _SEEN:
+                    self.seen.clear()
+                self.seen.add(mark)
+                new[i] = True
+        return new
 
-def _count_slots():
-    counts = np.zeros(SLOTS, np.int64)
 
-    def work(ids: pa.Array, t: _Texts) -> None:
-        counts[:] += np.bincount((t.hashes >> _U(48)).astype(np.int64), minlength=SLOTS)
+_DESCRIBED = "doc_id long, n long, node long, mark long, slices binary, block long, often binary"
+
+
+def _describe():
+    """Every text, and in the end how often the task met the shingles of each slot."""
+    often = np.zeros(SLOTS, np.int64)
+    pick = _New()
+
+    def work(ids: pa.Array, t: _Texts):
+        slots = (t.hashes % _U(SLOTS)).astype(np.int64)
+        np.add.at(often, slots, 1)
+        n = len(t.sizes)
+        slices = _counts(t, pick(ids, t))
+        none = pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())
+        return ids, t.sizes.astype(np.int64), t.marks[0], t.marks[1], slices, *none
 
     def rest():
-        slots = np.flatnonzero(counts)
-        return slots, counts[slots]
+        rows = often.reshape(-1, BLOCK)
+        blocks = np.flatnonzero(rows.any(axis=1))
+        none = pa.nulls(len(blocks), pa.int64())
+        data = pa.array([_pack(rows[i]) for i in blocks], pa.binary())
+        return none, none, none, none, pa.nulls(len(blocks), pa.binary()), blocks, data
 
     return work, rest
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // BLOCK}").astype(np.int64)
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            total[block] = total.get(block, 0) + _unpack(data.as_buffer())
+    data = pa.array([_pack(x) for x in total.values()], pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), data], ["block", "often"])
+
+
+def _order(described: DataFrame) -> np.ndarray:
+    """A coarse rank of every slot's frequency, in a byte."""
+    blocks = described.where("block IS NOT NULL").select("block", "often").repartition("block")
+    often = np.zeros((SLOTS // BLOCK, BLOCK), np.int64)
+    for row in blocks.mapInArrow(_add_up, "block long, often binary").collect():
+        often[row[0]] = _unpack(row[1])
+    return (4 * np.log2(often.ravel() + 1.0)).astype(np.uint8)
+
+
 def _windows(often: np.ndarray, share: int, parts: int):
     """Regions of each set: its first shingles in the fixed order. A set is sent once by a task."""
 
     def make():
-        seen: set[int] = set()
+        pick = _New()
 
         def work(ids: pa.Array, t: _Texts):
-            new = np.zeros(len(t.sizes), bool)
-            for i, mark in enumerate(t.marks[0].tolist()):
-                if t.sizes[i] and mark not in seen and ids[i].is_valid:
-                    if len(seen) >= _SEEN:
-                        seen.clear()
-                    seen.add(mark)
-                    new[i] = True
-            order = np.lexsort((t.hashes, often[(t.hashes >> _U(48)).astype(np.int64)], t.text))
+            new = pick(ids, t)
+            slots = (t.hashes % _U(SLOTS)).astype(np.int64)
+            order = np.lexsort((t.hashes, often[slots], t.text))
             reach = t.sizes - -(-share * t.sizes // parts) + 1
             place = np.arange(len(t.text)) - t.first[t.text]
             kept = new[t.text] & (place < reach[t.text])
@@ -212,19 +272,30 @@ def _windows(often: np.ndarray, share: int, parts: int):
 
 def _whole_sets():
     def work(ids: pa.Array, t: _Texts):
-        n = len(t.sizes)
-        cell = t.text * SLICES + (t.hashes % _U(SLICES)).astype(np.int64)
-        counts = np.bincount(cell, minlength=n * SLICES).astype(np.int32)
-        slices = pa.ListArray.from_arrays(
-            pa.array(np.arange(n + 1, dtype=np.int32) * SLICES), pa.array(counts)
-        )
         ends = np.append(t.first, len(t.hashes)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(t.hashes.view(np.int64)))
-        return t.marks[0], t.sizes.astype(np.int64), slices, lists
+        return t.marks[0], t.sizes.astype(np.int64), lists
 
     return work, None
 
 
+def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most that two sets can have in common by their counts in slices (or by their sizes)."""
+    for batch in batches:
+        sides = zip(*(batch.column(x) for x in ("na", "nb", "sa", "sb")))
+        bounds = np.zeros(batch.num_rows, np.int64)
+        for i, (na, nb, sa, sb) in enumerate(sides):
+            if not (sa.is_valid and sb.is_valid):
+                bounds[i] = min(na.as_py(), nb.as_py())
+                continue
+            x, y = (np.frombuffer(s.as_buffer(), np.uint8) for s in (sa, sb))
+            few = min(len(x), len(y))
+            x, y = (s if len(s) == few else s.reshape(-1, few).sum(axis=0) for s in (x, y))
+            bounds[i] = np.minimum(x, y).sum()
+        kept = [batch.column(x) for x in ("a", "b", "na", "nb")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(bounds)], ["a", "b", "na", "nb", "bound"])
+
+
 def _linked(common: Column, a: Column, b: Column, share: int, parts: int) -> Column:
     return parts * common >= share * (a + b - common)
 
@@ -259,8 +330,9 @@ def ngram_join(
     if not 0 < share <= parts:
         raise ValueError("the least similarity is above 0 and at most 1")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = _by_texts(source, "doc_id long, n long, node long, mark long", _describe, size)
-    described = stored(described, "join-sets")
+    described = stored(_by_texts(source, _DESCRIBED, _describe, size), "join-sets")
+    often = _order(described)
+    described = described.where("block IS NULL")
     with_id = described.where("doc_id IS NOT NULL AND n > 0")
     collision = F.raise_error(F.lit("two shingle sets have one hash")).cast("long")
     classes = with_id.groupBy("node").agg(
@@ -268,11 +340,6 @@ def ngram_join(
     )
 
     # Common shingles come last in the order; any order gives the same links.
-    often = np.zeros(SLOTS, np.int64)
-    slots = _by_texts(source, "slot long, often long", _count_slots, size)
-    for row in slots.groupBy("slot").agg(F.sum("often")).collect():
-        often[row[0]] = row[1]
-
     keyed = _by_texts(
         source, "region long, node long, n long, at long", _windows(often, share, parts), size
     )
@@ -295,26 +362,24 @@ def ngram_join(
         .distinct(),
         "join-regions",
     )
+    regions = stored(_first_of_equal(regions), "join-regions")
     _release(docs.sparkSession)
-    members = stored(
-        classes.join(regions.select("node").distinct(), "node", "left_semi").select("doc_id"),
-        "join-members",
-    )
-    whole = _by_texts(
-        source.join(members.distinct(), "doc_id", "left_semi"),
-        "node long, n long, slices array<int>, shingles array<bigint>",
-        _whole_sets,
-        size,
-    )
-    # A set may be there twice if rows share a doc_id; the pairs found with it are made distinct.
-    sets = stored(whole.where("n > 0"), "join-shingles")
-    _release(docs.sparkSession)
-    labels = sets.select("node", F.col("node").alias("component")).distinct()
+    nodes = with_id.groupBy("node").agg(F.first("n").alias("n"), F.max("slices").alias("slices"))
+    placed = regions.select("node").distinct()
+    nodes = stored(split_join(nodes, placed, ["node"], "left_semi"), "join-slices")
+    labels = nodes.select("node", F.col("node").alias("component"))
     labels = stored(labels, "join-labels")
 
+    def whole(wanted: DataFrame) -> DataFrame:
+        """The sets of some nodes; some may be there twice if rows share a doc_id."""
+        ids = stored(split_join(classes, wanted, ["node"], "left_semi").select("doc_id"), "join-members")
+        texts = source.join(ids.distinct(), "doc_id", "left_semi")
+        sets = _by_texts(texts, "node long, n long, shingles array<bigint>", _whole_sets, size)
+        return stored(sets.where("n > 0"), "join-shingles")
+
     more, pivots = True, PIVOTS[0]
     while more:
-        regions, labels, more = _level(regions, labels, sets, share, parts, pivots)
+        regions, labels, more = _level(regions, labels, nodes, whole, share, parts, pivots)
         _release(docs.sparkSession)
         pivots = PIVOTS[1]
 
@@ -328,8 +393,27 @@ def ngram_join(
     ).withColumnRenamed("n", "n_shingles")
 
 
+def _first_of_equal(regions: DataFrame) -> DataFrame:
+    """Of regions with the same members, the one whose shingle comes first in the order. Two
+    documents' first common region stays: one before it would be common to them too."""
+    members = regions.groupBy("region").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+        F.sum("at").alias("at"),
+    )
+    first = members.groupBy("members", "x", "y").agg(F.min(F.struct("at", "region")).alias("first"))
+    return split_join(regions, first.select("first.region"), ["region"], "left_semi")
+
+
 def _level(
-    regions: DataFrame, labels: DataFrame, sets: DataFrame, share: int, parts: int, pivots: int
+    regions: DataFrame,
+    labels: DataFrame,
+    nodes: DataFrame,
+    whole: Callable[[DataFrame], DataFrame],
+    share: int,
+    parts: int,
+    pivots: int,
 ) -> tuple[DataFrame, DataFrame, bool]:
     """One level of the recursion: the regions to go on with, the components, and whether any
     region is left. Early members are pivots first, those of a cell last; the first pivot splits
@@ -374,43 +458,39 @@ def _level(
         | ((F.col("componenta") != F.col("componentb")) & _linked(most, F.col("na"), F.col("nb"), share, parts))
     )
     a, b = F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")
-    wanted = (F.col("nodea") == F.col("first")).alias("ring")
-    pairs = pairs.select(a, b, F.lit(False).alias("ring")).union(stars.select(a, b, wanted))
-    pairs = pairs.groupBy("a", "b").agg(F.max("ring").alias("ring"))
-
-    # Counts by slice bound what two sets have in common; only pairs that may be linked, and with
-    # the first pivot those that may lie within 2 r, are compared in full.
-    wide = max(2 * share - parts, 0)
-    counted = pairs
+    pairs = pairs.select(a, b).union(stars.select(a, b)).distinct()
     for x in "ab":
-        counted = counted.join(sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("slices").alias(f"s{x}")), x)
-    shared = F.zip_with("sa", "sb", lambda x, y: F.least(x, y))
-    bound = F.aggregate(shared, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    near = _linked(F.col("bound"), F.col("na"), F.col("nb"), share, parts) | (
-        F.col("ring") & _linked(F.col("bound"), F.col("na"), F.col("nb"), wide, parts)
-    )
-    counted = stored(
-        counted.withColumn("bound", bound)
-        .select("a", "b", "na", "nb", near.alias("near"))
-        .distinct(),
-        "join-bounds",
+        side = nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("slices").alias(f"s{x}"))
+        pairs = split_join(pairs, side, [x], "inner")
+    counted = pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(
+        _bound, "a long, b long, na long, nb long, bound long"
     )
-    found = counted.where("near").select("a", "b", "na", "nb")
-    for x in "ab":
-        found = found.join(sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")), x)
-    common = F.size(F.array_intersect("sa", "sb"))
-    found = found.select("a", "b", "na", "nb", common.alias("common")).distinct()
-    found = stored(found, "join-pairs")
-    linked = found.where(_linked(F.col("common"), F.col("na"), F.col("nb"), share, parts))
+    counted = stored(counted, "join-bounds")
+
+    def linked_by(common: str, least: int) -> Column:
+        return _linked(F.col(common), F.col("na"), F.col("nb"), least, parts)
+
+    linked = counted.where(linked_by("bound", share)).drop("bound")
+    if not linked.isEmpty():
+        sets = whole(linked.select("a").union(linked.select("b")).distinct().toDF("node"))
+        for x in "ab":
+            side = sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
+            linked = split_join(linked, side, [x], "inner")
+        linked = linked.withColumn("common", F.size(F.array_intersect("sa", "sb")))
+        linked = linked.where(linked_by("common", share)).select("a", "b").distinct()
+    else:
+        linked = linked.select("a", "b")
+    linked = stored(linked, "join-pairs")
     labels = _relabel(labels, linked)
 
-    # Distance from the first pivot, in parts of the whole: within r, within 2 r, or beyond.
-    union = F.col("na") + F.col("nb") - F.col("common")
-    apart = parts * (union - F.col("common"))
-    ring = F.when(apart <= (parts - share) * union, 0).when(
-        apart <= 2 * (parts - share) * union, 1
-    ).otherwise(2)
-    measured = found.select("a", "b", ring.alias("ring"))
+    # Distance from the first pivot: within r (0), by the bound within 2 r (1), or beyond (2).
+    wide = F.when(linked_by("bound", max(2 * share - parts, 0)), 1).otherwise(2)
+    measured = split_join(
+        counted.select("a", "b", wide.alias("wide")),
+        linked.withColumn("close", F.lit(0)),
+        ["a", "b"],
+        "left",
+    ).select("a", "b", F.coalesce("close", "wide").alias("ring"))
     left = large.where(~((F.col("turn") <= pivots) & F.col("early"))).select("region", *own)
     left = split_join(left, first, ["region"], "inner").withColumns(
         {"a": F.least("node", "first"), "b": F.greatest("node", "first")}
