@@ -40,7 +40,7 @@ SLOTS, BLOCK = 1 << 20, 1 << 12
 #: Largest region that is compared pair by pair.
 LEAF = 64
 #: Pivots of a larger region: one while it may be one cluster, several once that is known.
-PIVOTS = (1, 32)
+PIVOTS = (1, 256)
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
 _BYTES = 2 << 20
 _SEEN = 100_000
@@ -436,8 +436,8 @@ def _level(
     own = ["node", "n", "at", "early", "settled"]
     large = here.where(F.col("members") > LEAF)
 
-    def end(rows: DataFrame, name: str) -> DataFrame:
-        columns = [F.col(x).alias(f"{x}{name}") for x in ("node", "component", "n", "at")]
+    def end(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        columns = [F.col(x).alias(f"{x}{name}") for x in ("node", "component", "n", "at", *more)]
         return rows.select("region", *columns)
 
     # What two sets can still have in common from the places of this shingle on.
@@ -450,13 +450,14 @@ def _level(
         .where(_linked(most, F.col("na"), F.col("nb"), share, parts))
     )
     leads = large.where((F.col("turn") <= pivots) & F.col("early"))
-    stars = end(leads, "a").join(end(large, "b"), "region").where("nodea <> nodeb")
     # The first pivot's distances are all wanted, the others' where they can link.
-    first = large.where("turn = 1").select("region", F.col("node").alias("first"))
-    stars = split_join(stars, first, ["region"], "inner").where(
-        (F.col("nodea") == F.col("first"))
-        | ((F.col("componenta") != F.col("componentb")) & _linked(most, F.col("na"), F.col("nb"), share, parts))
+    able = (F.col("componenta") != F.col("componentb")) & _linked(most, F.col("na"), F.col("nb"), share, parts)
+    stars = (
+        end(leads, "a", "turn")
+        .join(end(large, "b"), "region")
+        .where((F.col("nodea") != F.col("nodeb")) & ((F.col("turna") == 1) | able))
     )
+    first = large.where("turn = 1").select("region", F.col("node").alias("first"))
     a, b = F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")
     pairs = pairs.select(a, b).union(stars.select(a, b)).distinct()
     for x in "ab":
