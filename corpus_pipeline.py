@@ -15,8 +15,9 @@ from silverloom.llm.pii import find_pii, mask_pii
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return keep_good(docs)
+    """Documents that the quality rules keep, without the lines common to their source;
+    ``n_chars`` follows."""
+    return keep_good(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

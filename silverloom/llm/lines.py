@@ -88,12 +88,13 @@ def _text_keys(df: DataFrame, text: str, host: str) -> DataFrame:
     )
 
 
-def common_words(
+def common_lines(
     docs: DataFrame, text: str = "text", host: str = "source", scratch: str | None = None
 ) -> DataFrame:
-    """Words in common lines, for each distinct text of a host that has any.
+    """Places and words of the common lines, for each distinct text of a host that has any.
 
-    Returns ``__host, __t1, __t2, __common`` (long). Copies of a text count once, so that a text
+    Returns ``__host, __t1, __t2, __common`` (long) and ``__places`` (of the text split at line
+    feeds, from 0). Copies of a text count once, so that a text
     is not held against itself. Lines travel as hashes; a line that a third of the documents
     has is counted partially before it is moved, and its rows can be split in the join.
     """
@@ -105,7 +106,7 @@ def common_words(
             "__t2",
             F.posexplode(
                 F.transform(
-                    lines_with_words(F.col(text)),
+                    F.split(F.coalesce(F.col(text), F.lit("")), "\n"),
                     lambda x: F.struct(
                         F.xxhash64(normal_line(x)).alias("line"), F.size(words(x)).alias("n")
                     ),
@@ -113,6 +114,7 @@ def common_words(
             ).alias("pos", "at"),
         )
         .select("__host", "__t1", "__t2", "pos", "at.line", "at.n")
+        .where("n > 0")
         .distinct()
     )
     lines = stored(found, "lines", scratch)
@@ -131,7 +133,32 @@ def common_words(
         .select("__host", "line")
     )
     held = split_join(lines, often, ["__host", "line"], "left_semi")
-    return held.groupBy("__host", "__t1", "__t2").agg(F.sum("n").alias("__common"))
+    return held.groupBy("__host", "__t1", "__t2").agg(
+        F.sum("n").alias("__common"), F.collect_list("pos").alias("__places")
+    )
+
+
+def remove_common_lines(
+    docs: DataFrame, text: str = "text", host: str = "source", scratch: str | None = None
+) -> DataFrame:
+    """Every row of ``docs``, its text without the lines common to the host (see
+    :func:`judge_quality`). All other lines, blank ones too, stay as they are, in order.
+
+    Only the places of common lines are moved, not lines; they are joined to the documents,
+    where rows of one text can be split, and each text is rebuilt within its row.
+    """
+    common = stored(common_lines(docs, text, host, scratch), "common")
+    return _cleaned(_text_keys(docs, text, host), common, text).select(*docs.columns)
+
+
+def _cleaned(keyed: DataFrame, common: DataFrame, text: str) -> DataFrame:
+    step = split_join(keyed, common.drop("__common"), ["__host", "__t1", "__t2"], "left")
+    # A column of its own, so that a text is split once and not once a line.
+    parts = F.when(F.col("__places").isNotNull(), F.split(F.col(text), "\n"))
+    step = step.withColumn("__parts", parts)
+    left = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), F.col("__places"))
+    rest = F.array_join(F.transform(left, lambda i: F.get("__parts", i)), "\n")
+    return step.withColumn(text, F.when(F.col("__parts").isNull(), F.col(text)).otherwise(rest))
 
 
 def judge_quality(
@@ -151,13 +178,16 @@ def judge_quality(
     """
     new = [*_STATS, "base_failed", "kept"]
     docs = docs.drop(*[c for c in docs.columns if c in new])
-    return _judged(docs, text, host, scratch).select(*docs.columns, *new)
+    common = stored(common_lines(docs, text, host, scratch), "common")
+    return _judged(docs, common, text, host).select(*docs.columns, *new)
 
 
-def _judged(docs: DataFrame, text: str, host: str, scratch: str | None) -> DataFrame:
-    common = stored(common_words(docs, text, host, scratch), "common")
+def _judged(docs: DataFrame, common: DataFrame, text: str, host: str) -> DataFrame:
     judged = split_join(
-        _text_keys(text_stats(docs, text), text, host), common, ["__host", "__t1", "__t2"], "left"
+        _text_keys(text_stats(docs, text), text, host),
+        common.drop("__places"),
+        ["__host", "__t1", "__t2"],
+        "left",
     )
     n, repeated = F.col("n_words"), F.col("n_repeat_words")
     failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEATED * n)
@@ -168,16 +198,19 @@ def _judged(docs: DataFrame, text: str, host: str, scratch: str | None) -> DataF
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that :func:`judge_quality` keeps.
+    """The rows of ``docs`` that :func:`judge_quality` keeps, without the lines common to the host.
 
     Verdicts hang on the text and its host alone. They are stored, without the texts, and the
-    rejected ones are taken from the documents by an anti join.
+    rejected ones are taken from the documents by an anti join. Common lines are those of all
+    the documents, rejected ones too.
     """
     keys = ["__host", "__t1", "__t2"]
     used = docs.select(F.col(text).alias("text"), F.col(host).alias("host"))
-    verdicts = stored(_judged(used, "text", "host", None).select(*keys, "kept"), "verdicts")
+    common = stored(common_lines(used, "text", "host"), "common")
+    verdicts = stored(_judged(used, common, "text", "host").select(*keys, "kept"), "verdicts")
     gone = stored(verdicts.where("NOT kept").select(*keys).distinct(), "rejected")
-    return split_join(_text_keys(docs, text, host), gone, keys, "left_anti").select(*docs.columns)
+    kept = split_join(_text_keys(docs, text, host), gone, keys, "left_anti")
+    return _cleaned(kept, common, text).select(*docs.columns)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +218,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs).select("doc_id", *_STATS, "base_failed", "kept")
 
 
+def op10_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return remove_common_lines(docs).select("doc_id", "text")
+
+
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 SQL = {
@@ -220,5 +258,23 @@ SQL = {
       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words)
         AND n_words - gone >= n_words * {MIN_LEFT} AS kept
     FROM s
-    """
+    """,
+    "op10_clean_texts": rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, chr(1)) AS host, text
+        FROM documents),
+    ps AS (SELECT rid, host, text, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS place
+           FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS parts FROM d)),
+    ln AS (SELECT rid, host, text, place, part, regexp_matches(part, '[^{SPACE}]') AS full_line,
+             translate(trim(regexp_replace(part, '[{SPACE}]+', ' ', 'g')), '{_UPPER}', '{_LOWER}') AS line
+           FROM ps),
+    texts AS (SELECT host, count(DISTINCT text) AS texts FROM ln WHERE full_line GROUP BY host),
+    often AS (SELECT host, line FROM
+        (SELECT host, line, count(DISTINCT text) AS having_it FROM ln WHERE full_line GROUP BY host, line)
+        JOIN texts USING (host)
+        WHERE having_it > {COMMON_TEXTS} AND having_it > texts * {COMMON_SHARE}),
+    rest AS (SELECT rid, string_agg(part, chr(10) ORDER BY place) AS body
+             FROM ln ANTI JOIN often USING (host, line) GROUP BY rid)
+    SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(body, '') END AS text
+    FROM d LEFT JOIN rest USING (rid)
+    """,
 }

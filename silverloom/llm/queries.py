@@ -13,6 +13,7 @@ QUERIES = {
     "op8_url_filters": urls.op8_url_filters,
     "op9_sharding": shards.op9_sharding,
     "op10_quality_rules": lines.op10_quality_rules,
+    "op10_clean_texts": lines.op10_clean_texts,
 }
 
 SQL = {**urls.SQL, **lines.SQL}

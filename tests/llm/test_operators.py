@@ -386,3 +386,22 @@ def test_depleted_documents_go_and_copies_do_not_count(spark):
     assert len(got) == len(rows)
     assert [k for k, v in got.items() if not v] == [90, 91, 200]
     assert lines.judge_quality(df.where("doc_id > 999")).isEmpty()
+
+
+def test_common_lines_are_removed(spark):
+    def space(i):
+        return ["", "\n", " \n\n"][i % 3]
+
+    rows = [(i, f"Share  this\n{space(i)}{' '.join(words(i, 80))}\n share THIS \r\nend {i}", "h") for i in range(30)]
+    rows += [(40 + i, f"share this\n{' '.join(words(40 + i, 80))}\n", "few") for i in range(9)]
+    rows += [(60, "share this", "h"), (61, None, "h"), (62, "", "h"), (63, "share this\n\n", "h")]
+    want = {i: f"{space(i)}{' '.join(words(i, 80))}\nend {i}" for i in range(30)}
+    want |= {k: t for k, t, s in rows if s == "few"} | {60: "", 61: None, 62: "", 63: "\n"}
+    df = spark.createDataFrame(rows * 2, DOC + ", source string").withColumn("pos", F.lit("clash"))
+    got = lines.remove_common_lines(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, repr(r.text)) for r in got.collect()) == sorted(
+        (k, repr(t)) for k, t in [*want.items()] * 2
+    )
+    good = {r.doc_id: r.text for r in lines.keep_good(df).collect()}
+    assert good == {k: t for k, t in want.items() if k < 60}
