@@ -22,6 +22,7 @@ no smaller. Only pairs that they leave open are compared shingle by shingle.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,9 @@ PIVOTS = (1, 256)
 _BYTES = 2 << 20
 _SEEN = 100_000
 
+#: Sets, and shingles in them, that a block of a region has on average where links are listed.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 19
+
 _U = np.uint64
 
 
@@ -306,27 +310,19 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def ngram_join(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    size: int = SHINGLE,
-    share: int = SHARE,
-    parts: int = PARTS,
-) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
+class _Prepared(NamedTuple):
+    """What both modes of the join start from."""
 
-    A text's set: its distinct runs of ``size`` words (A-Z lower-cased, cut at ASCII white space),
-    or all its words if it has fewer. Two documents are linked if ``parts * common >=
-    share * all`` of their shingles; ``component_id`` is the least doc_id that links lead to. Null,
-    empty and blank texts have no shingles and no links; rows without a doc_id have a null
-    component and link nothing; repeated rows stay; rows that share a doc_id are told apart by
-    their sets.
+    described: DataFrame
+    with_id: DataFrame
+    classes: DataFrame
+    regions: DataFrame
+    whole: Callable[[DataFrame], DataFrame]
 
-    Equal sets are one node throughout, so copies cost one row each. Shingles are 64-bit hashes
-    and sets are named by one, checked against a second: a collision stops the job. Only the fixed-size
-    frequency table and counts reach the driver. Every level of the recursion is stored.
-    """
+
+def _prepare(
+    docs: DataFrame, doc_id: str, text: str, size: int, share: int, parts: int
+) -> _Prepared:
     if not 0 < share <= parts:
         raise ValueError("the least similarity is above 0 and at most 1")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -364,12 +360,6 @@ def ngram_join(
     )
     regions = stored(_first_of_equal(regions), "join-regions")
     _release(docs.sparkSession)
-    nodes = with_id.groupBy("node").agg(F.first("n").alias("n"), F.max("slices").alias("slices"))
-    placed = regions.select("node").distinct()
-    nodes = stored(split_join(nodes, placed, ["node"], "left_semi"), "join-slices")
-    labels = nodes.select("node", F.col("node").alias("component"))
-    labels = stored(labels, "join-labels")
-
     def whole(wanted: DataFrame) -> DataFrame:
         """The sets of some nodes; some may be there twice if rows share a doc_id."""
         ids = stored(split_join(classes, wanted, ["node"], "left_semi").select("doc_id"), "join-members")
@@ -377,6 +367,36 @@ def ngram_join(
         sets = _by_texts(texts, "node long, n long, shingles array<bigint>", _whole_sets, size)
         return stored(sets.where("n > 0"), "join-shingles")
 
+    return _Prepared(described, with_id, classes, regions, whole)
+
+
+def ngram_join(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    share: int = SHARE,
+    parts: int = PARTS,
+) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
+
+    A text's set: its distinct runs of ``size`` words (A-Z lower-cased, cut at ASCII white space),
+    or all its words if it has fewer. Two documents are linked if ``parts * common >=
+    share * all`` of their shingles; ``component_id`` is the least doc_id that links lead to. Null,
+    empty and blank texts have no shingles and no links; rows without a doc_id have a null
+    component and link nothing; repeated rows stay; rows that share a doc_id are told apart by
+    their sets.
+
+    Equal sets are one node throughout, so copies cost one row each. Shingles are 64-bit hashes
+    and sets are named by one, checked against a second: a collision stops the job. Only the fixed-size
+    frequency table and counts reach the driver. Every level of the recursion is stored.
+    """
+    described, with_id, _, regions, whole = _prepare(docs, doc_id, text, size, share, parts)
+    nodes = with_id.groupBy("node").agg(F.first("n").alias("n"), F.max("slices").alias("slices"))
+    placed = regions.select("node").distinct()
+    nodes = stored(split_join(nodes, placed, ["node"], "left_semi"), "join-slices")
+    labels = nodes.select("node", F.col("node").alias("component"))
+    labels = stored(labels, "join-labels")
     more, pivots = True, PIVOTS[0]
     while more:
         regions, labels, more = _level(regions, labels, nodes, whole, share, parts, pivots)
@@ -525,6 +545,136 @@ def _relabel(labels: DataFrame, near: DataFrame) -> DataFrame:
     return stored(new.select("node", component), "join-labels")
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists, and where each list, none empty, starts."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(), np.cumsum(sizes) - sizes
+
+
+def _block_links(share: int, parts: int):
+    """Links of two blocks of a region (or within one) whose first common region it is."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        node = rows["node"].to_numpy()
+        _, once = np.unique(node, return_index=True)
+        rows = rows.take(pa.array(once)).combine_chunks()
+        node, n, block = (rows[x].to_numpy() for x in ("node", "n", "block"))
+        early = rows["early"].to_numpy(zero_copy_only=False).astype(bool)
+        (hashes, first), (homes, home) = (
+            _flat(rows[x].combine_chunks()) for x in ("shingles", "homes")
+        )
+        _, hashes = np.unique(hashes, return_inverse=True)
+        names, homes = np.unique(homes, return_inverse=True)
+        region = np.searchsorted(names, rows["region"][0].as_py()) if len(node) else 0
+        within = rows["lo"][0].as_py() == rows["hi"][0].as_py() if len(node) else True
+        marks = np.zeros(len(hashes) and hashes.max() + 1, bool)
+        never = len(homes) + 1
+        turn = np.full(len(names), never)
+        found = []
+        for i in np.flatnonzero(early):
+            good = (n > n[i]) | ((n == n[i]) & (node > node[i]))
+            good &= parts * n[i] >= share * n
+            if not within:
+                good &= block != block[i]
+            if not good.any():
+                continue
+            own = homes[home[i] : home[i + 1] if i + 1 < len(home) else None]
+            turn[own] = np.arange(len(own))
+            good &= np.minimum.reduceat(turn[homes], home) == turn[region]
+            turn[own] = never
+            if not good.any():
+                continue
+            mine = hashes[first[i] : first[i] + n[i]]
+            marks[mine] = True
+            common = np.add.reduceat(marks[hashes], first, dtype=np.int64)
+            marks[mine] = False
+            hit = np.flatnonzero(good & (parts * common >= share * (n + n[i] - common)))
+            found.append(np.stack([np.full(len(hit), node[i]), node[hit]]))
+        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"a": a, "b": b})
+
+    return work
+
+
+def _all_links(ready: _Prepared, share: int, parts: int) -> DataFrame:
+    """Every link (a, b) between two nodes, once.
+
+    The smaller set of a link is early in the first region that both share; only there is the
+    link taken. A region is cut into blocks and each pair of blocks is a group of its own, so a
+    region of any size is spread over tasks; within one the sets are compared shingle by shingle.
+    """
+    regions = ready.regions
+    sets = ready.whole(regions.select("node").distinct()).select("node", "shingles")
+    homes = regions.groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("at", "region")))["region"].alias("homes")
+    )
+    blocks = F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+    )
+    cut = regions.groupBy("region").agg(blocks.alias("blocks"))
+    rows = split_join(regions.select("region", "node", "n", "early"), cut, ["region"], "inner")
+    rows = split_join(split_join(rows, homes, ["node"], "inner"), sets, ["node"], "inner")
+    block = F.pmod(F.xxhash64("region", "node"), "blocks")
+    rows = rows.withColumn("block", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    )
+    lo, hi = F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+    rows = rows.select("region", lo, hi, "block", "node", "n", "early", "homes", "shingles")
+    ship_code(rows.sparkSession)
+    links = rows.groupBy("region", "lo", "hi").applyInArrow(
+        _block_links(share, parts), "a long, b long"
+    )
+    return stored(links, "join-links")
+
+
+def ngram_pairs(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    share: int = SHARE,
+    parts: int = PARTS,
+) -> DataFrame:
+    """Every link of :func:`ngram_join` between two different sets, once: ``a`` and ``b`` are the
+    least doc_ids that have them, ``a <= b`` (equal only if one doc_id has both).
+
+    These are as many rows as there are links, so a group of near copies has about the square of
+    its size; exact copies add none.
+    """
+    ready = _prepare(docs, doc_id, text, size, share, parts)
+    links = _all_links(ready, share, parts)
+    for x in "ab":
+        names = ready.classes.select(F.col("node").alias(x), F.col("doc_id").alias(f"id{x}"))
+        links = split_join(links, names, [x], "inner")
+    return links.select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
+
+
+def ngram_links(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    share: int = SHARE,
+    parts: int = PARTS,
+) -> DataFrame:
+    """``doc_id`` and ``n_links`` of every row of ``docs``: how many other rows it is linked to,
+    copies included, by the links of :func:`ngram_join`. Rows without shingles or a doc_id have 0.
+    """
+    ready = _prepare(docs, doc_id, text, size, share, parts)
+    links = _all_links(ready, share, parts)
+    copies = stored(ready.with_id.groupBy("node").agg(F.count(F.lit(1)).alias("copies")), "join-copies")
+    both = links.union(links.select("b", "a")).toDF("node", "other")
+    others = copies.withColumnRenamed("node", "other")
+    near = split_join(both, others, ["other"], "inner").groupBy("node").agg(F.sum("copies").alias("near"))
+    counts = split_join(copies, near, ["node"], "left").select(
+        "node", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")
+    )
+    linked = split_join(ready.with_id.select("doc_id", "node"), counts, ["node"], "inner")
+    alone = ready.described.where("doc_id IS NULL OR n = 0")
+    return linked.select("doc_id", "n_links").union(alone.select("doc_id", F.lit(0).cast("long")))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without those linked to a document of smaller id. Rows that share an
     id stay or go together, those without one stay."""
@@ -536,3 +686,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op1_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_links(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from silverloom.llm import ann, bpe, jaccard, lines, mixing, pii, shards, token_
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
+    "op1_ngram_links": jaccard.op1_ngram_links,
     "op2_token_ids": token_ids.op2_token_ids,
     "op3_pii": pii.op3_pii,
     "op4_nearest": ann.op4_nearest,

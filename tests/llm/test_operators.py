@@ -86,6 +86,34 @@ def test_join_without_ids_and_with_repeated_rows(spark):
     ]
 
 
+def test_join_lists_every_link(spark, monkeypatch):
+    rows = corpus() + [(None, "a b c"), (3, "a b c")]
+    sets = []
+    for _, text in rows:
+        found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        runs = [tuple(found[i : i + 5]) for i in range(len(found) - 4)]
+        sets.append(frozenset(runs or ([tuple(found)] if found else [])))
+    ids = [key for key, _ in rows]
+    least, links, pairs = {}, [0] * len(rows), set()
+    for key, s in zip(ids, sets):
+        if key is not None:
+            least[s] = min(least.get(s, key), key)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and None not in (ids[i], ids[j]) and 5 * len(a & b) >= 4 * len(a | b):
+                links[i] += 1
+                links[j] += 1
+                if a != b:
+                    pairs.add(tuple(sorted((least[a], least[b]))))
+    df = spark.createDataFrame(rows, DOC).repartition(6)
+    for block in (jaccard.BLOCK_SETS, 20):
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+        got = sorted(map(tuple, jaccard.ngram_links(df).collect()), key=repr)
+        assert got == sorted(zip(ids, links), key=repr)
+        assert sorted(map(tuple, jaccard.ngram_pairs(df).collect())) == sorted(pairs)
+    assert jaccard.ngram_links(df.where("doc_id > 9999")).isEmpty()
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
     random.Random(2).shuffle(links)
