@@ -8,10 +8,11 @@ import shutil
 import string
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +57,38 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def append_columns(
+    df: DataFrame,
+    source: str,
+    new: Mapping[str, str],
+    work: Callable[[pa.Array], Iterable[tuple[Sequence[int] | None, Sequence[pa.Array]]]],
+) -> DataFrame:
+    """``df`` with columns that ``work`` makes from the bytes of one column, batch by batch.
+
+    ``work`` yields pieces of a batch: places of rows (None: all of them, in order) and their new
+    columns. ``new`` gives names and types; columns of these names are replaced. Names of
+    other columns may hold any characters.
+    """
+    if source in new:
+        raise ValueError("the new columns need names of their own")
+    ship_code(df.sparkSession)
+    given = df.withColumn("__source", F.col(f"`{source}`").cast("binary")).drop(*new)
+    kept = given.drop("__source").columns
+    short = [f"c{i}" for i in range(len(kept))]
+    made = [f"n{i}" for i in range(len(new))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.select(short)
+            for places, columns in work(batch.column("source")):
+                rows = part if places is None else part.take(pa.array(places, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], [*short, *made])
+
+    kinds = [f.dataType.simpleString() for f in given.schema][: len(kept)] + list(new.values())
+    schema = ", ".join(f"{n} {kind}" for n, kind in zip([*short, *made], kinds))
+    return given.toDF(*short, "source").mapInArrow(run, schema).toDF(*kept, *new)
+
+
 def words(text: Column) -> Column:
     """The maximal runs of characters other than ASCII white space; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")

@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
-from silverloom.llm import ann, bpe, jaccard, lines, mixing, pii, shards, token_counts, token_ids, urls
+from silverloom.llm import ann, bpe, dialogue, jaccard, licenses, lines, mixing, pii, runs, shards
+from silverloom.llm import token_counts, token_ids, urls
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -15,6 +16,9 @@ QUERIES = {
     "op9_sharding": shards.op9_sharding,
     "op10_quality_rules": lines.op10_quality_rules,
     "op10_clean_texts": lines.op10_clean_texts,
+    "op11_license_scan": licenses.op11_license_scan,
+    "op12_dialogue_repair": dialogue.op12_dialogue_repair,
+    "op13_periodic_runs": runs.op13_periodic_runs,
 }
 
-SQL = {**urls.SQL, **lines.SQL}
+SQL = {**urls.SQL, **lines.SQL, **licenses.SQL, **dialogue.SQL}
