@@ -6,11 +6,10 @@ ranking ends in a tie-break and puts NULLs last.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverloom.operators.skew import common_type, exchanged, key_of
-from silverloom.session import ensure_checkpoint_dir
 
 
 def actor_topk(
@@ -99,153 +98,149 @@ def team_consistency(
     movie_id: str = "movie_id",
     name: str = "name",
     min_movies: int = 2,
-    hot_pairs: int = 1 << 22,
 ) -> DataFrame:
     """Per lead (say, director): movies led, distinct crew names in them, crew positions.
 
     The answer of the self-join of lead rows with all crew rows of the same movie, where a
-    position counts once per lead row. A movie of L lead rows and R rows contributes L * R
-    pairs. A first aggregate over the movies tells whether any of them exceeds ``hot_pairs``;
-    if none does, the pairs are formed and counted in two steps (per lead and name, then per
-    lead). If one does, they are not formed: see :func:`_teams_by_sets`.
+    position counts once per lead row; NULL leads are one lead, NULL names no members. A movie
+    of L lead rows and R rows would give L * R pairs. Positions are a sum over (lead, movie).
+    Distinct names are the union of sets, one per movie: below ``_LARGE`` rows a movie is one
+    row with its names, from which its pairs are made; above that its names are numbered and
+    become bitmaps, see :func:`_large_members`.
     """
     rows = crew.where(F.col(movie_id).isNotNull()).select(
         F.col(movie_id).alias("movie"), F.col(name).alias("name"), is_lead.alias("is_lead")
     )
-    sizes = rows.groupBy("movie").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("is_lead").alias("leads")
+    large = (
+        rows.groupBy("movie")
+        .agg(F.count(F.lit(1)).alias("rows"), F.count("name").alias("positions"))
+        .where(F.col("rows") >= _LARGE)
+        .select("movie", "positions")
     )
-    if sizes.where(_product("rows", "leads") > hot_pairs).isEmpty():
-        teams = _teams_by_join(rows, min_movies)
-    else:
-        teams = _teams_by_sets(rows, min_movies, hot_pairs)
-    return teams.orderBy(F.desc("movie_count"), F.asc_nulls_last("lead")).limit(k)
-
-
-def _product(a: str, b: str) -> Column:
-    # In floating point: the product of two counts may exceed a bigint.
-    return F.col(a).cast("double") * F.col(b)
+    by_movie = _on(rows, large, "movie")
 
-
-def _teams_by_join(rows: DataFrame, min_movies: int) -> DataFrame:
-    leads = rows.where("is_lead").select("movie", F.col("name").alias("lead"))
-    led = leads.distinct().groupBy("lead").agg(F.count(F.lit(1)).alias("movie_count"))
+    lead = F.when(F.col("is_lead"), F.struct("name"))  # a NULL name leads, no row does not
     teams = (
-        leads.join(rows.where(F.col("name").isNotNull()).select("movie", "name"), "movie")
-        .groupBy("lead", "name")
-        .agg(F.count(F.lit(1)).alias("positions"))
-        .groupBy("lead")
-        .agg(F.count(F.lit(1)).alias("members"), F.sum("positions").alias("positions"))
+        rows.alias("a")
+        .join(large.alias("b"), by_movie, "left_anti")
+        .groupBy("movie")
+        .agg(F.collect_list(lead).alias("leads"), F.collect_list("name").alias("names"))
+        .select("leads.name", F.explode(F.array_distinct("leads.name")).alias("lead"), "names")
+    )
+    times = F.size(F.filter("name", lambda x: x.eqNullSafe(F.col("lead"))))
+    one = F.lit(1).cast("bigint").alias("movies")
+    small_led = teams.select("lead", one, (times * F.size("names")).cast("bigint").alias("positions"))
+    pairs = teams.select("lead", F.explode(F.array_distinct("names")).alias("name"))
+
+    crowded = rows.alias("a").join(large.alias("b"), by_movie).select("a.*", "positions")
+    large_led = (
+        crowded.where("is_lead")
+        .groupBy("movie", F.col("name").alias("lead"))
+        .agg((F.count(F.lit(1)) * F.max("positions")).alias("positions"))
+    )
+    credits = (
+        crowded.where(F.col("name").isNotNull()).groupBy("movie", "name").agg(F.max("positions").alias("positions"))
     )
-    zero = F.lit(0)
+    members = _large_members(pairs, large_led, credits)
+    led = small_led.unionByName(large_led.select("lead", one, "positions"))
+    zero = F.lit(0).cast("bigint")
     return (
-        led.where(F.col("movie_count") >= min_movies)
-        .alias("l")
-        .join(teams.alias("t"), F.col("l.lead").eqNullSafe(F.col("t.lead")), "left")
-        .select(
-            F.col("l.lead").alias("lead"),
-            "movie_count",
-            F.coalesce("members", zero).alias("unique_crew_members"),
-            F.coalesce("positions", zero).alias("total_crew_positions"),
+        led.select("*", zero.alias("members"))
+        .unionByName(members.select("lead", zero.alias("movies"), zero.alias("positions"), "members"))
+        .groupBy("lead")
+        .agg(
+            F.sum("movies").alias("movie_count"),
+            F.sum("members").alias("unique_crew_members"),
+            F.sum("positions").alias("total_crew_positions"),
         )
+        .where(F.col("movie_count") >= min_movies)
+        .orderBy(F.desc("movie_count"), F.asc_nulls_last("lead"))
+        .limit(k)
     )
 
 
-def _teams_by_sets(rows: DataFrame, min_movies: int, hot_pairs: int) -> DataFrame:
-    """The same without forming the pairs of a large movie.
+#: Rows from which a movie is large; bits of one of Spark's bitmaps; names of a movie in a cell
+#: from which a bitmap, which leads may share, is worth its pairs.
+_LARGE, _BITS, _DENSE = 256, 32_768, 64
+
+
+def _on(left: DataFrame, right: DataFrame, *columns: str, null_safe: bool = False) -> Column:
+    """Equality of columns of two frames named ``a`` and ``b``, open to skew splitting."""
+    ours, theirs = ([key_of(df, c, x) for c in columns] for df, x in ((left, "a"), (right, "b")))
+    return exchanged(ours, theirs, null_safe)
+
 
-    * Rows are counted per (movie, name), so a huge movie is spread over its names. This
-      table is stored once, as everything else is derived from it.
-    * Positions are a sum over (lead, movie) of lead rows times the movie's named rows.
-    * Distinct names do need names per lead. An ordinary movie contributes its distinct
-      (lead, name) pairs, at most ``hot_pairs``. For larger movies, leads are grouped by
-      *which* of them they led: the names of such a set are counted once for all its leads,
-      and each lead adds the names of its ordinary movies that the set lacks.
+def _large_members(pairs: DataFrame, led: DataFrame, credits: DataFrame) -> DataFrame:
+    """``lead, members``, to be summed: ``pairs`` of small movies united with large movies' names.
+
+    A name's home is the largest of its movies; homes are cut into cells of at most ``_BITS``
+    names, so that the names of a large movie share few cells. Where a movie has ``_DENSE``
+    names of a cell, they are one bitmap. Leads with the same set of large movies share the
+    union of its bitmaps; the other names are (lead, name) pairs, which count unless their bit
+    is set in the union. So a movie adds fewer than ``_DENSE`` pairs per lead and thin cell and
+    no bitmap has fewer names. The windows see a name's movies, or one cell, at a time.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    credits = (
-        rows.groupBy("movie", "name")
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_lead").alias("lead_rows"))
-        .checkpoint()
-    )
-    movies = credits.groupBy("movie").agg(
-        F.sum(F.when(F.col("name").isNotNull(), F.col("rows")).otherwise(0)).alias("positions"),
-        F.count("name").alias("names"),
-        F.count_if(F.col("lead_rows") > 0).alias("leads"),
-    )
-    led = (
-        credits.where("lead_rows > 0")
-        .select("movie", F.col("name").alias("lead"), "lead_rows")
-        .alias("c")
-        .join(
-            movies.where("leads > 0").alias("m"),
-            exchanged([key_of(credits, "movie", "c")], [key_of(movies, "movie", "m")]),
-        )
+    home = F.max(F.struct("positions", "movie")).over(Window.partitionBy("name"))
+    part = F.pmod(F.xxhash64("name"), F.ceil(F.col("home.positions") / _BITS))
+    in_part = Window.partitionBy("home", "part").orderBy("name")
+    in_cell = Window.partitionBy("home", "cell", "movie")
+    place = F.dense_rank().over(in_part) - 1
+    bits = (
+        credits.select("movie", "name", home.alias("home"))
+        .select("movie", "name", F.col("home.movie").alias("home"), part.alias("part"))
+        .withColumn("place", place)
         .select(
-            "c.movie",
-            "lead",
-            "lead_rows",
-            "positions",
-            (_product("names", "leads") > hot_pairs).alias("hot"),
+            "movie",
+            "name",
+            "home",
+            (F.col("part") * _BITS + F.floor(F.col("place") / _BITS)).alias("cell"),
+            (F.col("place") % _BITS).alias("bit"),
         )
+        .withColumn("names", F.count(F.lit(1)).over(in_cell))
     )
-    leads = (
-        led.groupBy("lead")
-        .agg(
-            F.count(F.lit(1)).alias("movie_count"),
-            F.sum(F.col("lead_rows") * F.col("positions")).alias("total_crew_positions"),
-            F.sort_array(F.collect_set(F.when(F.col("hot"), F.col("movie")))).alias("hot_set"),
-        )
-        .where(F.col("movie_count") >= min_movies)
+    thin = bits.where(F.col("names") < _DENSE).select("movie", "name")
+    dense = (
+        bits.where(F.col("names") >= _DENSE)
+        .groupBy("movie", "home", "cell")
+        .agg(F.bitmap_construct_agg("bit").alias("bitmap"))
     )
-    named = credits.where(F.col("name").isNotNull()).select("movie", "name")
+    led = led.select("movie", "lead")
+    pairs = pairs.unionByName(
+        led.alias("a").join(thin.alias("b"), _on(led, thin, "movie")).select("lead", "name")
+    ).distinct()
 
-    ordinary = led.where(~F.col("hot")).select("movie", "lead")
-    kept = leads.select("lead", "hot_set")
-    same_lead = exchanged([key_of(ordinary, "lead", "a")], [key_of(kept, "lead", "b")], null_safe=True)
-    near = (
-        ordinary.alias("a").join(kept.alias("b"), same_lead)
-        .select("movie", "b.lead", "hot_set")
-        .join(named, "movie")
-        .select("lead", "hot_set", "name")
+    choices = led.groupBy("lead").agg(F.sort_array(F.collect_set("movie")).alias("movies"))
+    united = (
+        choices.select("movies")
         .distinct()
+        .select("movies", F.explode("movies").alias("movie"))
+        .join(dense, "movie")
+        .groupBy("movies", "home", "cell")
+        .agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
     )
-    hot_names = (
-        leads.where(F.size("hot_set") > 0)
-        .select("hot_set")
-        .distinct()
-        .select("hot_set", F.explode("hot_set").alias("movie"))
-        .join(named, "movie")
-        .select("hot_set", "name")
-        .distinct()
-    )
-    in_set = exchanged(
-        [key_of(near, c, "n") for c in ("hot_set", "name")],
-        [key_of(hot_names, c, "h") for c in ("hot_set", "name")],
+    of_set = _on(choices, united, "movies")
+    shared = choices.alias("a").join(united.alias("b"), of_set).select("lead", F.bitmap_count("bitmap").alias("members"))
+
+    numbers = bits.select("name", "home", "cell", "bit").distinct()
+    numbered = (
+        pairs.alias("a")
+        .join(choices.alias("b"), _on(pairs, choices, "lead", null_safe=True))
+        .select("a.lead", "name", "movies")
     )
-    near_count = (
-        near.alias("n").join(hot_names.alias("h"), in_set, "left_anti")
-        .groupBy("lead")
-        .agg(F.count(F.lit(1)).alias("near_names"))
-        .alias("n")
+    numbered = (
+        numbered.alias("a")
+        .join(numbers.alias("b"), _on(numbered, numbers, "name"))
+        .select("lead", "movies", "home", "cell", "bit")
     )
-    hot_count = hot_names.groupBy("hot_set").agg(F.count(F.lit(1)).alias("hot_names"))
-    zero = F.lit(0)
-    # Most leads share the empty set.
-    of_set = exchanged([key_of(leads, "hot_set", "l")], [key_of(hot_count, "hot_set", "s")])
-    return (
-        leads.alias("l")
-        .join(hot_count.alias("s"), of_set, "left")
-        .join(near_count, F.col("l.lead").eqNullSafe(F.col("n.lead")), "left")
-        .select(
-            F.col("l.lead").alias("lead"),
-            "movie_count",
-            (F.coalesce("near_names", zero) + F.coalesce("hot_names", zero)).alias(
-                "unique_crew_members"
-            ),
-            "total_crew_positions",
-        )
+    octet = F.conv(F.hex(F.substring("bitmap", F.expr("int(bit div 8) + 1"), F.lit(1))), 16, 10).cast("int")
+    is_set = octet.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) != 0
+    again = (
+        numbered.alias("a")
+        .join(united.alias("b"), _on(numbered, united, "movies", "home", "cell"))
+        .where(is_set)
     )
+    count = lambda n: F.lit(n).cast("bigint").alias("members")
+    return pairs.select("lead", count(1)).unionByName(again.select("lead", count(-1))).unionByName(shared)
 
 
 def career_history(

@@ -67,13 +67,22 @@ def q_team_consistency(spark, sf):
 
 
 def q_team_consistency_hot(spark, sf):
-    """Suppliers per (flag, status) group: few huge groups, so the large-movie path answers."""
+    """Suppliers per (flag, status) group: few huge groups."""
+    return _huge_teams(spark, sf, "l_suppkey")
+
+
+def q_team_consistency_dense(spark, sf):
+    """Parts per (flag, status) group: thousands of names in each, so bitmaps answer."""
+    return _huge_teams(spark, sf, "l_partkey")
+
+
+def _huge_teams(spark, sf, name):
     lines = table(spark, sf, "lineitem").withColumn(
         "team", F.concat("l_returnflag", "l_linestatus")
     )
     return team_consistency(
-        lines, F.col("l_discount") > 0.05, k=50, movie_id="team", name="l_suppkey", hot_pairs=64
-    ).withColumnRenamed("lead", "l_suppkey")
+        lines, F.col("l_discount") > 0.05, k=50, movie_id="team", name=name
+    ).withColumnRenamed("lead", name)
 
 
 def q_career_history(spark, sf):
@@ -145,6 +154,7 @@ QUERIES = {
     "year_revenue": q_year_revenue,
     "team_consistency": q_team_consistency,
     "team_consistency_hot": q_team_consistency_hot,
+    "team_consistency_dense": q_team_consistency_dense,
     "career_history": q_career_history,
     "row_counts": q_row_counts,
     "nulls_order": q_nulls_order,
@@ -221,6 +231,7 @@ SQL = {
         k=10,
     ),
     "team_consistency_hot": _TEAM_HOT,
+    "team_consistency_dense": _TEAM_HOT.replace("l_suppkey", "l_partkey"),
     "career_history": """
         SELECT s_name AS name, CAST(o_orderdate AS DATE) AS release_date,
                o_orderpriority AS title, l_returnflag AS role

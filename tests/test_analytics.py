@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from silverloom.plans import analytics
 from silverloom.plans import (
     actor_topk,
     career_history,
@@ -90,18 +91,20 @@ def brute_team(crew, min_movies=2):
 CREW = "movie_id int, name string, job string"
 
 
-@pytest.mark.parametrize("hot_pairs", [0, 12, 60, 1 << 22])
+@pytest.mark.parametrize("large,bits,dense", [(1, 4, 1), (5, 3, 2), (9, 32_768, 3), (256, 32_768, 64)])
 @pytest.mark.parametrize("seed", range(3))
-def test_team_consistency_against_brute_force(spark, seed, hot_pairs):
+def test_team_consistency_against_brute_force(spark, monkeypatch, seed, large, bits, dense):
+    """Every name in a bitmap, few of them, none."""
+    monkeypatch.setattr(analytics, "_LARGE", large)
+    monkeypatch.setattr(analytics, "_BITS", bits)
+    monkeypatch.setattr(analytics, "_DENSE", dense)
     rng = random.Random(seed)
     people = [None, *"abcdefgh"]
     crew = [
         (rng.choice([None, 1, 1, 1, 2, 3, 4, 5, 6]), rng.choice(people), rng.choice(["Director", "Editor"]))
         for _ in range(70)
     ]
-    got = team_consistency(
-        spark.createDataFrame(crew, CREW), F.col("job") == "Director", k=100, hot_pairs=hot_pairs
-    )
+    got = team_consistency(spark.createDataFrame(crew, CREW), F.col("job") == "Director", k=100)
     assert {r[0]: tuple(r[1:]) for r in rows(got)} == brute_team(crew)
 
 
@@ -110,9 +113,44 @@ def test_team_consistency_with_one_movie_holding_a_third_of_the_rows(spark):
     crew += [(1 + i % 200, f"p{i % 450}", "Director" if i % 3 else "Editor") for i in range(600)]
     df = spark.createDataFrame(crew, CREW)
     wanted = brute_team(crew)
-    for hot_pairs in (100, 1 << 22):
-        got = team_consistency(df, F.col("job") == "Director", k=1000, hot_pairs=hot_pairs)
-        assert {r[0]: tuple(r[1:]) for r in rows(got)} == wanted
+    got = team_consistency(df, F.col("job") == "Director", k=1000)
+    assert {r[0]: tuple(r[1:]) for r in rows(got)} == wanted
+
+
+def test_team_consistency_forms_no_pairs_of_large_movies(spark):
+    """1,500 leads in 8 movies of 1,000 names, each lead in movies of its own choice."""
+    rng = random.Random(5)
+    crew = [(m, f"p{i}", "Director" if (i >> m) % 2 else "Editor") for m in range(8) for i in rng.sample(range(1500), 1000)]
+    got = team_consistency(spark.createDataFrame(crew, CREW), F.col("job") == "Director", k=5000)
+    members, led = {}, {}
+    for movie, name, job in crew:
+        members.setdefault(movie, set()).add(name)
+        if job == "Director":
+            led.setdefault(name, []).append(movie)
+    wanted = {
+        lead: (len(ms), len(set().union(*(members[m] for m in ms))), 1000 * len(ms))
+        for lead, ms in led.items()
+        if len(ms) > 1
+    }
+    assert {r[0]: tuple(r[1:]) for r in rows(got)} == wanted
+    # The self-join has some four million pairs; no operator of the plan that ran comes near.
+    counts = [m.value() for m in _row_metrics(got._jdf.queryExecution().executedPlan())]
+    assert counts and max(counts) < 400_000
+
+
+def _row_metrics(plan):
+    """``number of output rows`` of every operator, through stages that ran apart."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        yield from _row_metrics(plan.plan())
+        return
+    found = plan.metrics().get("numOutputRows")
+    if found.isDefined():
+        yield found.get()
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _row_metrics(children.apply(i))
 
 
 def test_team_ranking_ties(spark):
