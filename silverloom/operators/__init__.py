@@ -20,7 +20,7 @@ from silverloom.operators.quality import (
     row_counts,
     run_suite,
 )
-from silverloom.operators.scd2 import scd2_apply, scd2_stage
+from silverloom.operators.scd2 import scd2_apply, scd2_chain, scd2_stage
 
 __all__ = [
     "AmbiguousMerge",
@@ -42,6 +42,7 @@ __all__ = [
     "row_counts",
     "run_suite",
     "scd2_apply",
+    "scd2_chain",
     "scd2_stage",
     "top_k",
     "union_all",

@@ -10,19 +10,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverloom.operators.skew import common_type, exchanged, key_of
 
-_HIT = "__hit"
 _COPIES = "__copies"
 
 Expr = Column | str
 
 
-class AmbiguousMerge(ValueError):
-    """More than one source row would update the same target row."""
+#: More than one source row would update the same target row; raised by the job that runs the merge.
+AmbiguousMerge = SparkRuntimeException
 
 
 @dataclass(frozen=True)
@@ -70,68 +70,89 @@ def _known(names: Sequence[str], frame: DataFrame, what: str) -> None:
         raise ValueError(f"{what} not found: {', '.join(unknown)}")
 
 
-def reject_ambiguous(
+def _key_counts(frame: DataFrame, keys: Mapping[str, str], name: str) -> DataFrame:
+    """Rows per key, under new names; keys with a NULL part match nothing and are left out."""
+    return (
+        frame.where(_every([F.col(f"`{c}`").isNotNull() for c in keys]))
+        .groupBy(*[F.col(f"`{c}`").alias(alias) for c, alias in keys.items()])
+        .agg(F.count(F.lit(1)).alias(name))
+    )
+
+
+def _ambiguous(keys: Sequence[str]) -> Column:
+    named = [F.concat(F.lit(f"'{k}': "), F.col(f"`{k}`").cast("string")) for k in keys]
+    return F.concat(F.lit("several source rows update the target row with "), F.concat_ws(", ", *named))
+
+
+def nothing(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df``, known to be empty, with the columns of ``like``: added to a result for its checks."""
+    return df.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
+
+
+def ambiguous_rows(
     target: DataFrame,
     source: DataFrame,
     keys: Mapping[str, str],
-    acts: Column | None,
+    acts: Column,
     target_alias: str = "t",
     source_alias: str = "s",
-) -> None:
-    """Raise :class:`AmbiguousMerge` if some target row has two or more acting source rows.
+) -> DataFrame:
+    """No rows, with the target's columns. Running it raises :data:`AmbiguousMerge` if some target
+    row has two or more source rows on which ``acts`` holds.
 
-    ``acts`` is the condition under which a matched row changes its target (None: always).
-    The usual case costs one aggregate over the source keys. Only if a key is repeated are
-    the target rows of the repeated keys looked at.
+    A merge adds it to its result, so the check is part of the merge's own job. The source is
+    counted by its keys; only rows of repeated keys are joined, usually none, and then AQE drops
+    the join.
     """
-    source_keys = list(keys.values())
-    repeated = (
-        source.where(_every([F.col(f"`{c}`").isNotNull() for c in source_keys]))
-        .groupBy(*[F.col(f"`{c}`") for c in source_keys])
-        .count()
-        .where("count > 1")
-        .select(*[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(source_keys)])
-    )
-    if repeated.isEmpty():
-        return
+    inner = {c: f"__k{i}" for i, c in enumerate(keys)}
+    repeated = _key_counts(source, dict(zip(keys.values(), inner.values())), _COPIES)
+    repeated = repeated.where(F.col(_COPIES) > 1).select(*inner.values())
 
     def within_repeated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        matches = [_field("__l", c) == _field("__r", f"__k{i}") for i, c in enumerate(columns)]
-        return df.alias("__l").join(repeated.alias("__r"), _every(matches), "left_semi")
-
-    suspects = within_repeated(target, list(keys))
-    if acts is None:
-        clash = suspects.select(*[F.col(f"`{c}`") for c in keys])
-    else:
-        # Equal target rows match alike, so their content serves as identity.
-        rows = within_repeated(source, source_keys)
-        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(_COPIES))
-        t, s = suspects.distinct().alias(target_alias), rows.alias(source_alias)
-        matched = _every([_field(target_alias, a) == _field(source_alias, b) for a, b in keys.items()])
-        clash = (
-            t.join(s, matched & acts)
-            .groupBy(*[_field(target_alias, c).alias(c) for c in target.columns])
-            .agg(F.sum(_COPIES).alias(_COPIES))
-            .where(F.col(_COPIES) > 1)
-            .select(*[F.col(f"`{c}`") for c in keys])
-        )
-    example = clash.first()
-    if example is not None:
-        raise AmbiguousMerge(f"several source rows update the target row with {example.asDict()}")
+        ours = [key_of(df, c, "__l") for c in columns]
+        matches = exchanged(ours, [key_of(repeated, k, "__r") for k in inner.values()])
+        return df.alias("__l").join(repeated.alias("__r"), matches, "left_semi")
+
+    # Equal target rows match alike, so their content serves as identity.
+    rows = within_repeated(source, list(keys.values()))
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    suspects = within_repeated(target, list(keys)).distinct()
+    matched = exchanged(
+        [key_of(suspects, a, target_alias) for a in keys],
+        [key_of(rows, b, source_alias) for b in keys.values()],
+    )
+    clashes = (
+        suspects.alias(target_alias)
+        .join(rows.alias(source_alias), matched & acts)
+        .groupBy(*[_field(target_alias, c).alias(c) for c in target.columns])
+        .agg(F.sum(_field(source_alias, _COPIES)).alias(_COPIES))
+    )
+    fails = F.raise_error(_ambiguous(list(keys))).cast("boolean")
+    return nothing(clashes.where(F.when(F.col(_COPIES) > 1, fails).otherwise(False)), target)
 
 
-def present_keys(target: DataFrame, source: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+def shared_keys(
+    target: DataFrame, source: DataFrame, keys: Mapping[str, str], once: bool = False
+) -> DataFrame:
     """Distinct keys found on both sides, under the source's names.
 
-    Deduplicating first lets a key that owns much of either side collapse before the shuffle.
-    If the source is small enough to broadcast, Catalyst moves the semi join below the
-    target's distinct and the target keys are reduced where they are scanned.
+    Counting first lets a key that owns much of either side collapse before the shuffle. If
+    the source is small enough to broadcast, Catalyst moves the semi join below the target's
+    aggregate and the target keys are reduced where they are scanned. With ``once`` a shared
+    key that the source repeats raises :data:`AmbiguousMerge`; that reads the same counts again.
     """
-    target_keys = target.select(*[F.col(f"`{t}`").alias(s) for t, s in keys.items()]).distinct()
-    source_keys = source.select(*[F.col(f"`{s}`") for s in keys.values()]).distinct()
-    for s in keys.values():
-        common_type(target_keys.schema[s].dataType, source_keys.schema[s].dataType)
-    return target_keys.join(source_keys, list(keys.values()), "left_semi")
+    names = list(keys.values())
+    ours = _key_counts(target, keys, "__rows")
+    theirs = _key_counts(source, {s: s for s in names}, _COPIES)
+    for s in names:
+        common_type(ours.schema[s].dataType, theirs.schema[s].dataType)
+    held = ours.join(theirs.select(*names), names, "left_semi")
+    if once:
+        # Naming both counts keeps the test from being moved to one side of the join.
+        clash = (F.col("__rows") > 0) & (F.col(_COPIES) > 1)
+        fails = F.when(clash, F.raise_error(_ambiguous(names)).cast("boolean")).otherwise(True)
+        held = held.join(theirs, names).where(fails)
+    return held.select(*names)
 
 
 def merge(
@@ -157,7 +178,9 @@ def merge(
     Plan: the target is the streamed side of one left join whose condition includes the
     clause conditions, so a small source is broadcast and the target is not shuffled, and a
     hot target key may be split by AQE (a full outer join would allow neither). Inserts come
-    from an anti join against the keys both sides share.
+    from an anti join against the keys both sides share. Two source rows that act on one target
+    row make the job that runs the result fail with :data:`AmbiguousMerge`: without conditions
+    the shared keys' counts tell, with conditions :func:`ambiguous_rows` does.
     """
     keys = _key_pairs(on)
     _known(list(keys), target, "target key")
@@ -179,34 +202,37 @@ def merge(
     if source_condition is not None:
         eligible = source.alias(source_alias).where(_expr(source_condition))
 
+    acts, checks = None, []
     if matched:
-        acts = None
         if all(c.condition is not None for c in matched):
             acts = reduce(lambda a, b: a | b, [_holds(c.condition) for c in matched])
-        if check_ambiguous:
-            reject_ambiguous(target, eligible, keys, acts, target_alias, source_alias)
+        if check_ambiguous and acts is not None:
+            checks.append(ambiguous_rows(target, eligible, keys, acts, target_alias, source_alias))
         condition = exchanged(
             [key_of(target, a, target_alias) for a in keys],
             [key_of(source, b, source_alias) for b in keys.values()],
         )
         joined = target.alias(target_alias).join(
-            eligible.withColumn(_HIT, F.lit(True)).alias(source_alias),
-            condition if acts is None else condition & acts,
-            "left",
+            eligible.alias(source_alias), condition if acts is None else condition & acts, "left"
         )
-        kept = joined.select(*_updated_columns(target, matched, t, s))
+        kept = joined.select(*_updated_columns(target, matched, list(keys.values()), t, s))
     else:
         kept = target
 
-    if not not_matched:
-        return kept
-    return kept.unionByName(
-        _inserted(target, source, eligible, keys, not_matched, source_condition, source_alias)
-    )
+    once = bool(matched) and check_ambiguous and acts is None
+    shared = shared_keys(target, eligible, keys, once)
+    if not_matched:
+        kept = kept.unionByName(
+            _inserted(target, source, shared, keys, not_matched, source_condition, source_alias)
+        )
+    elif once:
+        # Only its test is wanted: no partition has such a number, which the optimizer can't know.
+        checks.append(nothing(shared.where(F.spark_partition_id() < 0), target))
+    return reduce(DataFrame.unionByName, checks, kept)
 
 
-def _updated_columns(target, matched, t, s) -> list[Column]:
-    hit = s(_HIT).isNotNull()
+def _updated_columns(target, matched, source_keys, t, s) -> list[Column]:
+    hit = _every([s(k).isNotNull() for k in source_keys])
     columns = []
     for f in target.schema:
         value = t(f.name)
@@ -222,9 +248,8 @@ def _updated_columns(target, matched, t, s) -> list[Column]:
 
 
 def _inserted(
-    target, source, eligible, keys, clauses, source_condition, source_alias
+    target, source, present, keys, clauses, source_condition, source_alias
 ) -> DataFrame:
-    present = present_keys(target, eligible, keys)
     matches = exchanged(
         [key_of(source, c, source_alias) for c in keys.values()],
         [key_of(present, c, "__p") for c in keys.values()],
@@ -312,8 +337,7 @@ def absent_rows(
     )
     keyed = batch.where(_every([F.col(f"`{c}`").isNotNull() for c in names]))
     first = keyed.groupBy(*names).agg(F.min(ranked).alias("__first"))
-    pairs = {c: c for c in names}
-    known = present_keys(existing, keyed, pairs)
+    known = shared_keys(existing, keyed, {c: c for c in names})
     return first.join(known, names, "left_anti").select("__first.row.*")
 
 

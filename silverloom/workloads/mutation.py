@@ -16,6 +16,7 @@ from silverloom.operators import (
     insert_if_absent,
     merge,
     scd2_apply,
+    scd2_chain,
     scd2_stage,
     update_where,
 )
@@ -122,6 +123,35 @@ def q_scd2_mixed_keys(spark, sf):
     return scd2_apply(_dimension(spark, sf), updates, "id", _TRACKED)
 
 
+def q_scd2_version_chain(spark, sf):
+    """Every order moves its customer to a zone on its day: many updates per key, some of them
+    before the version that the dimension holds, some on one day, some without effect."""
+    dim = _dimension(spark, sf).withColumn("valid_from", F.lit("1995-03-01")).withColumn(
+        "valid_to", F.when(~F.col("is_current"), F.lit("1996-09-01"))
+    )
+    moves = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.concat(F.lit("Customer "), F.col("o_custkey")).alias("title"),
+        F.col("o_orderstatus").alias("segment"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.substring("o_orderpriority", 1, 1)).alias("zone"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("valid_from"),
+    )
+    return scd2_chain(dim, moves, "id", _TRACKED)
+
+
+def q_merge_ambiguous_free(spark, sf):
+    """The source repeats each key; at most one of its rows acts on the target row."""
+    source = _source(spark, sf)
+    raised = source.withColumn("balance", F.col("balance") + 1e6)
+    idle = source.withColumn("balance", F.lit(None).cast("double"))
+    return merge(
+        _target(spark, sf),
+        raised.unionByName(idle).unionByName(idle),
+        "id",
+        matched=[Update(None, "s.balance > t.balance")],
+    )
+
+
 def q_scd2_null_safe_reopen(spark, sf):
     return scd2_apply(
         _dimension(spark, sf),
@@ -205,6 +235,8 @@ QUERIES = {
     "merge_clauses": q_merge_clauses,
     "scd2_apply": q_scd2_apply,
     "scd2_null_safe_reopen": q_scd2_null_safe_reopen,
+    "scd2_version_chain": q_scd2_version_chain,
+    "merge_ambiguous_free": q_merge_ambiguous_free,
     "scd2_staged_merge": q_scd2_staged_merge,
     "update_where": q_update_where,
     "delete_where": q_delete_where,
@@ -277,6 +309,48 @@ SELECT s.id, s.name, 'new', NULL FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE
         changed="upd.segment IS DISTINCT FROM dim.segment OR upd.zone IS DISTINCT FROM dim.zone",
         blocking="dim.is_current",
     ),
+    "merge_ambiguous_free": _FRAMES
+    + """,
+r AS (SELECT id, name, branch, balance + 1e6::DOUBLE AS balance FROM s
+      UNION ALL SELECT id, name, branch, NULL FROM s UNION ALL SELECT id, name, branch, NULL FROM s)
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.id = t.id AND r.balance > t.balance)
+UNION ALL SELECT r.* FROM r JOIN t ON r.id = t.id AND r.balance > t.balance
+UNION ALL SELECT r.* FROM r WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.id = r.id)""",
+    # Days of a key on which its state is another than on the day before; a closed version ends
+    # on its own day unless an order comes first, and the next order after that begins anew.
+    "scd2_version_chain": """
+WITH dim AS (
+  SELECT c_custkey AS id, c_name AS title, c_mktsegment AS segment,
+         CASE WHEN c_nationkey <> 7 THEN CAST(c_nationkey AS VARCHAR) END AS zone,
+         '1995-03-01' AS valid_from, CASE WHEN c_acctbal < 0 THEN '1996-09-01' END AS ends
+  FROM customer),
+moves AS (
+  SELECT o_custkey AS id, 'Customer ' || o_custkey AS title, o_orderstatus AS segment,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN left(o_orderpriority, 1) END AS zone,
+         strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS valid_from FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, valid_from
+                             ORDER BY title DESC, segment DESC, zone DESC NULLS LAST) = 1),
+-- The end of a closed version is a day on which its key has no state.
+days AS (
+  SELECT *, NULL AS ends, true AS state, 1 AS o FROM moves
+  UNION ALL SELECT id, title, segment, zone, valid_from, ends, true, 1 FROM dim
+    WHERE NOT EXISTS (SELECT 1 FROM moves m WHERE m.id = dim.id AND m.valid_from = dim.valid_from)
+  UNION ALL SELECT id, NULL, NULL, NULL, ends, NULL, false, 0 FROM dim d
+    WHERE ends IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM moves m WHERE m.id = d.id AND m.valid_from = d.valid_from)
+      AND NOT EXISTS (SELECT 1 FROM moves m WHERE m.id = d.id AND m.valid_from > d.valid_from
+                      AND m.valid_from < d.ends
+                      AND (m.segment IS DISTINCT FROM d.segment OR m.zone IS DISTINCT FROM d.zone))),
+marked AS (
+  SELECT *, lag(id) OVER w IS NULL OR (segment, zone, state) IS DISTINCT FROM
+              lag((segment, zone, state)) OVER w OR (valid_from = '1995-03-01' AND ends IS NOT NULL)
+              AS begins FROM days WINDOW w AS (PARTITION BY id ORDER BY valid_from, o)),
+versions AS (
+  SELECT *, lead(valid_from) OVER (PARTITION BY id ORDER BY valid_from, o) AS valid_to FROM marked
+  WHERE begins OR EXISTS (SELECT 1 FROM dim WHERE dim.id = marked.id AND dim.title = marked.title
+                          AND dim.valid_from = marked.valid_from AND dim.segment = marked.segment))
+SELECT id, title, segment, zone, valid_to IS NULL AS is_current, valid_from, valid_to
+FROM versions WHERE state""",
     "update_where": """
         SELECT p_partkey, p_name,
                CASE WHEN p_size > 25 AND p_size <> 30 THEN 'New' || p_brand ELSE p_brand END AS p_brand,

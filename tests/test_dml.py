@@ -97,9 +97,12 @@ def test_two_acting_rows_raise(spark):
     t = spark.createDataFrame([(1, 1)], KV)
     s = spark.createDataFrame([(1, 7), (1, 7)], KV)
     with pytest.raises(AmbiguousMerge, match="'k': 1"):
-        merge(t, s, "k")
-    with pytest.raises(AmbiguousMerge):
-        merge(t, s, "k", matched=[Update(None, "s.v > t.v")])
+        merge(t, s, "k").collect()
+    with pytest.raises(AmbiguousMerge, match="'k': 1"):
+        merge(t, s, "k", not_matched=[]).collect()
+    with pytest.raises(AmbiguousMerge, match="'k': 1"):
+        merge(t, s, "k", matched=[Update(None, "s.v > t.v")]).collect()
+    assert merge(t, s, "k", check_ambiguous=False).count() == 2
     assert merge(t, s, "k", matched=[], not_matched=[Insert()]).count() == 1
 
 
@@ -110,6 +113,14 @@ def test_repeated_keys_are_fine_while_one_row_acts(spark):
     same(got, [(1, 7), (1, 7), (2, 5), (3, 1), (3, 1)])
 
 
+def test_repeated_keys_that_meet_nothing_are_inserted(spark):
+    """The test for ambiguity must not be moved to the source's side of a join."""
+    t = spark.createDataFrame([(1, 1), (2, 2)], KV)
+    s = spark.createDataFrame([(1, 7), (3, 1), (3, 1), (None, 4), (None, 4)], KV)
+    same(merge(t, s, "k"), [(1, 7), (2, 2), (3, 1), (3, 1), (None, 4), (None, 4)])
+    same(merge(t, s, "k", not_matched=[]), [(1, 7), (2, 2)])
+
+
 def test_matched_without_clause_is_neither_changed_nor_inserted(spark):
     t = spark.createDataFrame([(1, 9)], KV)
     s = spark.createDataFrame([(1, 3), (2, 3)], KV)
@@ -196,7 +207,7 @@ def test_merge_against_brute_force(spark, seed):
     call = dict(matched=[Update(None, "s.v > t.v")], source_condition="s.v <> 2")
     if wanted is None:
         with pytest.raises(AmbiguousMerge):
-            merge(t, s, "k", **call)
+            merge(t, s, "k", **call).collect()
     else:
         same(merge(t, s, "k", **call), wanted)
 

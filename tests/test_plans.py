@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverloom.functions import parse_objects
-from silverloom.operators import cascade_delete, fk_orphans, length_violations, merge
+from silverloom.operators import (
+    Update,
+    cascade_delete,
+    fk_orphans,
+    length_violations,
+    merge,
+    scd2_apply,
+    scd2_chain,
+)
 from silverloom.plans import actor_topk, build_silver
 from silverloom.session import spread_small
 from silverloom.sources import land_bronze
@@ -95,12 +103,31 @@ def test_large_source_reuses_the_key_partitioning(spark):
     try:
         target, source = table(spark, SF, "customer"), table(spark, SF, "customer")
         text = plan(merge(target, source, "c_custkey"))
+        lone = plan(merge(target, source, "c_custkey", check_ambiguous=False))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "FullOuter" not in text
-    # Distinct keys of both sides meet without a further exchange.
-    semi = text[text.index("LeftSemi") :]
+    # Distinct keys of both sides meet without a further exchange; so do the source's counts.
+    semi = lone[lone.index("LeftSemi") :]
     assert semi.count("Exchange hashpartitioning(c_custkey") == 2
+    assert text.count("Exchange ") == lone.count("Exchange ") + 1
+
+
+def test_merge_and_scd2_run_no_job_when_called(spark):
+    target = table(spark, SF, "customer").selectExpr("c_custkey AS k", "c_name AS v", "true AS is_current", "'1' AS valid_from", "'' AS valid_to")
+    source = target.drop("is_current", "valid_to")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("built"))
+    spark.sparkContext.setJobGroup("built", "plans only")
+    try:
+        merge(target.select("k", "v"), source.select("k", "v"), "k", matched=[Update(None, "s.v > t.v")])
+        merged = merge(target.select("k", "v"), source.select("k", "v"), "k")
+        scd2_apply(target, source, "k", ["v"])
+        scd2_chain(target, source, "k", ["v"])
+        assert jobs() == 0
+        merged.count()
+        assert jobs() > 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 SKEW = {

@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from silverloom.operators import AmbiguousMerge, Insert, Update, merge, scd2_apply, scd2_stage
+from silverloom.operators import AmbiguousMerge, Insert, Update, merge, scd2_apply, scd2_chain, scd2_stage
 
 DIM = (
     "sku bigint, label string, aisle string, rack string, is_current boolean, "
@@ -109,9 +111,9 @@ def test_two_changes_for_one_key_raise(spark):
     dim = [(1, "a", "s", "p", True, "1990", None)]
     upd = [(1, "a", "s1", "p", "1995"), (1, "a", "s2", "p", "1996")]
     with pytest.raises(AmbiguousMerge):
-        apply(spark, dim, upd)
+        apply(spark, dim, upd).collect()
     with pytest.raises(AmbiguousMerge):
-        staged_merge(spark, dim, upd)
+        staged_merge(spark, dim, upd).collect()
 
 
 def test_repeats_that_do_not_clash_follow_the_staged_merge(spark):
@@ -145,3 +147,66 @@ def test_columns_the_update_lacks_are_null_in_new_versions(spark):
     assert rows(got) == sorted(
         [(1, "s", False, "1990", "1995", "x"), (1, "t", True, "1995", None, None)], key=repr
     )
+
+
+def chain(dim, updates):
+    """The versions of each key, by going through its rows in time."""
+    out = [r for r in dim if r[0] is None or r[5] is None]
+    keys = {r[0] for r in dim if r[5] is not None} | {u[0] for u in updates if u[4] is not None}
+    for key in keys - {None}:
+        ours = [r for r in dim if r[0] == key and r[5] is not None]
+        news = {}
+        for u in updates:
+            if u[0] == key and u[4] is not None:
+                rank = tuple((x is not None, x) for x in u[1:4])
+                news[u[4]] = max(news.get(u[4], (rank, u)), (rank, u))
+        if not news:
+            out += ours
+            continue
+        rows = [(r[5], 0, r) for r in ours if r[5] not in news] + [(d, 1, u) for d, (_, u) in news.items()]
+        rows.sort(key=lambda r: r[:2])
+        versions, state = [], None  # state: tracked values and end
+        for day, new, r in rows:
+            over = state is not None and state[1] is not None and state[1] <= day
+            if not new or state is None or over or r[2:4] != state[0]:
+                versions.append([*r[:4], day, None if new else r[6]])
+                state = (r[2:4], versions[-1][5])
+        for v, nxt in zip(versions, [*versions[1:], None]):
+            ends = [e for e in (v[5], nxt and nxt[4]) if e is not None]
+            until = min(ends) if ends else None
+            out.append((*v[:4], until is None, v[4], until))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_chains_against_a_walk_through_time(spark, seed):
+    rng = random.Random(seed)
+    pick = lambda *x: rng.choice(x)
+    dim, updates = [], []
+    for key in range(40):
+        days = sorted(rng.sample(range(10, 40), 4))
+        if key % 5:
+            dim.append((key, "a", pick("x", "y"), pick("p", None), False, f"d{days[0]}", f"d{days[1]}"))
+        if key % 3:
+            dim.append((key, "a", pick("x", "y"), pick("p", None), True, f"d{days[2]}", None))
+        for _ in range(rng.randrange(6)):
+            updates.append((key, pick("a", "b"), pick("x", "y"), pick("p", None), f"d{rng.randrange(10, 45)}"))
+    dim += [(None, "n", "x", "p", True, "d10", None), (3, "s", "x", "p", True, None, None)]
+    updates += [(None, "n", "x", "p", "d12"), (4, "b", "x", "p", None)]
+    d, u = spark.createDataFrame(dim, DIM), spark.createDataFrame(updates, UPD)
+    got = scd2_chain(d, u, "sku", TRACKED)
+    assert got.schema == d.schema
+    assert rows(got) == sorted(chain(dim, updates), key=repr)
+    # Taking the same updates again changes nothing.
+    assert rows(scd2_chain(spark.createDataFrame(got.collect(), DIM), u, "sku", TRACKED)) == rows(got)
+
+
+def test_three_updates_and_a_late_one(spark):
+    dim = [(1, "a", "s", "p", True, "2020", None), (2, "b", "s", "p", True, "2020", None)]
+    upd = [(1, "a", f"s{y}", "p", str(y)) for y in (2023, 2021, 2022)] + [(1, "a", "s0", "p", "2019")]
+    d, u = spark.createDataFrame(dim, DIM), spark.createDataFrame(upd, UPD)
+    starts = ["2019", "2020", "2021", "2022", "2023"]
+    got = [(r.valid_from, r.valid_to, r.is_current) for r in scd2_chain(d, u, "sku", TRACKED).where("sku = 1").orderBy("valid_from").collect()]
+    assert got == [(a, b, b is None) for a, b in zip(starts, [*starts[1:], None])]
+    assert rows(scd2_chain(d, u.limit(0), "sku", TRACKED)) == rows(d)
+    assert scd2_chain(d.limit(0), u, "sku", TRACKED).count() == 4
