@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -108,10 +108,6 @@ BRONZE_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
-def bronze_schema(entity: str) -> T.StructType:
-    return struct(**{name: STRING for name in BRONZE_COLUMNS[entity]})
-
-
 @dataclass(frozen=True)
 class TargetTable:
     """A relational load target: column types plus the rules a database would enforce."""
@@ -171,6 +167,11 @@ TARGETS: dict[str, TargetTable] = {
     ),
 }
 
+#: The tables that each target refers to.
+PARENTS: dict[str, tuple[str, ...]] = {
+    name: ("movies",) for name, target in TARGETS.items() if target.foreign_key is not None
+}
+
 # The stricter limits of the earlier loader, which also did not cascade deletes.
 STRICT_LENGTHS: dict[str, dict[str, int]] = {
     "movies": {**TARGETS["movies"].lengths, "homepage": 255, "status": 20, "tagline": 255},
@@ -179,6 +180,11 @@ STRICT_LENGTHS: dict[str, dict[str, int]] = {
     "keywords": {"name": 100},
 }
 
+STRICT_TARGETS: dict[str, TargetTable] = {
+    name: replace(target, lengths=STRICT_LENGTHS.get(name, target.lengths), cascade=False)
+    for name, target in TARGETS.items()
+}
+
 # One record of a paged listing; ``id`` is the insert-if-absent key.
 LISTING = T.StructType(
     [

@@ -43,11 +43,14 @@ def jdbc_write_options(
     options: Mapping[str, str] | None = None,
     max_connections: int = 16,
     batch_size: int = 10_000,
+    cascade: bool = False,
 ) -> dict[str, str]:
     """``truncate`` keeps the target's own column types, keys and references on overwrite;
-    without it the table would be dropped and created anew from the frame's types."""
+    without it the table would be dropped and created anew from the frame's types. A table that
+    others refer to can only be emptied with them (``cascade``): load those after it."""
     return {
         "truncate": "true",
+        "cascadeTruncate": str(cascade).lower(),
         "batchsize": str(batch_size),
         "numPartitions": str(max_connections),
         **(options or {}),
@@ -74,7 +77,8 @@ def write_jdbc(
 
     Executors write in parallel over at most ``max_connections`` connections.
     """
-    settings = jdbc_write_options(url, table, options, max_connections)
+    cascade = target is not None and target.foreign_key is None and target.cascade
+    settings = jdbc_write_options(url, table, options, max_connections, cascade=cascade)
     rows = df
     if target is not None:
         rows = conform(df, target.schema)

@@ -26,6 +26,7 @@ from silverloom.sources import (
 from silverloom.sources.bronze import CSV_OPTIONS
 from silverloom.sources.tables import APPEND, CREATE
 from silverloom.streaming import ingest_absent, ingest_table
+from silverloom.streaming.ingest import BUCKET
 from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 
 
@@ -144,6 +145,34 @@ def q_load_report(spark, sf):
     return report.select("table_name", "status", "row_count")
 
 
+def q_load_in_order(spark, sf):
+    """Line items wait for orders and parts, orders for customers; a table whose parent is
+    missing, and what refers to it in turn, is skipped."""
+    root = scratch_path(spark, "ordered-load")
+    parents = {
+        "lineitem": ("orders", "part"),
+        "orders": ("customer",),
+        "supplier": ("missing",),
+        "events": ("supplier",),
+    }
+    names = ("events", "lineitem", "orders", "part", "supplier", "customer", "missing")
+
+    def write(df, target):
+        name = target.rsplit("/", 1)[1]
+        for parent in parents.get(name, ()):
+            read_table(spark, f"{root}/{parent}")  # refused while the parent is not there
+        write_table(df, target)
+
+    report = load_tables(
+        spark,
+        {name: f"{root}/{name}" for name in names},
+        lambda name: table(spark, sf, name),
+        write,
+        parents,
+    )
+    return report.select("table_name", "status", "row_count")
+
+
 def _load_silver(spark, sf):
     credits = land_bronze(bronze_credits(spark, sf), scratch_path(spark, "credits"))
     movies = land_bronze(bronze_movies(spark, sf), scratch_path(spark, "movies"))
@@ -179,6 +208,20 @@ def q_stream_insert_absent(spark, sf):
     return read_table(spark, target)
 
 
+def q_stream_insert_buckets(spark, sf):
+    """Three batches against a target that already holds the customers of every fourth order; a
+    key found there, or in an earlier batch, is not added again."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    target, state = scratch_path(spark, "buckets-out"), scratch_path(spark, "buckets-state")
+    for run, parts in enumerate([(0,), (1, 2, 3)]):
+        source = scratch_path(spark, "buckets-in")
+        for part in parts:  # one file each, and so one batch
+            write_table(orders.where(F.col("o_orderkey") % 4 == part).coalesce(1), source, APPEND)
+        stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        ingest_absent(stream, target, "o_custkey", ["o_orderkey"], f"{state}-{run}", buckets=16)
+    return read_table(spark, target).drop(BUCKET)
+
+
 def q_csv_reordered_parts(spark, sf):
     """Two part sets whose headers have the columns in another order, read as one."""
     movies, paths = bronze_movies(spark, sf), [scratch_path(spark, f"set-{i}") for i in (1, 2)]
@@ -213,6 +256,8 @@ QUERIES = {
     "target_checks": q_target_checks,
     "stream_ingest": q_stream_ingest,
     "stream_insert_absent": q_stream_insert_absent,
+    "stream_insert_buckets": q_stream_insert_buckets,
+    "load_in_order": q_load_in_order,
 }
 
 _PARTS = """
@@ -285,6 +330,15 @@ FROM parts GROUP BY part""",
         UNION ALL SELECT 'customer', 'success', count(*) FROM customer
         UNION ALL SELECT 'supplier', 'success', count(*) FROM supplier
         UNION ALL SELECT 'missing', 'failed', NULL""",
+    "load_in_order": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'success' AS status, count(*) AS row_count FROM {t}"
+        for t in ("lineitem", "orders", "part", "customer")
+    )
+    + " UNION ALL SELECT 'missing', 'failed', NULL"
+    + " UNION ALL SELECT 'supplier', 'skipped', NULL UNION ALL SELECT 'events', 'skipped', NULL",
+    "stream_insert_buckets": """
+        SELECT o_custkey, o_orderkey, o_orderpriority FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 4, o_orderkey) = 1""",
     "silver_load": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, 'success' AS status, count(*) AS row_count FROM {rows}"
         for name, rows in _SILVER_SIZES.items()

@@ -22,7 +22,15 @@ from silverloom.workloads import all_queries
 from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"profile", "query_suite", "load_report", "silver_load", "target_checks"}
+EAGER = {
+    "profile",
+    "query_suite",
+    "load_report",
+    "load_in_order",
+    "silver_load",
+    "target_checks",
+    "target_checks_strict",
+}
 
 
 def plan(df):

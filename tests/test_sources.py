@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from silverloom.schemas import LISTING, TARGETS
 from silverloom.session import scratch_path
+from silverloom.sources import load
 from silverloom.sources import (
     concat_pages,
     failed_tables,
@@ -131,6 +132,8 @@ def test_load_report(spark, tmp_path):
 
 
 def test_jdbc_options():
+    assert jdbc_write_options("jdbc:x:y", "t")["cascadeTruncate"] == "false"
+    assert jdbc_write_options("jdbc:x:y", "t", cascade=True)["cascadeTruncate"] == "true"
     options = jdbc_write_options("jdbc:x:y", "t", {"driver": "d", "batchsize": "5"})
     assert options["truncate"] == "true"
     assert options["batchsize"] == "5"
@@ -186,8 +189,37 @@ def test_a_broken_page_fails_the_read(spark, tmp_path):
 
 
 def test_a_write_without_an_action_is_a_failure(spark, monkeypatch):
-    from silverloom.sources import load
-
     monkeypatch.setattr(load, "COUNT_WITHIN", 1)
     report = load.load_tables(spark, {"a": "b"}, lambda t: spark.range(3), lambda df, target: None)
     assert report.first().status == "failed"
+
+
+def test_tables_start_after_their_parents(spark):
+    parents = {"c": ("b",), "b": ("a",), "d": ("d", "elsewhere"), "f": ("e",), "g": ("f", "a")}
+    finished = []
+
+    def write(df, target):
+        if target == "E":
+            raise OSError("disk full")
+        df.collect()
+        finished.append(target)
+
+    names = "gfcbade"
+    report = load.load_tables(
+        spark, {n: n.upper() for n in names}, lambda t: spark.range(ord(t)), write, parents
+    ).collect()
+    assert [r.table_name for r in report] == list(names)
+    by_name = {r.table_name: (r.status, r.row_count, r.error) for r in report}
+    assert by_name["e"] == ("failed", None, "OSError: disk full")
+    assert by_name["f"] == ("skipped", None, "not loaded: e")
+    assert by_name["g"] == ("skipped", None, "not loaded: f")
+    assert {n: by_name[n][:2] for n in "abcd"} == {n: ("success", ord(n)) for n in "abcd"}
+    assert finished.index("A") < finished.index("B") < finished.index("C")
+    with pytest.raises(ValueError, match="circle: a, b"):
+        load.load_tables(spark, {"a": "A", "b": "B"}, spark.table, write, {"a": ("b",), "b": ("a",)})
+
+
+def test_a_written_table_whose_count_is_late_is_loaded(spark, monkeypatch):
+    monkeypatch.setattr(load, "_count", lambda seen: None)
+    report = load.load_tables(spark, {"a": "b"}, lambda t: spark.range(3), lambda df, t: df.collect())
+    assert tuple(report.first()) == ("a", "b", "success", None, None)

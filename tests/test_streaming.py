@@ -1,13 +1,12 @@
+import pytest
 from pyspark.sql import functions as F
 
+from silverloom.schemas import BRONZE_COLUMNS
 from silverloom.sources import read_table
 from silverloom.streaming import ingest_absent, ingest_table
+from silverloom.streaming.ingest import BUCKET, _bucketed, touched_part
 
-HEADER = (
-    "id,title,budget,homepage,original_language,original_title,overview,popularity,release_date,"
-    "revenue,runtime,status,tagline,vote_average,vote_count,genres,keywords,production_companies,"
-    "production_countries,spoken_languages\n"
-)
+HEADER = ",".join(BRONZE_COLUMNS["movies"]) + "\n"
 
 
 def movie(i, genres):
@@ -55,3 +54,40 @@ def test_insert_absent_over_batches(spark, tmp_path):
     again = spark.readStream.schema(schema).parquet(source)
     ingest_absent(again, target, "k", ["pos"], str(tmp_path / "state2"))
     assert read_table(spark, target).agg(F.count("*")).first()[0] == 3
+
+
+def test_a_batch_reads_its_own_buckets(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.range(5000).selectExpr("id AS k", "concat('v', id) AS v", "1 AS pos")
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    ingest_absent(stream, target, "k", ["pos"], str(tmp_path / "state"), buckets=32)
+    assert read_table(spark, target).count() == 5000
+    batch = _bucketed(rows.where("k IN (7, 9)"), ["k"], 32)
+    part = touched_part(spark, target, batch)
+    text = part._jdf.queryExecution().executedPlan().toString()
+    assert f"{BUCKET}" in text[text.index("PartitionFilters: [") :].split("]")[0]
+    assert 2 <= part.count() < 1000
+    scanned = {r[0] for r in part.select(F.input_file_name()).distinct().collect()}
+    assert all(any(f"{BUCKET}={b[0]}/" in f for b in batch.select(BUCKET).collect()) for f in scanned)
+
+    # A plain target is not taken for a bucketed one.
+    rows.write.parquet(str(tmp_path / "plain"))
+    again = spark.readStream.schema(rows.schema).parquet(source)
+    with pytest.raises(ValueError, match="no buckets"):
+        ingest_absent(again, str(tmp_path / "plain"), "k", ["pos"], str(tmp_path / "s2"), buckets=32)
+
+
+def test_insert_absent_into_buckets_over_batches(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "k int, j string, v string, pos int"
+    batches = [
+        [(1, "x", "a", 2), (1, "x", "b", 1), (2, "x", "c", 1), (None, "x", "n", 0)],
+        [(2, "x", "late", 0), (2, "y", "new", 0), (3, "x", "d", 1)],
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        ingest_absent(stream, target, ["k", "j"], ["pos"], str(tmp_path / "state"), buckets=3)
+    got = sorted(tuple(r) for r in read_table(spark, target).drop(BUCKET).collect())
+    assert got == [(1, "x", "b", 1), (2, "x", "c", 1), (2, "y", "new", 0), (3, "x", "d", 1)]
