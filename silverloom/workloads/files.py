@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from silverloom.functions.json_cells import UNLIMITED
 from silverloom.operators import assign_parts, with_position
 from silverloom.plans import build_movies, build_silver, check_targets, write_silver
-from silverloom.schemas import LONG, OBJECT_TABLES, SILVER_TABLES, STRING, struct
+from silverloom.schemas import (
+    LONG,
+    OBJECT_TABLES,
+    SILVER_TABLES,
+    STRICT_TARGETS,
+    STRING,
+    TARGETS,
+    struct,
+)
 from silverloom.session import scratch_path
 from silverloom.sources import (
     concat_pages,
@@ -191,6 +199,48 @@ def q_target_checks(spark, sf):
     return check_targets({name: read_table(spark, f"{root}/{name}") for name in SILVER_TABLES})
 
 
+def _damaged(spark, sf):
+    """Movies, cast and genres that break every rule: keys that are no numbers or repeated,
+    movies that are not there, texts of growing length."""
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    none = {f.name: F.lit(None).cast("string") for f in TARGETS["movies"].schema}
+    movie = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(
+        F.expr("CAST(o_orderkey div 2 AS string)")
+    )
+    movies = none | {
+        "movie_id": movie,
+        "title": F.expr("repeat('title', int(o_custkey % 60))"),
+        "status": F.expr("repeat('s', int(o_custkey % 60))"),
+        "runtime": F.when(F.col("o_orderstatus") == "P", "long").otherwise("90"),
+    }
+    refers = F.expr("CAST(l_orderkey div 2 AS string)")
+    genres = {
+        "movie_id": F.when(F.col("l_linenumber") != 1, refers),
+        "id": F.when(F.col("l_linenumber") == 2, "two").otherwise(F.col("l_linenumber").cast("string")),
+        "name": F.expr("repeat('g', int(l_partkey % 130))"),
+    }
+    cast = {
+        "movie_id": F.expr("CAST(l_orderkey * 3 AS string)"),
+        "cast_id": F.col("l_linenumber").cast("string"),
+        "character": F.expr("repeat('c', int(l_partkey % 300))"),
+        "credit_id": F.col("l_orderkey").cast("string"),
+        "gender": F.when(F.col("l_returnflag") == "R", "none").otherwise("2"),
+        "id": F.col("l_suppkey").cast("string"),
+        "name": F.expr("repeat('n', int(l_partkey % 260))"),
+    }
+    shaped = lambda df, columns: df.select(*[c.alias(n) for n, c in columns.items()])
+    return {"movies": shaped(orders, movies), "genres": shaped(lines, genres), "cast": shaped(lines, cast)}
+
+
+def q_target_checks_broken(spark, sf):
+    return check_targets(_damaged(spark, sf))
+
+
+def q_target_checks_strict(spark, sf):
+    """The earlier loader's shorter limits."""
+    return check_targets(_damaged(spark, sf), STRICT_TARGETS)
+
+
 def q_stream_ingest(spark, sf):
     source, target = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     _write_csv(bronze_movies(spark, sf), source)
@@ -254,6 +304,8 @@ QUERIES = {
     "load_report": q_load_report,
     "silver_load": q_silver_load,
     "target_checks": q_target_checks,
+    "target_checks_broken": q_target_checks_broken,
+    "target_checks_strict": q_target_checks_strict,
     "stream_ingest": q_stream_ingest,
     "stream_insert_absent": q_stream_insert_absent,
     "stream_insert_buckets": q_stream_insert_buckets,
@@ -298,6 +350,36 @@ def _movies_sql():
 
 _MOVIES, _KEYWORDS = _movies_sql()
 
+_BROKEN = """
+WITH movies AS (
+  SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey // 2 END AS movie,
+         5 * (o_custkey % 60) AS title, o_custkey % 60 AS status, o_orderstatus FROM orders),
+genres AS (
+  SELECT CASE WHEN l_linenumber <> 1 THEN l_orderkey // 2 END AS movie,
+         CASE WHEN l_linenumber <> 2 THEN l_linenumber END AS id, l_partkey % 130 AS name FROM lineitem),
+members AS (
+  SELECT l_orderkey * 3 AS movie, l_linenumber AS id, l_partkey % 300 AS part, l_partkey % 260 AS name,
+         l_returnflag FROM lineitem),
+known AS (SELECT DISTINCT movie FROM movies WHERE movie IS NOT NULL)
+SELECT * FROM (
+  SELECT 'movies' AS table_name, 'type' AS rule,
+         count(*) FILTER (movie IS NULL) + count(*) FILTER (o_orderstatus = 'P') AS violations FROM movies
+  UNION ALL SELECT 'movies', 'length', count(*) FILTER (title > 255) + count(*) FILTER (status > {status}) FROM movies
+  UNION ALL SELECT 'movies', 'primary key', count(*) FROM
+    (SELECT 1 FROM movies GROUP BY movie HAVING count(*) > 1 OR movie IS NULL)
+  UNION ALL SELECT 'genres', 'type', count(*) FILTER (id IS NULL) FROM genres
+  UNION ALL SELECT 'genres', 'length', count(*) FILTER (name > 100) FROM genres
+  UNION ALL SELECT 'genres', 'primary key', count(*) FROM
+    (SELECT 1 FROM genres GROUP BY movie, id HAVING count(*) > 1 OR movie IS NULL OR id IS NULL)
+  UNION ALL SELECT 'genres', 'foreign key', count(*) FROM genres
+    WHERE movie IS NOT NULL AND movie NOT IN (SELECT movie FROM known)
+  UNION ALL SELECT 'cast', 'type', count(*) FILTER (l_returnflag = 'R') FROM members
+  UNION ALL SELECT 'cast', 'length', count(*) FILTER (name > 255) + {character} FROM members
+  UNION ALL SELECT 'cast', 'primary key', count(*) FROM
+    (SELECT 1 FROM members GROUP BY movie, id HAVING count(*) > 1)
+  UNION ALL SELECT 'cast', 'foreign key', count(*) FROM members WHERE movie NOT IN (SELECT movie FROM known))
+"""
+
 SQL = {
     "csv_roundtrip": _MOVIES,
     "json_roundtrip": """
@@ -349,6 +431,8 @@ FROM parts GROUP BY part""",
         for name, rules in _RULES.items()
         for rule in rules
     ),
+    "target_checks_broken": _BROKEN.format(status=50, character=0),
+    "target_checks_strict": _BROKEN.format(status=20, character="count(*) FILTER (part > 255)"),
     "stream_ingest": _KEYWORDS,
     "stream_insert_absent": """
         SELECT o_custkey, min(o_orderkey) AS o_orderkey,

@@ -13,7 +13,7 @@ from silverloom.operators import (
     run_suite,
 )
 from silverloom.plans import check_targets
-from silverloom.schemas import DATE, INT, MOVIES, STRING, struct
+from silverloom.schemas import DATE, INT, MOVIES, STRICT_TARGETS, STRING, struct
 
 KV = "k int, v string"
 
@@ -109,6 +109,31 @@ def test_check_targets(spark):
     }
 
 
+def test_target_keys_that_look_alike(spark):
+    """Keys of several parts, a missing part against an empty one, a parent given twice."""
+    movies = spark.createDataFrame([("1",), ("1",), (None,)], "movie_id string").select(
+        "movie_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in MOVIES.fields[1:]]
+    )
+    countries = spark.createDataFrame(
+        [("1", "TR", "a"), ("1", "", "b"), ("1", None, "c"), ("12", "TR", "d"), ("2", "TR", "e"), ("2", "TR", "f")],
+        "movie_id string, iso_3166_1 string, name string",
+    )
+    report = check_targets({"production_countries": countries, "movies": movies}).collect()
+    got = {(r.table_name, r.rule): r.violations for r in report}
+    assert got[("production_countries", "primary key")] == 2
+    assert got[("production_countries", "foreign key")] == 3
+    assert got[("movies", "primary key")] == 2
+    alone = check_targets({"production_countries": countries.limit(0)}, STRICT_TARGETS).collect()
+    assert {(r.rule, r.violations) for r in alone} == {("type", 0), ("primary key", 0), ("length", 0)}
+
+
+def test_tables_are_scanned_once(spark, tmp_path):
+    path = str(tmp_path / "genres")
+    spark.createDataFrame([("1", 1, "a")], "movie_id string, id int, name string").write.parquet(path)
+    plan = check_targets({"genres": spark.read.parquet(path)})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 def test_run_suite(spark):
     report = run_suite(
         spark, {"dates": "SELECT DATE'2001-01-01' AS d", "bad": "SELEC", "long": "SELECT * FROM range(50)"}
