@@ -21,7 +21,7 @@ _STATES = 200_000
 _UNITS = 400_000
 _LONGEST_UNIT = 64
 #: Bytes of output gathered into one Arrow batch.
-_BATCH = 16 << 20
+_BATCH = 4 << 20
 
 
 class _State:
@@ -239,11 +239,26 @@ def _encoder(ranks: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(ranks), pattern)
 
 
-def _appended(df: DataFrame, source: str, name: str, kind: str, make) -> DataFrame:
-    """``df`` with a column made from ``source`` batch by batch; ``make()`` gives the function."""
+@lru_cache(maxsize=2)
+def _token_bytes(ranks: str) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(ranks).items()}
+
+
+def _decode(value: bytes, bytes_of: dict[int, bytes], step: int) -> str:
+    numbers, stream = np.frombuffer(value, "<u4"), Decoder(bytes_of)
+    pieces = [stream.feed(numbers[i : i + step].tolist()) for i in range(0, len(numbers), step)]
+    return "".join([*pieces, stream.finish()])
+
+
+def _appended(df: DataFrame, source: str, new: dict[str, str], make) -> DataFrame:
+    """``df`` with columns made from ``source`` batch by batch; ``make()`` gives the function,
+    which returns a value for each new column."""
+    if source in new:
+        raise ValueError("the new column needs a name of its own")
     ship_code(df.sparkSession)
-    arrow = {"binary": pa.binary(), "string": pa.string()}[kind]
-    kept = df.drop(name)
+    arrow = {"binary": pa.binary(), "string": pa.string()}
+    types = [arrow[kind] for kind in new.values()]
+    kept = df.drop(*new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -251,16 +266,16 @@ def _appended(df: DataFrame, source: str, name: str, kind: str, make) -> DataFra
             values, first, held = [], 0, 0
             for i, value in enumerate(batch.column(source)):
                 values.append(work(value.as_py()))
-                held += len(values[-1] or b"")
+                held += sum(len(v or b"") for v in values[-1])
                 if held > _BATCH or i + 1 == batch.num_rows:
                     part = batch.slice(first, len(values))
-                    new = pa.array(values, arrow)
-                    names = [*part.schema.names, name]
-                    yield pa.RecordBatch.from_arrays([*part.columns, new], names)
+                    made = [pa.array(v, t) for v, t in zip(zip(*values), types)]
+                    names = [*part.schema.names, *new]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
                     values, first, held = [], i + 1, 0
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{name}` {kind}"])
-    return kept.mapInArrow(run, schema)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
+    return kept.mapInArrow(run, ", ".join([*fields, *(f"`{n}` {kind}" for n, kind in new.items())]))
 
 
 def encode_documents(
@@ -272,45 +287,58 @@ def encode_documents(
     column named like the new one is replaced. A worker's memory: one batch, the bounded states
     and units, and the longest text; rows are worked on where they are read, without a shuffle.
     """
-    if ids == text:
-        raise ValueError("the new column needs a name of its own")
+
 
     def make():
         encoder = _encoder(ranks, pattern)
-        return lambda value: encoder.encode(value or "")
+        return lambda value: (encoder.encode(value or ""),)
 
-    return _appended(df, text, ids, "binary", make)
+    return _appended(df, text, {ids: "binary"}, make)
 
 
 def decode_documents(
     df: DataFrame, ranks: str, ids: str = "ids", text: str = "decoded", step: int = 4096
 ) -> DataFrame:
     """Add the text of ids made by :func:`encode_documents`; null for null."""
-    if ids == text:
-        raise ValueError("the new column needs a name of its own")
 
     def make():
-        bytes_of = _encoder(ranks, public_tokenizers.PATTERN).machine.bytes_of
-
-        def work(value: bytes | None) -> str | None:
-            if value is None:
-                return None
-            numbers, stream = np.frombuffer(value, "<u4"), Decoder(bytes_of)
-            pieces = [
-                stream.feed(numbers[i : i + step].tolist()) for i in range(0, len(numbers), step)
-            ]
-            return "".join([*pieces, stream.finish()])
+        bytes_of = _token_bytes(ranks)
+        return lambda value: (None if value is None else _decode(value, bytes_of, step),)
+
+    return _appended(df, ids, {text: "string"}, make)
+
+
+def code_documents(
+    df: DataFrame,
+    ranks: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    step: int = 4096,
+) -> DataFrame:
+    """Add the ids of every whole text, as :func:`encode_documents` does, and the text that they
+    decode to (empty for null), in one pass and one Python worker per task."""
+    if ids == decoded:
+        raise ValueError("the new columns need names of their own")
+
+    def make():
+        encoder = _encoder(ranks, pattern)
+        bytes_of = encoder.machine.bytes_of
+
+        def work(value: str | None) -> tuple[bytes, str]:
+            found = encoder.encode(value or "")
+            return found, _decode(found, bytes_of, step)
 
         return work
 
-    return _appended(df, ids, text, "string", make)
+    return _appended(df, text, {ids: "binary", decoded: "string"}, make)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = encode_documents(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return decode_documents(coded, ranks).select(
+    return code_documents(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
