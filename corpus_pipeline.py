@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverloom.llm.bpe import decode_documents, encode_documents
+from silverloom.llm.bpe import code_documents
 from silverloom.llm.common import stored, table, words
 from silverloom.llm.jaccard import keep_one
 from silverloom.llm.lines import keep_good
@@ -41,14 +41,13 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every taken document, and whether decoding them gives its text again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     texts = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
-    coded = encode_documents(texts, ranks, public_tokenizers.PATTERN)
-    coded = coded.withColumn("sha256", F.sha2("text", 256)).drop("text")
-    return decode_documents(coded, ranks).select(
+    coded = code_documents(texts, ranks, public_tokenizers.PATTERN)
+    return coded.select(
         "doc_id",
         "source",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
-        (F.sha2("decoded", 256) == F.col("sha256")).alias("restored"),
+        (F.col("decoded") == F.col("text")).alias("restored"),
     )
 
 
