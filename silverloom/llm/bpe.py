@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -122,6 +123,8 @@ class Transducer:
     def encode(self, data: bytes) -> list[int]:
         if len(self.states) > self.max_states or len(self.pairs) > 10 * self.max_states:
             self._clear()
+        if len(data) <= self._EMIT:
+            return self._encode_short(data)
         state, pairs, out = self.start, self.pairs, []
         last, size_of = [-1], [0]  # last token, and its length, of each prefix; then of what is held
         for byte in data:
@@ -148,6 +151,26 @@ class Transducer:
                 last, size_of = last[shared:], size_of[shared:]
         return out + self._path(last, size_of, len(last) - 1)
 
+    def _encode_short(self, data: bytes) -> list[int]:
+        """The same where nothing has to be emitted before the end."""
+        state, pairs, last, size_of = self.start, self.pairs, [-1], [0]
+        for byte in data:
+            state = state.next.get(byte) or self._next(state, byte)
+            for size, token in state.ends:
+                left = last[-size]
+                if left < 0:
+                    break
+                follows = pairs.get(left << 20 | token)
+                if follows is None:
+                    follows = pairs[left << 20 | token] = self.may_follow(left, token)
+                if follows:
+                    break
+            else:
+                raise ValueError("the ranks are no order of merges")
+            last.append(token)
+            size_of.append(size)
+        return self._path(last, size_of, len(data))
+
     @staticmethod
     def _shared(size_of: list[int], window: int) -> int:
         """The last place through which the encodings of all places in the window go."""
@@ -212,14 +235,23 @@ class Encoder:
         self.machine = Transducer(ranks)
         self.find = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        data = piece.encode()
+        whole = self.machine.ranks.get(data)
+        ids = self.machine.encode(data) if whole is None else (whole,)
+        found = array("I", ids).tobytes()
+        if len(piece) <= _LONGEST_UNIT:
+            if len(self.pieces) > _UNITS:
+                self.pieces.clear()
+            self.pieces[piece] = found
+        return found
 
     def _unit(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.find(unit):
-            data = piece.encode()
-            whole = self.machine.ranks.get(data)
-            ids += self.machine.encode(data) if whole is None else (whole,)
-        found = np.array(ids, "<u4").tobytes()
+        """A word meets many signs beside it, so its own ids are kept too."""
+        pieces = self.pieces
+        found = b"".join([pieces.get(piece) or self._piece(piece) for piece in self.find(unit)])
         if len(unit) <= _LONGEST_UNIT:
             if len(self.known) > _UNITS:
                 self.known.clear()
