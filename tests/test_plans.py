@@ -100,10 +100,15 @@ def test_name_test_reaches_the_scan(spark):
 def test_small_source_leaves_the_target_in_place(spark):
     target = table(spark, SF, "orders").select("o_orderkey", "o_totalprice")
     source = target.limit(5).withColumn("o_totalprice", target.o_totalprice * 2)
-    merged = merge(target, source, "o_orderkey", not_matched=[])
+    merged = merge(target, source, "o_orderkey", not_matched=[], check_ambiguous=False)
     text = plan(merged)
     assert "BroadcastHashJoin" in text and "LeftOuter" in text
     assert "hashpartitioning" not in text
+    # The check shuffles counted keys only, and of the target those that the source has.
+    checked = plan(merge(target, source, "o_orderkey", not_matched=[]))
+    assert "SortMergeJoin" not in checked
+    for below in checked.split("Exchange hashpartitioning")[1:]:
+        assert "HashAggregate" in below.split("\n")[1]
 
 
 def test_large_source_reuses_the_key_partitioning(spark):
