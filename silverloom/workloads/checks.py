@@ -56,6 +56,16 @@ def q_profile(spark, sf):
     )
 
 
+def q_profile_content(spark, sf):
+    """Schema and sample of two tables, each a single row so that the sample is fixed."""
+    first = {
+        "nation": lambda: table(spark, sf, "nation").orderBy("n_nationkey").limit(1),
+        "supplier": lambda: table(spark, sf, "supplier")
+        .agg(F.max("s_suppkey").alias("last"), F.count(F.lit(1)).alias("suppliers")),
+    }
+    return profile(spark, first).select("table_name", "row_count", "table_schema", "sample")
+
+
 def q_query_suite(spark, sf):
     orders = f"parquet.`{sf.rstrip('/')}/orders.parquet`"
     report = run_suite(
@@ -84,6 +94,7 @@ QUERIES = {
     "fk_orphans_mixed": q_fk_orphans_mixed,
     "length_violations": q_length_violations,
     "profile": q_profile,
+    "profile_content": q_profile_content,
     "query_suite": q_query_suite,
     "open_table": q_open_table,
 }
@@ -113,6 +124,16 @@ SQL = {
         for t in TABLES
     )
     + " UNION ALL SELECT 'missing', 'error', NULL, true",
+    "profile_content": """
+        SELECT 'nation' AS table_name, 1::BIGINT AS row_count,
+               'struct<n_nationkey:' || CASE typeof(n_nationkey) WHEN 'INTEGER' THEN 'int' ELSE 'bigint' END
+               || ',n_name:string,n_regionkey:'
+               || CASE typeof(n_regionkey) WHEN 'INTEGER' THEN 'int' ELSE 'bigint' END || '>' AS table_schema,
+               '[{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":'
+               || n_regionkey || '}]' AS sample
+        FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 1)
+        UNION ALL SELECT 'supplier', 1, 'struct<last:bigint,suppliers:bigint>',
+               '[{"last":' || max(s_suppkey) || ',"suppliers":' || count(*) || '}]' FROM supplier""",
     "query_suite": """
         WITH n AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)
         SELECT 'by_status' AS query, 'success' AS status,

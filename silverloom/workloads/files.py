@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverloom.functions.json_cells import UNLIMITED
 from silverloom.operators import assign_parts, with_position
 from silverloom.plans import build_movies, build_silver, check_targets, write_silver
 from silverloom.schemas import (
+    INT,
     LONG,
     OBJECT_TABLES,
     SILVER_TABLES,
@@ -116,6 +118,26 @@ def q_paged_cap(spark, sf):
     return concat_pages(read_pages(spark, path, record), 500)
 
 
+def q_paged_arrays(spark, sf):
+    """An array of integers through pages, a stored table and back."""
+    record = struct(id=LONG, genre_ids=T.ArrayType(INT))
+    ids = F.array(F.col("user_id"), F.col("event_id") % 100, F.lit(None))
+    path, stored = scratch_path(spark, "array-pages"), scratch_path(spark, "array-table")
+    pages = table(spark, sf, "events").select(
+        F.col("event_id").alias("page"),
+        F.array(F.struct(F.col("event_id").alias("id"), ids.alias("genre_ids"))).alias("results"),
+    )
+    write_json(pages, path)
+    write_table(read_pages(spark, path, record).select(F.inline("results")), stored)
+    genres = F.col("genre_ids")
+    return read_table(spark, stored).select(
+        "id",
+        F.size(genres).alias("n_genres"),
+        F.get(genres, F.lit(0)).alias("first_genre"),
+        F.array_join(genres.cast("array<string>"), ",", "none").alias("genres"),
+    )
+
+
 _BY_PRICE = ["o_totalprice", "o_orderkey"]
 
 
@@ -299,6 +321,7 @@ QUERIES = {
     "path_sql": q_path_sql,
     "search_docs": q_search_docs,
     "paged_cap": q_paged_cap,
+    "paged_arrays": q_paged_arrays,
     "chunk_parts": q_chunk_parts,
     "part_files": q_part_files,
     "load_report": q_load_report,
@@ -398,6 +421,9 @@ SQL = {
           SELECT event_id AS page, 0 AS pos, user_id AS id, event_type AS title FROM events
           UNION ALL SELECT event_id, 1, event_id, props FROM events)
         ORDER BY page, pos LIMIT 500""",
+    "paged_arrays": """
+        SELECT event_id AS id, 3::INTEGER AS n_genres, user_id::INTEGER AS first_genre,
+               user_id || ',' || event_id % 100 || ',none' AS genres FROM events""",
     "chunk_parts": _PARTS
     + """
 SELECT part, count(*) AS row_count, min(position) AS first_position,

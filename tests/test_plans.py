@@ -24,6 +24,7 @@ from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 SF = "/root/testdata/sf0.001"
 EAGER = {
     "profile",
+    "profile_content",
     "query_suite",
     "load_report",
     "load_in_order",
