@@ -8,12 +8,14 @@ that wants some ids fetches the payload of their blocks only, since Parquet read
 
 from __future__ import annotations
 
+import json
 import os
+import string
 import struct
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -75,6 +77,15 @@ def unpack_block(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(octets).view("<u4").reshape(-1)
 
 
+# The steps before the model of the tokenizers whose texts may be cut into chunks.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 def _byte_letters() -> dict[int, int]:
     """Byte-level vocabularies write a byte that is no printable Latin-1 character as 256 + its
     place among those."""
@@ -83,13 +94,52 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(hidden)}
 
 
-class ChunkEncoder:
-    """Ids of whole texts, by chunks between blanks and line breaks that are kept once seen.
+def _may_cut(spec: dict) -> bool:
+    """Whether a tokenizer file is of the kind that :class:`ChunkEncoder` encodes by chunks."""
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    split, *level = before.get("pretokenizers", [{}])
+    return (
+        (spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and split.get("pattern") == {"Regex": _SPLIT}
+        and (split.get("behavior"), split.get("invert")) == ("Removed", True)
+        and [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in level]
+        == [("ByteLevel", False, False)]
+        and model["type"] == "BPE"
+        and not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix"))
+        # No token that is looked for in the text itself spans a cut.
+        and all(
+            not (t["content"][0].isalpha() or t["content"][-1] in ".,")
+            and not any(t[x] for x in ("single_word", "lstrip", "rstrip", "normalized"))
+            and not any(map(str.isspace, t["content"]))
+            for t in spec["added_tokens"]
+        )
+    )
+
+
+class _Known(dict):
+    """Chunks with their ids; a chunk that is not there is encoded."""
 
-    For tokenizers that normalise to NFC and lower case, and whose pieces are runs of letters,
-    single digits or runs of other signs, without white space. There a cut at a blank or line
-    break, and before a full stop or comma after a letter, changes no id, and a word of Latin letters
-    is one piece that the model can be asked for without the steps before it.
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encode(chunk)
+        if len(chunk) <= _LONGEST_CHUNK:
+            if len(self) > _CACHE:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
+class ChunkEncoder:
+    """Ids of whole texts as the tokenizers library gives them.
+
+    Texts are encoded by chunks between blanks and line breaks, kept once seen, if the tokenizer
+    normalises to NFC and lower case and its pieces are runs of letters, single digits or runs
+    of other signs, without white space. There a cut at a blank or line break, before a full
+    stop or comma after a letter, and between a word and ASCII signs up to the chunk's end changes
+    no id, and a word of Latin letters is one piece that the model can be asked for without the
+    steps before it. For any other tokenizer each text is encoded whole by the library.
     """
 
     def __init__(self, path: str):
@@ -99,35 +149,39 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._new)
+        with open(path, encoding="utf-8") as file:
+            self.by_chunks = _may_cut(json.load(file))
 
     @staticmethod
     def _is_word(chunk: str) -> bool:
-        letters = chunk.isalpha() and max(chunk) < "\u0250"
-        return letters and unicodedata.is_normalized("NFC", chunk) and chunk.lower().isalpha()
+        if chunk.isascii() or not chunk.isalpha():
+            return chunk.isalpha()
+        latin = max(chunk) < "\u0250" and unicodedata.is_normalized("NFC", chunk)
+        return latin and chunk.lower().isalpha()
+
+    def _whole(self, text: str) -> bytes:
+        found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(found, "<u4").tobytes()
 
     def _new(self, chunk: str) -> bytes:
+        if self._is_word(chunk):
+            word = chunk.lower()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        head = chunk.rstrip(string.punctuation)
+        if head != chunk and self._is_word(head):
+            return self.known[head] + self.known[chunk[len(head) :]]
         if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].lower().isalpha():
-            ids = self._get(chunk[:-1]) + self._get(chunk[-1])
-        elif self._is_word(chunk):
-            word = chunk.lower().encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        else:
-            found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
-        if len(chunk) <= _LONGEST_CHUNK:
-            if len(self.known) > _CACHE:
-                self.known.clear()
-            self.known[chunk] = ids
-        return ids
-
-    def _get(self, chunk: str) -> bytes:
-        ids = self.known.get(chunk)
-        return self._new(chunk) if ids is None else ids
+            return self.known[chunk[:-1]] + self.known[chunk[-1]]
+        return self._whole(chunk)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._get, text.replace("\n", " ").split(" ")))
+        if not self.by_chunks:
+            return self._whole(text)
+        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
@@ -135,6 +189,12 @@ def _chunk_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
+_PIECE = pa.struct(
+    [("seq", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("skip", pa.int64())]
+    + [("n", pa.int32()), ("doc_n", pa.int64())]
+)
+
+
 class _Blocks:
     """Cuts the ids of documents, fed in order, into blocks."""
 
@@ -142,16 +202,13 @@ class _Blocks:
         self.part, self.size, self.bits = part, size, bits
         self.block = self.first = self.held = self.seq = 0
         self.ids: list[np.ndarray] = []
-        self.docs: list[dict] = []
+        self.docs: list[tuple] = []
 
-    def feed(self, doc_id: int | None, ids: np.ndarray) -> Iterator[dict]:
+    def feed(self, doc_id: int | None, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         skip = 0
         while skip < len(ids):
             piece = ids[skip : skip + self.size - self.held]
-            self.docs.append(
-                {"seq": self.seq, "doc_id": doc_id, "at": self.held, "skip": skip}
-                | {"n": len(piece), "doc_n": len(ids)}
-            )
+            self.docs.append((self.seq, doc_id, self.held, skip, len(piece), len(ids)))
             self.ids.append(piece)
             self.held += len(piece)
             skip += len(piece)
@@ -159,25 +216,22 @@ class _Blocks:
                 yield self.close()
         self.seq += 1
 
-    def close(self) -> dict:
-        row = {"part": self.part, "block": self.block, "first": self.first, "n": self.held}
-        row |= {"payload": pack_block(np.concatenate(self.ids), self.bits), "docs": self.docs}
+    def close(self) -> pa.RecordBatch:
+        """The block as one row of the stored table."""
+        fields = [pa.array(v, f.type) for v, f in zip(zip(*self.docs), _PIECE)]
+        docs = pa.StructArray.from_arrays(fields, fields=list(_PIECE))
+        row = {
+            "part": pa.array([self.part], pa.int32()),
+            "block": pa.array([self.block], pa.int64()),
+            "first": pa.array([self.first], pa.int64()),
+            "n": pa.array([self.held], pa.int32()),
+            "payload": pa.array([pack_block(np.concatenate(self.ids), self.bits)], pa.binary()),
+            "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
+        }
         self.block += 1
         self.first += self.held
         self.held, self.ids, self.docs = 0, [], []
-        return row
-
-
-def _block_rows(rows: list[dict]) -> pa.RecordBatch:
-    piece = pa.struct(
-        [("seq", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("skip", pa.int64())]
-        + [("n", pa.int32()), ("doc_n", pa.int64())]
-    )
-    schema = pa.schema(
-        [("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("n", pa.int32())]
-        + [("payload", pa.binary()), ("docs", pa.list_(piece))]
-    )
-    return pa.RecordBatch.from_pylist(rows, schema)
+        return pa.RecordBatch.from_pydict(row)
 
 
 def write_token_ids(
@@ -192,7 +246,8 @@ def write_token_ids(
 ) -> None:
     """Encode every whole text and store the ids in ascending ``doc_id`` order.
 
-    ``tokenizer`` is a file whose kind :class:`ChunkEncoder` describes.
+    ``tokenizer`` is a file of the tokenizers library; :class:`ChunkEncoder` tells which kind is
+    encoded by chunks.
 
     Null texts are empty; null ids come first; rows with one doc_id are ordered by their texts
     and all kept. Without ``end_id`` an empty document has no ids and leaves no trace. Documents
@@ -217,10 +272,9 @@ def write_token_ids(
         for batch in batches:
             for key, text in zip(batch.column("doc_id"), batch.column("text")):
                 ids = np.frombuffer(encoder.encode(text.as_py() or "") + end, "<u4")
-                for row in blocks.feed(key.as_py(), ids):
-                    yield _block_rows([row])
+                yield from blocks.feed(key.as_py(), ids)
         if blocks.held:
-            yield _block_rows([blocks.close()])
+            yield blocks.close()
 
     stored = sorted_docs.mapInArrow(cut, _BLOCK_SCHEMA)
     stored.write.option("compression", "uncompressed").mode("errorifexists").parquet(path)
@@ -276,9 +330,6 @@ def read_documents(spark: SparkSession, path: str, keep_ids: bool = True) -> Dat
 
     blocks = spark.read.schema(_BLOCK_SCHEMA).parquet(path)
     pieces = blocks.select("part", "first", "payload", "docs").mapInArrow(decode, schema)
-    whole = F.aggregate(
-        F.sort_array("pieces"), F.lit(b""), lambda a, x: F.concat(a, x["ids"])
-    )
     docs = (
         pieces.groupBy("part", "seq")
         .agg(
@@ -287,9 +338,8 @@ def read_documents(spark: SparkSession, path: str, keep_ids: bool = True) -> Dat
             F.first("doc_n").alias("n_tokens"),
             F.count(F.lit(1)).alias("count"),
             F.first("crc").alias("crc"),
-            F.collect_list(F.struct("skip", "ids")).alias("pieces"),
+            F.expr("listagg(ids) WITHIN GROUP (ORDER BY skip)").alias("ids"),
         )
-        .withColumn("ids", F.when((F.col("count") > 1) | F.lit(keep_ids), whole))
         .join(F.broadcast(_part_starts(blocks.select("part", "n"))), "part")
         .select(
             "doc_id",

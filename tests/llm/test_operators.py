@@ -154,9 +154,12 @@ def test_documents_cut_by_blocks(spark, tmp_path):
     assert sum(r.n for r in index) == start and max(r.n for r in index) <= 7
 
 
-def test_chunks_are_encoded_as_whole_texts():
-    encoder, whole = token_ids.ChunkEncoder(WORDS), Tokenizer.from_file(WORDS)
+@pytest.mark.parametrize("path", [WORDS, public_tokenizers.path("byte_bpe_50k.json")])
+def test_chunks_are_encoded_as_whole_texts(path):
+    encoder, whole = token_ids.ChunkEncoder(path), Tokenizer.from_file(path)
+    assert encoder.by_chunks == (path == WORDS)
     signs = ["a", "The", " ", "  ", "\n", ".", ",", "É", "é", "İ", "Σ", "日本", "1", "'s", "!", "\x85"]
+    signs += ["word", "don't", "###", "'", "|>", "(", "_", "=", "\u0338"]
     signs += ["́", "ß", "<|endoftext|>", "ǅ", "​", "\t"]
     rng = random.Random(5)
     for _ in range(2000):
