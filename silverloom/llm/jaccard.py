@@ -40,8 +40,12 @@ SHARE, PARTS = 80, 100
 SLOTS, BLOCK = 1 << 20, 1 << 12
 #: Largest region that is compared pair by pair.
 LEAF = 64
-#: Pivots of a larger region: one while it may be one cluster, several once that is known.
-PIVOTS = (1, 256)
+#: Levels at first that only compare each region with one pivot, and pivots of a region that is
+#: larger than a leaf at the levels after those; the last number holds from there on.
+STAR_LEVELS = 2
+PIVOTS = (16, 64, 256)
+#: A region is split by its first pivot if at most one member of so many is in the boundary.
+SPLIT = 5
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
 _BYTES = 2 << 20
 _SEEN = 100_000
@@ -304,12 +308,6 @@ def _linked(common: Column, a: Column, b: Column, share: int, parts: int) -> Col
     return parts * common >= share * (a + b - common)
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps now: it does so when the driver's JVM
-    collects their plans, which a driver with little to do may put off past the end of the job."""
-    spark.sparkContext._jvm.System.gc()
-
-
 class _Prepared(NamedTuple):
     """What both modes of the join start from."""
 
@@ -359,7 +357,7 @@ def _prepare(
         "join-regions",
     )
     regions = stored(_first_of_equal(regions), "join-regions")
-    _release(docs.sparkSession)
+
     def whole(wanted: DataFrame) -> DataFrame:
         """The sets of some nodes; some may be there twice if rows share a doc_id."""
         ids = stored(split_join(classes, wanted, ["node"], "left_semi").select("doc_id"), "join-members")
@@ -397,11 +395,14 @@ def ngram_join(
     nodes = stored(split_join(nodes, placed, ["node"], "left_semi"), "join-slices")
     labels = nodes.select("node", F.col("node").alias("component"))
     labels = stored(labels, "join-labels")
-    more, pivots = True, PIVOTS[0]
+    more, level = True, 0
     while more:
-        regions, labels, more = _level(regions, labels, nodes, whole, share, parts, pivots)
-        _release(docs.sparkSession)
-        pivots = PIVOTS[1]
+        pivots = PIVOTS[min(max(level - STAR_LEVELS, 0), len(PIVOTS) - 1)]
+        whole_regions = level < STAR_LEVELS
+        regions, labels, more = _level(
+            regions, labels, nodes, whole, share, parts, pivots, whole_regions
+        )
+        level += 1
 
     placed = split_join(with_id.select("doc_id", "n", "node"), labels, ["node"], "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
@@ -434,10 +435,17 @@ def _level(
     share: int,
     parts: int,
     pivots: int,
+    whole_regions: bool,
 ) -> tuple[DataFrame, DataFrame, bool]:
     """One level of the recursion: the regions to go on with, the components, and whether any
-    region is left. Early members are pivots first, those of a cell last; the first pivot splits
-    the region, and all of them are done with after the level."""
+    region is left. Early members are pivots first, those of a cell last, and of each component
+    one before any is a second time, small components first; all of them are done with after the
+    level. The first pivot splits the region, unless its boundary is so large that the parts
+    would have far more members than the region: near copies of one text are all within ``2 r``.
+
+    With ``whole_regions`` every region, small ones too, keeps all members but its one pivot.
+    Regions inside a group of near copies become one component by these stars, so they end
+    before anything is compared pair by pair."""
     here = split_join(regions, labels, ["node"], "inner")
     open_ = (
         here.groupBy("region")
@@ -450,11 +458,23 @@ def _level(
         .where("lo < hi AND any")
         .select("region", "members")
     )
-    turn = Window.partitionBy("region").orderBy(F.desc("early"), "settled", "node")
-    here = split_join(here, open_, ["region"], "inner").withColumn("turn", F.row_number().over(turn))
+    here = split_join(here, open_, ["region"], "inner")
+    if whole_regions:
+        # A mergeable minimum: no region has to fit a task.
+        best = here.where("early").groupBy("region").agg(F.min("node").alias("first"))
+        here = split_join(here, best, ["region"], "inner").withColumn(
+            "turn", F.when(F.col("node") == F.col("first"), 1).otherwise(2)
+        ).drop("first")
+    else:
+        once = Window.partitionBy("region", "component").orderBy(F.desc("early"), "settled", "node")
+        alike = F.count(F.lit(1)).over(Window.partitionBy("region", "component"))
+        turn = Window.partitionBy("region").orderBy(F.desc("early"), "again", "alike", "node")
+        here = here.withColumns({"again": F.row_number().over(once), "alike": alike})
+        here = here.withColumn("turn", F.row_number().over(turn)).drop("again", "alike")
     here = stored(here, "join-level")
     own = ["node", "n", "at", "early", "settled"]
-    large = here.where(F.col("members") > LEAF)
+    is_large = F.lit(whole_regions) | (F.col("members") > LEAF)
+    large = here.where(is_large)
 
     def end(rows: DataFrame, name: str, *more: str) -> DataFrame:
         columns = [F.col(x).alias(f"{x}{name}") for x in ("node", "component", "n", "at", *more)]
@@ -462,7 +482,7 @@ def _level(
 
     # What two sets can still have in common from the places of this shingle on.
     most = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    small = here.where(F.col("members") <= LEAF)
+    small = here.where(~is_large)
     pairs = (
         end(small, "a")
         .join(end(small, "b"), "region")
@@ -475,7 +495,7 @@ def _level(
     stars = (
         end(leads, "a", "turn")
         .join(end(large, "b"), "region")
-        .where((F.col("nodea") != F.col("nodeb")) & ((F.col("turna") == 1) | able))
+        .where((F.col("nodea") != F.col("nodeb")) & (able | (F.lit(not whole_regions) & (F.col("turna") == 1))))
     )
     first = large.where("turn = 1").select("region", F.col("node").alias("first"))
     a, b = F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")
@@ -504,6 +524,10 @@ def _level(
     linked = stored(linked, "join-pairs")
     labels = _relabel(labels, linked)
 
+    if whole_regions:
+        regions = here.where("turn > 1").select("region", *own)
+        return regions, labels, not regions.isEmpty()
+
     # Distance from the first pivot: within r (0), by the bound within 2 r (1), or beyond (2).
     wide = F.when(linked_by("bound", max(2 * share - parts, 0)), 1).otherwise(2)
     measured = split_join(
@@ -520,13 +544,21 @@ def _level(
         "ring", F.coalesce("ring", F.lit(2))
     )
     ringed = ringed.withColumn("settled", F.when(F.col("ring") == 0, 1).otherwise(F.col("settled")))
+    ringed = stored(ringed, "join-rings")
+    pays = ringed.groupBy("region").agg(
+        (SPLIT * F.count(F.when(F.col("ring") == 1, 1)) <= F.count(F.lit(1))).alias("pays")
+    )
+    ringed = split_join(ringed, pays, ["region"], "inner")
+    kept = ringed.where("NOT pays").select("region", *own)
+    ringed = ringed.where("pays")
     cell = ringed.where("ring <= 1").select("region", "first", F.lit(0).alias("cell"), *own)
     rest = ringed.where("ring >= 1").select("region", "first", F.lit(1).alias("cell"), *own)
     # A cell without a boundary has nothing to be compared with.
     edge = ringed.where("ring = 1").select("region", "first").distinct()
     cell = split_join(cell, edge, ["region", "first"], "left_semi")
     name = F.xxhash64("region", "first", "cell").alias("region")
-    regions = stored(cell.union(rest).select(name, *own), "join-regions")
+    regions = cell.union(rest).select(name, *own).union(kept)
+    regions = stored(regions, "join-regions")
     return regions, labels, not regions.isEmpty()
 
 
