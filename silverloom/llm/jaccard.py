@@ -13,7 +13,8 @@ Within a region early documents are the pivots, under the Jaccard distance, with
 ``r = 1 - t``. All members are compared with the pivot. Those within ``r`` are its cell; they are linked and one
 component. Members beyond ``2 r`` cannot be linked to the cell. So the cell goes on with the
 boundary (between ``r`` and ``2 r``) as one region, boundary and rest as another, and both are
-joined in the same way. Regions that have become one component are done; those of a few members
+joined in the same way; a region that is mostly boundary stays whole without its pivots. Regions
+that have become one component are done; those of a few members
 are compared pair by pair. Distances are taken from the counts of shingles in slices of the hash
 space first: they never exceed those of the sets, so they rule out most pairs and make boundaries
 no smaller. Only pairs that they leave open are compared shingle by shingle.
