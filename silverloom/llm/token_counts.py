@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from silverloom.llm.common import ship_code, table
 
 BLANK = "▁"
+_UNITS = re.compile(f"{BLANK}+[^{BLANK}]*").findall
 #: An unknown character scores this much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
 _WORDS = 400_000
@@ -33,8 +35,9 @@ def read_vocabulary(path: str) -> list[tuple[str, float]]:
 class Counter:
     """Number of tokens of a text: the best-scoring cut of each word into pieces.
 
-    A word begins at each blank, which is written as its first character; a text has one in
-    front if it does not begin with one. Of equal scores the longest last piece wins. A character that is no
+    A word begins at each blank that follows no blank, and blanks are written as its first
+    characters, so pieces of several blanks can match; a text has a blank in front if it does
+    not begin with one. Of equal scores the longest last piece wins. A character that is no
     piece counts as its UTF-8 bytes. Scores are added from left to right, so that rounding, and
     with it every tie, falls as in a search that keeps the whole path. Only the scores and counts
     of as many places as the longest piece has characters are kept.
@@ -75,12 +78,12 @@ class Counter:
         if not text:
             return 0
         text = text.replace(" ", BLANK)
-        words = text.removeprefix(BLANK).split(BLANK)
+        words = _UNITS(text if text[0] == BLANK else BLANK + text)
         known, total = self.known, 0
         for word in words:
             n = known.get(word)
             if n is None:
-                n = self.word(BLANK + word)
+                n = self.word(word)
                 if len(word) <= _LONGEST_WORD:
                     if len(known) > _WORDS:
                         known.clear()
