@@ -144,7 +144,7 @@ def mix_sources(
         fits = F.size(F.filter(x["cells"], lambda c: c["sum"] <= goal))
         below, above = F.get(x["cells"], fits - 1), F.get(x["cells"], fits)
         nearer = above["sum"] - goal < goal - F.coalesce(below["sum"], F.lit(0))
-        last = F.when(nearer, above).otherwise(below)
+        last = F.when(x["class"] > 0, F.when(nearer, above).otherwise(below))
         step = F.struct(
             x["class"].alias("class"), F.coalesce(last["cell"], F.lit(-1)).alias("last")
         )
@@ -172,7 +172,7 @@ def mix_sources(
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
-    """Each row as often as ``reps`` says."""
+    """Each row as often as ``reps`` says; rows with 0 or null go, an empty table stays empty."""
     copies = F.sequence(F.lit(1), F.col("reps"))
     return mixed.where("reps > 0").withColumn("__copy", F.explode(copies)).drop("__copy")
 
