@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ NEARBY = 40
 THRESHOLD = 0.6
 _CONTEXT = 0.3
 _CHECKED = 0.4
+#: Code points of a page of a text, in which a place is found without walking the whole text.
+_PAGE = 512
 
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -129,19 +132,78 @@ BASE = tuple(k.name for k in KINDS if k.base)
 _SPAN = "array<struct<start: int, kind_no: int, end: int, kind: string, score: double>>"
 
 
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda acc, x: acc + x)
+
+
+def _most(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda acc, x: F.greatest(acc, x))
+
+
+def _with_levels(
+    df: DataFrame, values: Mapping[str, Column], fold: Callable[[Column], Column]
+) -> DataFrame:
+    """Add, for each array of whole numbers, its numbers, their folds by 64 and those by 4,096.
+
+    Each level is a projection of its own and is referred to more than once, so none is computed
+    again inside a lambda.
+    """
+
+    def folds(name: str) -> Column:
+        count = F.size(name)
+        blocks = F.sequence(F.lit(0), F.shiftright(F.greatest(count - 1, F.lit(0)), 6))
+        return F.transform(blocks, lambda b: fold(F.slice(F.col(name), b * 64 + 1, F.lit(64))))
+
+    step = df.withColumns({f"{n}_0": v for n, v in values.items()})
+    step = step.withColumns({f"{n}_1": folds(f"{n}_0") for n in values})
+    step = step.withColumns({n: F.array(f"{n}_0", f"{n}_1", folds(f"{n}_1")) for n in values})
+    return step.drop(*[f"{n}_{i}" for n in values for i in (0, 1)])
+
+
+def _before(levels: Column, i: Column, fold: Callable[[Column], Column]) -> Column:
+    """The fold of the first ``i`` numbers, of at most 64 numbers of the lower two levels each. No
+    array grows inside a lambda, which Spark would copy for every item."""
+    parts = [
+        F.slice(levels[2], F.lit(1), F.shiftright(i, 12)),
+        F.slice(levels[1], F.shiftright(i, 12) * 64 + 1, F.shiftright(i, 6).bitwiseAND(63)),
+        F.slice(levels[0], F.shiftright(i, 6) * 64 + 1, i.bitwiseAND(63)),
+    ]
+    return fold(F.array(*[fold(p) for p in parts]))
+
+
+def _pages(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))
+
+
+def _cut(pages: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to before ``end``, out of the pages that hold them."""
+    first, last = F.floor(start / _PAGE).cast("int"), F.floor(end / _PAGE).cast("int")
+    held = F.array_join(F.slice(pages, first + 1, last - first + 1), "")
+    return F.substring(held, start - first * _PAGE + 1, end - start)
+
+
 def _valid(kind: Kind) -> Callable[[Column], Column]:
-    return lambda span: kind.valid(span["match"])
+    return lambda item: kind.valid(item["match"])
+
+
+def _placed(ends: Column) -> Callable[[Column], Column]:
+    def place(item: Column) -> Column:
+        end = _before(ends, item["at"] + 1, _sum)
+        return F.struct((end - F.length(item["match"])).alias("start"), end.alias("end"))
+
+    return place
 
 
-def _scored(number: int, kind: Kind, text: Column) -> Callable[[Column], Column]:
+def _scored(number: int, kind: Kind, pages: Column) -> Callable[[Column], Column]:
     """The finished span: the kind's score, a confirmed checksum, and words nearby."""
     sure = kind.score + _CHECKED * kind.checksum
 
     def score(span: Column) -> Column:
         start, end = span["start"], span["end"]
-        before = F.greatest(start - NEARBY, F.lit(0))
         near = F.concat_ws(
-            " ", F.substring(text, before + 1, start - before), F.substring(text, end + 1, F.lit(NEARBY))
+            " ",
+            _cut(pages, F.greatest(start - NEARBY, F.lit(0)), start),
+            _cut(pages, end, end + NEARBY),
         )
         more = F.when(lower_ascii(near).rlike(kind.context), _CONTEXT).otherwise(0.0)
         return F.struct(
@@ -162,8 +224,9 @@ def find_pii(df: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
     within a kind; those that fail their check are dropped without another try. The score is the
     kind's own, more for a confirmed checksum and for context words within 40 characters; kinds
     outside the base need 0.6. Everything is a column expression over the whole text: no row
-    is exploded or shuffled. Null and empty texts have no spans; repeated rows have the same
-    ones. A column named pii is replaced.
+    is exploded or shuffled, and the work grows with the text and its matches. Null and empty
+    texts have no spans; repeated rows have the same ones; an empty table gives an empty one.
+    A column named pii is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<string>")
@@ -178,39 +241,32 @@ def find_pii(df: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
         f"__gaps{i}": F.when(F.size(f"__found{i}") > 0, F.split(whole, k.pattern)).otherwise(none)
         for i, k in enumerate(kinds)
     }
+    matches = reduce(lambda a, b: a + b, [F.size(name) for name in found])
+    gaps["__pages"] = F.when(matches > 0, _pages(whole)).otherwise(none)
 
-    def place(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"))
-        return F.struct(
-            end.alias("at"),
-            F.when(x["match"].isNull(), acc["all"])
-            .otherwise(F.concat(acc["all"], F.array(span)))
-            .alias("all"),
-        )
+    def length(gap: Column, match: Column) -> Column:
+        return F.length(gap) + F.coalesce(F.length(match), F.lit(0))
 
-    empty = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start: int, end: int, match: string>>").alias("all"),
-    )
     # Each step is a projection of its own, so that a lambda finds its inputs computed.
     step = df.withColumns(found).withColumns(gaps)
+    lengths = {
+        f"__ends{i}": F.zip_with(f"__gaps{i}", f"__found{i}", length) for i in range(len(kinds))
+    }
+    gaps.pop("__pages")
+    step = _with_levels(step, lengths, _sum).drop(*gaps)
     placed, scored = {}, {}
     for i, k in enumerate(kinds):
-        pairs = F.arrays_zip(
-            F.col(f"__gaps{i}").alias("gap"), F.col(f"__found{i}").alias("match")
+        items = F.transform(
+            f"__found{i}", lambda m, at: F.struct(at.alias("at"), m.alias("match"))
         )
-        spans = F.filter(F.aggregate(pairs, empty, place, lambda a: a["all"]), _valid(k))
-        placed[f"__placed{i}"] = F.when(F.size(f"__found{i}") > 0, spans).otherwise(
-            F.array().cast("array<struct<start: int, end: int, match: string>>")
-        )
-        spans = F.transform(f"__placed{i}", _scored(i, k, whole))
+        placed[f"__placed{i}"] = F.transform(F.filter(items, _valid(k)), _placed(F.col(f"__ends{i}")))
+        spans = F.transform(f"__placed{i}", _scored(i, k, F.col("__pages")))
         kept = spans if k.base else F.filter(spans, lambda s: s["score"] >= THRESHOLD)
         scored[f"__scored{i}"] = kept.cast(_SPAN)
-    step = step.withColumns(placed).drop(*found, *gaps).withColumns(scored).drop(*placed)
+    step = step.withColumns(placed).drop(*found, *lengths)
+    step = step.withColumns(scored).drop(*placed, "__pages")
     step = step.withColumn("pii", F.sort_array(F.concat(*scored)))
-    return step.select(*[c for c in df.columns if c != "pii"], "pii")
+    return step.select(*[F.col(f"`{c}`") for c in df.columns if c != "pii"], "pii")
 
 
 def span_text(spans: Column) -> Column:
@@ -223,34 +279,35 @@ def span_text(spans: Column) -> Column:
 def mask_pii(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace every span of ``pii`` in ``text`` by its kind in brackets, overlaps by the first.
 
-    Null texts stay null.
+    Null texts stay null, texts without spans and empty texts as they are; repeated rows are
+    masked alike and an empty table gives an empty one. The work grows with the text and its
+    spans. Other columns are left alone.
     """
-    whole = F.col(text)
-
-    def cover(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(
-            F.substring(whole, acc["at"] + 1, s["start"] - acc["at"]),
-            F.lit("["),
-            F.upper(s["kind"]),
-            F.lit("]"),
-        )
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"),
-        )
+    pages, spans, ends = F.col("__pages"), F.col("__spans"), F.col("__ends")
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    masked = F.aggregate(
-        "pii",
-        start,
-        cover,
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(whole, a["at"] + 1, F.length(whole))),
-    )
-    return df.withColumn(text, F.when(F.size("pii") > 0, masked).otherwise(whole))
+    def cover(span: Column, i: Column) -> Column:
+        """The span, and up to where the spans before it reach."""
+        after = _before(ends, i, _most)
+        return F.struct(after.alias("after"), span["start"].alias("start"), span["kind"].alias("kind"))
+
+    def replaced(s: Column) -> Column:
+        label = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        return F.concat(_cut(pages, s["after"], s["start"]), label)
+
+    held = F.size("pii") > 0
+    whole = F.col(f"`{text}`")
+    step = df.withColumn("__pages", F.when(held, _pages(whole)))
+    step = _with_levels(step, {"__ends": F.transform("pii", lambda s: s["end"])}, _most)
+    covered = F.filter(F.transform("pii", cover), lambda s: s["start"] >= s["after"])
+    step = step.withColumn("__spans", covered)
+    rest = _cut(pages, F.array_max(F.transform("pii", lambda s: s["end"])), F.length(whole))
+    masked = F.concat(F.array_join(F.transform(spans, replaced), ""), rest)
+    return step.withColumn(text, F.when(held, masked).otherwise(whole)).drop("__pages", "__spans", "__ends")
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document with their scores. Null and empty texts have none (the digest of
+    no bytes); repeated rows are reported each; an empty table gives an empty result."""
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = F.transform("pii", lambda s: s["kind"])
     counts = [
@@ -263,4 +320,5 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *counts,
         F.sha2(span_text(base), 256).alias("base_sha256"),
         span_text(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -206,6 +207,42 @@ def test_long_texts_and_masking(spark):
     assert [r.text for r in masked] == ["mail [EMAIL], ip [IP]!", None]
 
 
+def masked_plainly(text, spans):
+    out, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            out.append(text[at : s["start"]] + f"[{s['kind'].upper()}]")
+        at = max(at, s["end"])
+    return "".join([*out, text[at:]])
+
+
+def test_places_and_masks_of_mixed_texts(spark):
+    """Spans lie in pages of 512 characters and are gathered in parts of 256; here both are crossed."""
+    rng = random.Random(3)
+    parts = ["p@q.r", "1.2.3.4", "4539148803436467", "+44 20 7946 0958", "GB82WEST12345698765432"]
+    parts += ["é😀", "word ", " " * 300, "123-45-6789 ssn", ", ", "\n", "日本 " * 90, "a@b.c@d.e"]
+    texts = [" ".join(rng.choice(parts) for _ in range(n)) for n in (0, 1, 5, 300, 900, 2600)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    found = pii.find_pii(df)
+    rows = {r.doc_id: r.pii for r in found.collect()}
+    for r in pii.mask_pii(found).collect():
+        assert r.text == masked_plainly(texts[r.doc_id], rows[r.doc_id])
+    for i, text in enumerate(texts):
+        want = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+        assert [(s["start"], s["end"]) for s in rows[i] if s["kind"] == "email"] == want
+    empty = found.where("doc_id < 0")
+    assert pii.mask_pii(empty).isEmpty()
+
+
+def test_many_matches_in_one_text(spark):
+    text = "".join(f"u{i}@h.org 10.0.{i % 250}.7\n" for i in range(50_000))
+    df = spark.createDataFrame([(1, text)], DOC)
+    begin = time.monotonic()
+    row = pii.mask_pii(pii.find_pii(df)).select("text", F.size("pii").alias("n")).first()
+    assert time.monotonic() - begin < 40
+    assert row.n == 100_000 and row.text == "[EMAIL] [IP]\n" * 50_000
+
+
 # Nearest neighbours
 
 
@@ -243,9 +280,9 @@ def test_counts_agree_with_the_library(spark, texts):
     octets = [(f"<0x{i:02X}>", least) for i in range(256)]
     model = models.Unigram([("<unk>", least), *vocabulary, *octets], unk_id=0, byte_fallback=True)
     library = Tokenizer(model)
-    library.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=True)
+    library.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
     rng = random.Random(6)
-    signs = ["a", "the", " ", "  ", "\n", "▁", "é", "語", "😀", "1", ".", "tion"]
+    signs = ["a", "the", " ", "  ", " " * 5, " " * 40, "\n", "▁", "é", "語", "😀", "1", ".", "tion"]
     sample = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(1500)]
     sample += [*texts.values(), "a" * 5000, ""]
     df = spark.createDataFrame([*enumerate(sample), (-1, None)], DOC)
@@ -262,20 +299,25 @@ def test_mixing_edges(spark):
     schema = "doc_id long, source string, n int, size string"
     rows = [(i, "a", 100, "x") for i in range(40)] + [(i, "b", 10, "x") for i in range(40, 44)]
     rows += [(60, None, 7, "x"), (None, "c", 50, "x"), (None, "c", 50, "x"), (70, "z", 0, "x")]
+    rows += [(i, s, 0, "x") for i, s in enumerate("abz" * 20, 100)]
     df = spark.createDataFrame(rows, schema)
     got = mixing.mix_sources(df.select("doc_id", "source", "n", "size"), F.col("n")).collect()
     assert len(got) == len(rows)
     by = {r.source: r for r in got}
     # Weights by name, null last: a 1, b 2, c 3, z 1, null 2; all but a are capped.
     assert by["b"].target == 3 * 40 and by["c"].target == 3 * 100 and by[None].target == 21
-    assert by["z"].target == 0 and by["z"].reps == 0 or by["z"].size == 0
+    assert by["z"].target == 0
+    # Rows without words come as often as the whole repetitions say and never more often.
+    whole = {"a": int(by["a"].target // by["a"].source_size), "b": 3, "z": 3}
+    assert all(r.reps == whole[r.source] for r in got if r.size == 0)
+    assert all(r.reps <= 3 for r in got)
     total = sum(r.size for r in got)
     assert by["a"].target == total - 120 - 300 - 21
     taken = sum(r.size * r.reps for r in got if r.source == "a")
     assert abs(taken - by["a"].target) <= 50
     assert mixing.mix_sources(df.where("n < 0"), F.col("n")).isEmpty()
     only = mixing.mix_sources(df.where("source = 'z'"), F.col("n")).collect()
-    assert [(r.size, r.target) for r in only] == [(0, 0.0)]
+    assert [(r.size, r.target) for r in only] == [(0, 0.0)] * 21
 
 
 # Byte-level BPE
@@ -288,7 +330,7 @@ def test_encoding_agrees_with_the_library():
     )
     encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
     rng = random.Random(7)
-    signs = ["a", "the", " ", "  ", "\n", "é", "日本", "й", "1", "'s", "!", "\x1c", "\x85", "😀", "\r\n"]
+    signs = ["a", "the", " ", "  ", " " * 5, " " * 40, "\n", "é", "日本", "й", "1", "'s", "!", "\x1c", "\x85", "😀", "\r\n"]
     sample = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(3000)]
     sample += ["a" * 30_000, "ab" * 9_000, "=-" * 5_000, "", " " * 500, "日" * 2_000]
     for text in sample:
