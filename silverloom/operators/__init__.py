@@ -21,6 +21,7 @@ from silverloom.operators.quality import (
     run_suite,
 )
 from silverloom.operators.scd2 import scd2_apply, scd2_chain, scd2_stage
+from silverloom.operators.substrings import substring_index, texts_containing
 
 __all__ = [
     "AmbiguousMerge",
@@ -44,6 +45,8 @@ __all__ = [
     "scd2_apply",
     "scd2_chain",
     "scd2_stage",
+    "substring_index",
+    "texts_containing",
     "top_k",
     "union_all",
     "update_where",

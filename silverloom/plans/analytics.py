@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverloom.operators.skew import common_type, exchanged, key_of
+from silverloom.operators.substrings import texts_containing
 
 
 def actor_topk(
@@ -23,17 +24,24 @@ def actor_topk(
     revenue: str = "revenue",
     name: str = "name",
     ignore_case: bool = False,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Highest-grossing movies of the players whose name contains a text.
 
     The name test reaches the scan of ``cast``, the few rows left are joined to the movies,
-    and the ranking keeps ``k`` rows per task.
+    and the ranking keeps ``k`` rows per task. With a stored ``index`` of the names
+    (:func:`silverloom.operators.substring_index`, made with the same ``ignore_case``) the names
+    are looked up there and no name of ``cast`` is searched.
     """
-    if ignore_case:
-        found = F.lower(F.col(name)).contains(name_contains.lower())
+    if index is not None:
+        names = texts_containing(index, name_contains, ignore_case)
+        same = exchanged([key_of(cast, name, "__c")], [key_of(names, "text", "__n")])
+        players = cast.alias("__c").join(names.alias("__n"), same, "left_semi")
+    elif ignore_case:
+        players = cast.where(F.lower(F.col(name)).contains(name_contains.lower()))
     else:
-        found = F.col(name).contains(name_contains)
-    players = cast.where(found).select(movie_id, F.col(name).alias("name"))
+        players = cast.where(F.col(name).contains(name_contains))
+    players = players.select(movie_id, F.col(name).alias("name"))
     films = movies.select(movie_id, F.col(title).alias("title"), F.col(revenue).alias("revenue"))
     return (
         films.join(players, movie_id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from silverloom.operators import row_counts, top_k
+from silverloom.operators import row_counts, substring_index, top_k
 from silverloom.plans import (
     actor_topk,
     build_movies,
@@ -14,6 +14,7 @@ from silverloom.plans import (
     team_consistency,
     year_revenue,
 )
+from silverloom.session import scratch_path
 from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 
 TABLES = (
@@ -38,6 +39,22 @@ def q_actor_topk_ignore_case(spark, sf):
     return _actor(spark, sf, name_contains="CUSTOMER#", k=20, ignore_case=True)
 
 
+def _name_index(spark, sf, ignore_case=False):
+    path = scratch_path(spark, "names")
+    substring_index(table(spark, sf, "customer"), "c_name", ignore_case).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_actor_topk_indexed(spark, sf):
+    return _actor(spark, sf, name_contains="00012", index=_name_index(spark, sf))
+
+
+def q_actor_topk_indexed_ignore_case(spark, sf):
+    """A pattern of two characters, which is a piece of the index itself."""
+    index = _name_index(spark, sf, ignore_case=True)
+    return _actor(spark, sf, name_contains="R#", k=20, ignore_case=True, index=index)
+
+
 def q_genre_revenue(spark, sf):
     movies = table(spark, sf, "orders").withColumnRenamed("o_custkey", "movie_id")
     genres = table(spark, sf, "customer").withColumnRenamed("c_custkey", "movie_id")
@@ -150,6 +167,8 @@ def q_silver_team_consistency(spark, sf):
 QUERIES = {
     "actor_topk": q_actor_topk,
     "actor_topk_ignore_case": q_actor_topk_ignore_case,
+    "actor_topk_indexed": q_actor_topk_indexed,
+    "actor_topk_indexed_ignore_case": q_actor_topk_indexed_ignore_case,
     "genre_revenue": q_genre_revenue,
     "year_revenue": q_year_revenue,
     "team_consistency": q_team_consistency,
@@ -211,6 +230,8 @@ ORDER BY movie_count DESC, led.l_suppkey LIMIT 50
 SQL = {
     "actor_topk": _ACTOR.format(where="c.c_name LIKE '%00012%'", k=5),
     "actor_topk_ignore_case": _ACTOR.format(where="c.c_name ILIKE '%CUSTOMER#%'", k=20),
+    "actor_topk_indexed": _ACTOR.format(where="c.c_name LIKE '%00012%'", k=5),
+    "actor_topk_indexed_ignore_case": _ACTOR.format(where="c.c_name ILIKE '%R#%'", k=20),
     "genre_revenue": """
         SELECT c.c_mktsegment AS genre, round(avg(o.o_totalprice), 2) AS avg_revenue,
                count(*) AS movie_count
