@@ -181,74 +181,94 @@ def _on(left: DataFrame, right: DataFrame, *columns: str, null_safe: bool = Fals
 def _large_members(pairs: DataFrame, led: DataFrame, credits: DataFrame) -> DataFrame:
     """``lead, members``, to be summed: ``pairs`` of small movies united with large movies' names.
 
-    A name's home is the largest of its movies; homes are cut into cells of at most ``_BITS``
-    names, so that the names of a large movie share few cells. Where a movie has ``_DENSE``
-    names of a cell, they are one bitmap. Leads with the same set of large movies share the
-    union of its bitmaps; the other names are (lead, name) pairs, which count unless their bit
-    is set in the union. So a movie adds fewer than ``_DENSE`` pairs per lead and thin cell and
-    no bitmap has fewer names. The windows see a name's movies, or one cell, at a time.
+    A name's home is the largest of its movies; the names of a home are cut into cells of at most
+    ``_BITS``, as few as they need, so that the names of a large movie share few cells. Where a
+    movie has ``_DENSE`` names of a cell, they are one bitmap; its other names are loose. Leads with
+    the same set of large movies share the union of its bitmaps and its loose names whose bit is not
+    set there; both are counted once per set, so no lead meets a bitmap or a name of a large movie.
+    A lead's pairs of small movies count unless the union of its set has the name. The windows see
+    one cell at a time.
     """
-    home = F.max(F.struct("positions", "movie")).over(Window.partitionBy("name"))
-    part = F.pmod(F.xxhash64("name"), F.ceil(F.col("home.positions") / _BITS))
+    homes = credits.groupBy("name").agg(F.max(F.struct("positions", "movie"))["movie"].alias("home"))
+    sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"))
+    part = F.pmod(F.xxhash64("name"), F.ceil(F.col("size") / _BITS))
     in_part = Window.partitionBy("home", "part").orderBy("name")
-    in_cell = Window.partitionBy("home", "cell", "movie")
-    place = F.dense_rank().over(in_part) - 1
-    bits = (
-        credits.select("movie", "name", home.alias("home"))
-        .select("movie", "name", F.col("home.movie").alias("home"), part.alias("part"))
-        .withColumn("place", place)
+    numbers = (
+        homes.alias("a")
+        .join(sizes.alias("b"), _on(homes, sizes, "home"))
+        .select("name", "a.home", part.alias("part"))
+        .withColumn("place", F.row_number().over(in_part) - 1)
         .select(
-            "movie",
             "name",
             "home",
             (F.col("part") * _BITS + F.floor(F.col("place") / _BITS)).alias("cell"),
             (F.col("place") % _BITS).alias("bit"),
         )
+    )
+    in_cell = Window.partitionBy("home", "cell", "movie")
+    bits = (
+        credits.alias("a")
+        .join(numbers.alias("b"), _on(credits, numbers, "name"))
+        .select("movie", "b.*")
         .withColumn("names", F.count(F.lit(1)).over(in_cell))
     )
-    thin = bits.where(F.col("names") < _DENSE).select("movie", "name")
+    thin = bits.where(F.col("names") < _DENSE).select("movie", "name", "home", "cell", "bit")
     dense = (
         bits.where(F.col("names") >= _DENSE)
         .groupBy("movie", "home", "cell")
         .agg(F.bitmap_construct_agg("bit").alias("bitmap"))
     )
-    led = led.select("movie", "lead")
-    pairs = pairs.unionByName(
-        led.alias("a").join(thin.alias("b"), _on(led, thin, "movie")).select("lead", "name")
-    ).distinct()
-
     choices = led.groupBy("lead").agg(F.sort_array(F.collect_set("movie")).alias("movies"))
+    sets = choices.select("movies").distinct().select("movies", F.explode("movies").alias("movie"))
     united = (
-        choices.select("movies")
-        .distinct()
-        .select("movies", F.explode("movies").alias("movie"))
-        .join(dense, "movie")
+        sets.join(dense, "movie")
         .groupBy("movies", "home", "cell")
         .agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
     )
-    of_set = _on(choices, united, "movies")
-    shared = choices.alias("a").join(united.alias("b"), of_set).select("lead", F.bitmap_count("bitmap").alias("members"))
+    octet = F.conv(F.hex(F.substring("bitmap", F.expr("int(bit div 8) + 1"), F.lit(1))), 16, 10).cast("int")
+    is_set = octet.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) != 0
+    loose = (
+        sets.alias("a").join(thin.alias("b"), _on(sets, thin, "movie")).select("movies", "name", "home", "cell", "bit")
+    ).distinct()
+    loose = (
+        loose.alias("a")
+        .join(united.alias("b"), _on(loose, united, "movies", "home", "cell"), "left")
+        .where(F.col("bitmap").isNull() | ~is_set)
+        .select("a.movies", "a.name")
+    )
 
-    numbers = bits.select("name", "home", "cell", "bit").distinct()
+    count = lambda n: F.lit(n).cast("bigint").alias("members")
+    of_set = (
+        united.select("movies", F.bitmap_count("bitmap").alias("members"))
+        .unionByName(loose.select("movies", count(1)))
+        .groupBy("movies")
+        .agg(F.sum("members").alias("members"))
+    )
+    shared = choices.alias("a").join(of_set.alias("b"), _on(choices, of_set, "movies")).select("lead", "members")
+
+    pairs = pairs.distinct()
     numbered = (
         pairs.alias("a")
         .join(choices.alias("b"), _on(pairs, choices, "lead", null_safe=True))
         .select("a.lead", "name", "movies")
     )
+    told = numbered.alias("a").join(loose.alias("b"), _on(numbered, loose, "movies", "name")).select("lead")
     numbered = (
         numbered.alias("a")
         .join(numbers.alias("b"), _on(numbered, numbers, "name"))
         .select("lead", "movies", "home", "cell", "bit")
     )
-    octet = F.conv(F.hex(F.substring("bitmap", F.expr("int(bit div 8) + 1"), F.lit(1))), 16, 10).cast("int")
-    is_set = octet.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) != 0
     again = (
         numbered.alias("a")
         .join(united.alias("b"), _on(numbered, united, "movies", "home", "cell"))
         .where(is_set)
+        .select("lead")
+    )
+    return (
+        pairs.select("lead", count(1))
+        .unionByName(again.union(told).select("lead", count(-1)))
+        .unionByName(shared)
     )
-    count = lambda n: F.lit(n).cast("bigint").alias("members")
-    return pairs.select("lead", count(1)).unionByName(again.select("lead", count(-1))).unionByName(shared)
 
 
 def career_history(

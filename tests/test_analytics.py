@@ -138,6 +138,19 @@ def test_team_consistency_forms_no_pairs_of_large_movies(spark):
     assert counts and max(counts) < 400_000
 
 
+def test_team_consistency_does_not_pair_leads_with_loose_names(spark):
+    """Thirty names are in the smaller of two teams alone, too few for a bitmap of its own: they are
+    counted once for all of the thousand leads with the same teams."""
+    both = [(m, f"p{i}", "Director") for m in (0, 1) for i in range(1000)]
+    crew = [*both, *((0, f"o{i}", "Editor") for i in range(100)), *((1, f"q{i}", "Editor") for i in range(30))]
+    crew += [(2, "p0", "Director"), (2, "q1", "Editor"), (2, "new", "Editor")]
+    got = team_consistency(spark.createDataFrame(crew, CREW), F.col("job") == "Director", k=2000)
+    found = {r[0]: tuple(r[1:]) for r in rows(got)}
+    assert found == {f"p{i}": (2, 1130, 2130) for i in range(1, 1000)} | {"p0": (3, 1131, 2133)}
+    counts = [m.value() for m in _row_metrics(got._jdf.queryExecution().executedPlan())]
+    assert counts and max(counts) < 10_000
+
+
 def _row_metrics(plan):
     """``number of output rows`` of every operator, through stages that ran apart."""
     if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
