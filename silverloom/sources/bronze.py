@@ -14,6 +14,9 @@ from silverloom.session import spread_small, spread_unsplit
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
 #: Every file's header must be the one that the columns were read by; else the job fails.
 CHECKED_HEADER = {"enforceSchema": False}
+#: Records of one CSV file that this library writes: a multi-line file is read whole by one task,
+#: so a large table is written as many files, some tens of MB each.
+FILE_RECORDS = 100_000
 
 
 def read_bronze(spark: SparkSession, path: str | Sequence[str], entity: str) -> DataFrame:

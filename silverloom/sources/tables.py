@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from silverloom.operators.ordering import assign_parts
+from silverloom.sources.bronze import FILE_RECORDS
 
 OVERWRITE = "overwrite"
 APPEND = "append"
@@ -72,7 +73,7 @@ def write_parts(
     rows = assign_parts(df, order_by, k).sortWithinPartitions("part", "position")
     writer = rows.drop("position").write.mode(mode).partitionBy("part").format(fmt)
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(header=True, escape='"', maxRecordsPerFile=FILE_RECORDS)
     writer.save(path)
 
 

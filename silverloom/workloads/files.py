@@ -33,7 +33,7 @@ from silverloom.sources import (
     write_search_docs,
     write_table,
 )
-from silverloom.sources.bronze import CSV_OPTIONS
+from silverloom.sources.bronze import CSV_OPTIONS, FILE_RECORDS
 from silverloom.sources.tables import APPEND, CREATE
 from silverloom.streaming import ingest_absent, ingest_table
 from silverloom.streaming.ingest import BUCKET
@@ -41,7 +41,8 @@ from silverloom.workloads.inputs import bronze_credits, bronze_movies, table
 
 
 def _write_csv(df, path):
-    df.write.options(header=True, escape=CSV_OPTIONS["escape"]).csv(path)
+    options = dict(header=True, escape=CSV_OPTIONS["escape"], maxRecordsPerFile=FILE_RECORDS)
+    df.write.options(**options).csv(path)
 
 
 def q_csv_roundtrip(spark, sf):

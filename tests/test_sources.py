@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from silverloom.schemas import LISTING, TARGETS
 from silverloom.session import scratch_path
-from silverloom.sources import load
+from silverloom.sources import load, tables
 from silverloom.sources import (
     concat_pages,
     failed_tables,
@@ -25,8 +25,10 @@ from silverloom.sources import (
     write_table,
     read_bronze,
 )
+from silverloom.sources.bronze import CSV_OPTIONS
 from silverloom.sources.jdbc import column_types, jdbc_write_options, read_jdbc
 from silverloom.sources.tables import APPEND, CREATE
+from silverloom.workloads import files
 
 
 def test_create_append_overwrite(spark, tmp_path):
@@ -223,3 +225,18 @@ def test_a_written_table_whose_count_is_late_is_loaded(spark, monkeypatch):
     monkeypatch.setattr(load, "_count", lambda seen: None)
     report = load.load_tables(spark, {"a": "b"}, lambda t: spark.range(3), lambda df, t: df.collect())
     assert tuple(report.first()) == ("a", "b", "success", None, None)
+
+
+def test_multi_line_csv_is_written_in_files_of_bounded_records(spark, tmp_path, monkeypatch):
+    """One task reads a multi-line file whole, so its size must not follow the table's."""
+    for module in (files, tables):
+        monkeypatch.setattr(module, "FILE_RECORDS", 10)
+    rows = spark.range(0, 35, 1, 1).select("id", F.lit('two\n"lines"').alias("note"))
+    files._write_csv(rows, str(tmp_path / "csv"))
+    write_parts(rows, str(tmp_path / "parts"), ["id"], 1)
+    for name in ("csv", "parts"):
+        found = spark.read.options(**CSV_OPTIONS).csv(str(tmp_path / name))
+        records = found.groupBy(F.input_file_name()).agg(F.count(F.lit(1)), F.max("note")).collect()
+        assert len(records) >= 4 and max(r[1] for r in records) <= 10
+        assert {r[2] for r in records} == {'two\n"lines"'}
+        assert sorted(int(r.id) for r in found.collect()) == list(range(35))
