@@ -114,7 +114,8 @@ def team_consistency(
     of L lead rows and R rows would give L * R pairs. Positions are a sum over (lead, movie).
     Distinct names are the union of sets, one per movie: below ``_LARGE`` rows a movie is one
     row with its names, from which its pairs are made; above that its names are numbered and
-    become bitmaps, see :func:`_large_members`.
+    become bitmaps, see :func:`_large_members`. ``crew`` is read several times: store it first if
+    it is costly to make.
     """
     rows = crew.where(F.col(movie_id).isNotNull()).select(
         F.col(movie_id).alias("movie"), F.col(name).alias("name"), is_lead.alias("is_lead")

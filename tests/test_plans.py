@@ -198,3 +198,8 @@ def test_row_checks_do_not_shuffle(spark):
 def test_only_wanted_fields_are_parsed(spark):
     df = spark.createDataFrame([("[]",)], "c string").select(parse_objects("c", ["id"]).alias("o"))
     assert "StructField(id,StringType,true)),true)" in plan(df)
+
+
+def test_silver_teams_parse_the_cells_once(spark):
+    """The question reads the crew several times; its plan reads stored rows."""
+    assert "from_json" not in plan(all_queries()["silver_team_consistency"](spark, SF))
