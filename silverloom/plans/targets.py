@@ -25,10 +25,10 @@ def check_targets(
     that are NULL or repeated, ``foreign key`` the rows without a parent, ``length`` the
     values that are too long. The last three look at the rows as they would be loaded.
 
-    Each table is converted and scanned once. A row gives its own counts and its keys; all keys
-    of all tables go through one aggregate by (rule, key), which is partial before its shuffle,
-    so a key that owns much of a table arrives as one row per task. Children and parents meet
-    there too, without a join.
+    Each table is converted and scanned once. A row gives its key with its own counts, and the
+    key that it refers to; all keys of all tables go through one aggregate by (rule, key), which is
+    partial before its shuffle, so a key that owns much of a table arrives as one row per task.
+    Children and parents meet there too, without a join.
     """
     with_parent = PARENT in tables
     measured = union_all([_measures(df, name, targets[name], with_parent) for name, df in tables.items()])
@@ -72,7 +72,7 @@ def check_targets(
 
 
 def _measures(df: DataFrame, name: str, target: TargetTable, with_parent: bool) -> DataFrame:
-    """For each row of a table one entry per rule: counts of its own, or a key."""
+    """For each row of a table its counts with its primary key, and the key that it refers to."""
     values = conversions(df, target.schema)
     lost = [old.isNotNull() & new.isNull() for old, new in values.values()]
     long = [F.char_length(values[c][1]) > n for c, n in target.lengths.items()]
@@ -81,9 +81,9 @@ def _measures(df: DataFrame, name: str, target: TargetTable, with_parent: bool)
         flags = [F.when(test, 1).otherwise(0).cast("bigint") for test in tests]
         return reduce(Column.__add__, flags) if flags else F.lit(0).cast("bigint")
 
-    def entry(rule: str, owner: str, key: Column | None, **given: Column) -> Column:
+    def entry(rule: str, owner: str, key: Column, **given: Column) -> Column:
         fields = {
-            "key": F.lit(None).cast("string") if key is None else key,
+            "key": key,
             "lost": F.lit(0).cast("bigint"),
             "long": F.lit(0).cast("bigint"),
             "rows": F.lit(1).cast("bigint"),
@@ -103,10 +103,8 @@ def _measures(df: DataFrame, name: str, target: TargetTable, with_parent: bool)
 
     keys = [values[k][1] for k in target.primary_key]
     has_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
-    entries = [
-        entry("row", name, None, lost=number(lost), long=number(long)),
-        entry(PRIMARY, name, key_text(target.primary_key), partial=has_null),
-    ]
+    counts = {"lost": number(lost), "long": number(long)}
+    entries = [entry(PRIMARY, name, key_text(target.primary_key), partial=has_null, **counts)]
     if with_parent and name == PARENT:
         entries.append(entry(FOREIGN, "", key_text(target.primary_key[:1]), is_parent=~keys[0].isNull()))
     elif with_parent and target.foreign_key is not None:

@@ -13,7 +13,8 @@ from silverloom.operators import (
     run_suite,
 )
 from silverloom.plans import check_targets
-from silverloom.schemas import DATE, INT, MOVIES, STRICT_TARGETS, STRING, struct
+from silverloom.plans.targets import _measures
+from silverloom.schemas import DATE, INT, MOVIES, STRICT_TARGETS, STRING, TARGETS, struct
 
 KV = "k int, v string"
 
@@ -143,3 +144,12 @@ def test_run_suite(spark):
     assert (found["bad"].status, found["bad"].result) == ("error", None)
     assert (found["long"].rows_shown, found["long"].truncated) == (20, True)
     assert (found["dates"].rows_shown, found["dates"].truncated) == (1, False)
+
+
+def test_check_targets_sends_two_rows_for_one(spark):
+    """A row's own counts travel with its key: beside that there is its reference or, of a parent,
+    the key that others refer to."""
+    target = TARGETS["movies"]
+    movies = spark.range(10).select(*[F.lit("1").alias(n) for n in target.schema.names])
+    assert _measures(movies, "movies", target, True).count() == 20
+    assert _measures(movies, "movies", target, False).count() == 10
