@@ -10,19 +10,21 @@ two linked documents share one. In the first that they share, the smaller of the
 ``n - ceil(2 t n / (1 + t)) + 1``; a region needs such an "early" member in each pair.
 
 Within a region early documents are the pivots, under the Jaccard distance, with radius
-``r = 1 - t``. All members are compared with the pivot. Those within ``r`` are its cell; they are linked and one
-component. Members beyond ``2 r`` cannot be linked to the cell. So the cell goes on with the
-boundary (between ``r`` and ``2 r``) as one region, boundary and rest as another, and both are
-joined in the same way; a region that is mostly boundary stays whole without its pivots. Regions
-that have become one component are done; those of a few members
-are compared pair by pair. Distances are taken from the counts of shingles in slices of the hash
-space first: they never exceed those of the sets, so they rule out most pairs and make boundaries
-no smaller. Only pairs that they leave open are compared shingle by shingle.
+``r = 1 - t``. The first level compares every region with one pivot, which is done with
+after that; those within ``r`` of it are its cell, linked and one component. Regions that have
+become one component are done. A region that is still large is split by its pivot: members beyond
+``2 r`` cannot be linked to the cell, so the cell goes on with the boundary (between ``r`` and
+``2 r``) as one region, boundary and rest as another. Small regions, and those that a pivot tells
+little about, are leaves: only members of different components are compared there, block by block,
+and only the pairs that may be linked become rows. Distances are taken from the counts of shingles in slices of the
+hash space first: they never exceed those of the sets, so they rule out most pairs and make
+boundaries no smaller. Only pairs that they leave open are compared shingle by shingle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -39,19 +41,17 @@ SHINGLE = 5
 SHARE, PARTS = 80, 100
 #: Slots of the table of shingle frequencies that orders shingles, and how many are sent at a time.
 SLOTS, BLOCK = 1 << 20, 1 << 12
-#: Largest region that is compared pair by pair.
-LEAF = 64
-#: Levels at first that only compare each region with one pivot, and pivots of a region that is
-#: larger than a leaf at the levels after those; the last number holds from there on.
-STAR_LEVELS = 2
-PIVOTS = (16, 64, 256)
-#: A region is split by its first pivot if at most one member of so many is in the boundary.
+#: Largest region that is a leaf.
+LEAF = 512
+#: Levels at first that compare each region, leaves too, with one pivot.
+STAR_LEVELS = 1
+#: A region is split by its pivot if at most one member of so many is in the boundary.
 SPLIT = 5
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
 _BYTES = 2 << 20
 _SEEN = 100_000
 
-#: Sets, and shingles in them, that a block of a region has on average where links are listed.
+#: Sets, and shingles in them, that a block of a region has on average.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 19
 
 _U = np.uint64
@@ -353,7 +353,7 @@ def _prepare(
             }
         )
         .where("lo < hi AND any")
-        .select("region", "node", "n", "at", "early", F.lit(0).alias("settled"))
+        .select("region", "node", "n", "at", "early")
         .distinct(),
         "join-regions",
     )
@@ -396,14 +396,25 @@ def ngram_join(
     nodes = stored(split_join(nodes, placed, ["node"], "left_semi"), "join-slices")
     labels = nodes.select("node", F.col("node").alias("component"))
     labels = stored(labels, "join-labels")
-    more, level = True, 0
-    while more:
-        pivots = PIVOTS[min(max(level - STAR_LEVELS, 0), len(PIVOTS) - 1)]
-        whole_regions = level < STAR_LEVELS
-        regions, labels, more = _level(
-            regions, labels, nodes, whole, share, parts, pivots, whole_regions
-        )
+    leaves, level = [], 0
+    while True:
+        here = stored(_open(regions, labels), "join-level")
+        if level >= STAR_LEVELS:
+            leaves.append(here.where(F.col("members") <= LEAF).select(*_OWN))
+            here = here.where(F.col("members") > LEAF)
+        if here.isEmpty():
+            break
+        if level < STAR_LEVELS:
+            labels, _, _ = _star(here, labels, nodes, whole, share, parts)
+            regions = here.where("node <> first").select(*_OWN)
+        else:
+            regions, labels, leaf = _split(here, labels, nodes, whole, share, parts)
+            leaves.append(leaf)
         level += 1
+    for best in (True, False) if leaves else ():
+        left = reduce(DataFrame.union, leaves)
+        pairs = _leaf_pairs(left, labels, nodes, share, parts, best)
+        labels = _relabel(labels, _linked_pairs(pairs, whole, share, parts))
 
     placed = split_join(with_id.select("doc_id", "n", "node"), labels, ["node"], "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
@@ -428,25 +439,12 @@ def _first_of_equal(regions: DataFrame) -> DataFrame:
     return split_join(regions, first.select("first.region"), ["region"], "left_semi")
 
 
-def _level(
-    regions: DataFrame,
-    labels: DataFrame,
-    nodes: DataFrame,
-    whole: Callable[[DataFrame], DataFrame],
-    share: int,
-    parts: int,
-    pivots: int,
-    whole_regions: bool,
-) -> tuple[DataFrame, DataFrame, bool]:
-    """One level of the recursion: the regions to go on with, the components, and whether any
-    region is left. Early members are pivots first, those of a cell last, and of each component
-    one before any is a second time, small components first; all of them are done with after the
-    level. The first pivot splits the region, unless its boundary is so large that the parts
-    would have far more members than the region: near copies of one text are all within ``2 r``.
-
-    With ``whole_regions`` every region, small ones too, keeps all members but its one pivot.
-    Regions inside a group of near copies become one component by these stars, so they end
-    before anything is compared pair by pair."""
+_OWN = ["region", "node", "n", "at", "early"]
+
+
+def _open(regions: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their components, of the regions that are not one component yet and have an
+    early member; ``first`` is the region's pivot. No region has to fit a task."""
     here = split_join(regions, labels, ["node"], "inner")
     open_ = (
         here.groupBy("region")
@@ -454,53 +452,39 @@ def _level(
             F.count(F.lit(1)).alias("members"),
             F.min("component").alias("lo"),
             F.max("component").alias("hi"),
-            F.max("early").alias("any"),
+            F.min(F.when(F.col("early"), F.col("node"))).alias("first"),
         )
-        .where("lo < hi AND any")
-        .select("region", "members")
+        .where("lo < hi AND first IS NOT NULL")
+        .select("region", "members", "first")
     )
-    here = split_join(here, open_, ["region"], "inner")
-    if whole_regions:
-        # A mergeable minimum: no region has to fit a task.
-        best = here.where("early").groupBy("region").agg(F.min("node").alias("first"))
-        here = split_join(here, best, ["region"], "inner").withColumn(
-            "turn", F.when(F.col("node") == F.col("first"), 1).otherwise(2)
-        ).drop("first")
-    else:
-        once = Window.partitionBy("region", "component").orderBy(F.desc("early"), "settled", "node")
-        alike = F.count(F.lit(1)).over(Window.partitionBy("region", "component"))
-        turn = Window.partitionBy("region").orderBy(F.desc("early"), "again", "alike", "node")
-        here = here.withColumns({"again": F.row_number().over(once), "alike": alike})
-        here = here.withColumn("turn", F.row_number().over(turn)).drop("again", "alike")
-    here = stored(here, "join-level")
-    own = ["node", "n", "at", "early", "settled"]
-    is_large = F.lit(whole_regions) | (F.col("members") > LEAF)
-    large = here.where(is_large)
-
-    def end(rows: DataFrame, name: str, *more: str) -> DataFrame:
-        columns = [F.col(x).alias(f"{x}{name}") for x in ("node", "component", "n", "at", *more)]
-        return rows.select("region", *columns)
+    return split_join(here, open_, ["region"], "inner")
 
+
+def _star(
+    here: DataFrame,
+    labels: DataFrame,
+    nodes: DataFrame,
+    whole: Callable[[DataFrame], DataFrame],
+    share: int,
+    parts: int,
+    every: bool = False,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compare each region with its pivot: as many pairs as members at most. The components after
+    that, the pairs with their bounds, and the linked ones. Pairs that cannot be linked or are of
+    one component are left out, unless ``every`` distance is wanted."""
+    pivots = here.where("node = first").select(
+        "region", *(F.col(x).alias(f"{x}a") for x in ("component", "n", "at"))
+    )
+    ends = [F.col(x).alias(f"{x}b") for x in ("node", "component", "n", "at")]
+    others = here.where("node <> first").select("region", "first", *ends)
     # What two sets can still have in common from the places of this shingle on.
     most = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    small = here.where(~is_large)
-    pairs = (
-        end(small, "a")
-        .join(end(small, "b"), "region")
-        .where("nodea < nodeb AND componenta <> componentb")
-        .where(_linked(most, F.col("na"), F.col("nb"), share, parts))
-    )
-    leads = large.where((F.col("turn") <= pivots) & F.col("early"))
-    # The first pivot's distances are all wanted, the others' where they can link.
-    able = (F.col("componenta") != F.col("componentb")) & _linked(most, F.col("na"), F.col("nb"), share, parts)
-    stars = (
-        end(leads, "a", "turn")
-        .join(end(large, "b"), "region")
-        .where((F.col("nodea") != F.col("nodeb")) & (able | (F.lit(not whole_regions) & (F.col("turna") == 1))))
+    able = (F.col("componenta") != F.col("componentb")) & _linked(
+        most, F.col("na"), F.col("nb"), share, parts
     )
-    first = large.where("turn = 1").select("region", F.col("node").alias("first"))
-    a, b = F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")
-    pairs = pairs.select(a, b).union(stars.select(a, b)).distinct()
+    pairs = split_join(others, pivots, ["region"], "inner").where(able | F.lit(every))
+    a, b = F.least("first", "nodeb").alias("a"), F.greatest("first", "nodeb").alias("b")
+    pairs = pairs.select(a, b).distinct()
     for x in "ab":
         side = nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("slices").alias(f"s{x}"))
         pairs = split_join(pairs, side, [x], "inner")
@@ -508,59 +492,221 @@ def _level(
         _bound, "a long, b long, na long, nb long, bound long"
     )
     counted = stored(counted, "join-bounds")
+    near = counted.where(_linked(F.col("bound"), F.col("na"), F.col("nb"), share, parts))
+    linked = _linked_pairs(near.drop("bound"), whole, share, parts)
+    return _relabel(labels, linked), counted, linked
 
-    def linked_by(common: str, least: int) -> Column:
-        return _linked(F.col(common), F.col("na"), F.col("nb"), least, parts)
 
-    linked = counted.where(linked_by("bound", share)).drop("bound")
-    if not linked.isEmpty():
-        sets = whole(linked.select("a").union(linked.select("b")).distinct().toDF("node"))
+def _linked_pairs(
+    pairs: DataFrame, whole: Callable[[DataFrame], DataFrame], share: int, parts: int
+) -> DataFrame:
+    """Of stored pairs (a, b, na, nb) those that are linked, compared shingle by shingle."""
+    linked = pairs
+    if not pairs.isEmpty():
+        sets = whole(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"))
         for x in "ab":
             side = sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
             linked = split_join(linked, side, [x], "inner")
         linked = linked.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        linked = linked.where(linked_by("common", share)).select("a", "b").distinct()
-    else:
-        linked = linked.select("a", "b")
-    linked = stored(linked, "join-pairs")
-    labels = _relabel(labels, linked)
-
-    if whole_regions:
-        regions = here.where("turn > 1").select("region", *own)
-        return regions, labels, not regions.isEmpty()
-
-    # Distance from the first pivot: within r (0), by the bound within 2 r (1), or beyond (2).
-    wide = F.when(linked_by("bound", max(2 * share - parts, 0)), 1).otherwise(2)
+        linked = linked.where(_linked(F.col("common"), F.col("na"), F.col("nb"), share, parts))
+    return stored(linked.select("a", "b").distinct(), "join-pairs")
+
+
+def _split(
+    here: DataFrame,
+    labels: DataFrame,
+    nodes: DataFrame,
+    whole: Callable[[DataFrame], DataFrame],
+    share: int,
+    parts: int,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Regions split by their pivot, the components, and the regions that are left as leaves: those
+    whose boundary is large, as near copies of one text are all within ``2 r``, and those where
+    one part would have more than three quarters of the members."""
+    labels, counted, linked = _star(here, labels, nodes, whole, share, parts, every=True)
+    # Distance from the pivot: within r (0), by the bound within 2 r (1), or beyond (2).
+    within = _linked(F.col("bound"), F.col("na"), F.col("nb"), max(2 * share - parts, 0), parts)
     measured = split_join(
-        counted.select("a", "b", wide.alias("wide")),
+        counted.select("a", "b", F.when(within, 1).otherwise(2).alias("wide")),
         linked.withColumn("close", F.lit(0)),
         ["a", "b"],
         "left",
     ).select("a", "b", F.coalesce("close", "wide").alias("ring"))
-    left = large.where(~((F.col("turn") <= pivots) & F.col("early"))).select("region", *own)
-    left = split_join(left, first, ["region"], "inner").withColumns(
+    left = here.where("node <> first").select(*_OWN, "first").withColumns(
         {"a": F.least("node", "first"), "b": F.greatest("node", "first")}
     )
-    ringed = split_join(left, measured, ["a", "b"], "left").withColumn(
-        "ring", F.coalesce("ring", F.lit(2))
+    ringed = stored(split_join(left, measured, ["a", "b"], "inner"), "join-rings")
+    total, edge = F.count(F.lit(1)), F.count(F.when(F.col("ring") == 1, 1))
+    larger = F.greatest(F.count(F.when(F.col("ring") <= 1, 1)), F.count(F.when(F.col("ring") >= 1, 1)))
+    pays = (SPLIT * edge <= total) & (4 * larger <= 3 * total)
+    ringed = split_join(
+        ringed, ringed.groupBy("region").agg(pays.alias("pays"), edge.alias("edge")), ["region"], "inner"
     )
-    ringed = ringed.withColumn("settled", F.when(F.col("ring") == 0, 1).otherwise(F.col("settled")))
-    ringed = stored(ringed, "join-rings")
-    pays = ringed.groupBy("region").agg(
-        (SPLIT * F.count(F.when(F.col("ring") == 1, 1)) <= F.count(F.lit(1))).alias("pays")
-    )
-    ringed = split_join(ringed, pays, ["region"], "inner")
-    kept = ringed.where("NOT pays").select("region", *own)
-    ringed = ringed.where("pays")
-    cell = ringed.where("ring <= 1").select("region", "first", F.lit(0).alias("cell"), *own)
-    rest = ringed.where("ring >= 1").select("region", "first", F.lit(1).alias("cell"), *own)
+    leaf = ringed.where("NOT pays").select(*_OWN)
     # A cell without a boundary has nothing to be compared with.
-    edge = ringed.where("ring = 1").select("region", "first").distinct()
-    cell = split_join(cell, edge, ["region", "first"], "left_semi")
+    cell = ringed.where("pays AND ring <= 1 AND edge > 0").withColumn("cell", F.lit(0))
+    rest = ringed.where("pays AND ring >= 1").withColumn("cell", F.lit(1))
     name = F.xxhash64("region", "first", "cell").alias("region")
-    regions = cell.union(rest).select(name, *own).union(kept)
-    regions = stored(regions, "join-regions")
-    return regions, labels, not regions.isEmpty()
+    regions = cell.union(rest).select(name, *_OWN[1:])
+    return stored(regions, "join-regions"), labels, leaf
+
+
+def _leaf_pairs(
+    leaves: DataFrame, labels: DataFrame, nodes: DataFrame, share: int, parts: int, best: bool
+) -> DataFrame:
+    """Pairs (a, b, na, nb) of different components that may be linked; with ``best`` only the
+    nearest one of each guest in its group, by the bound. Components joined by these need no more
+    pairs, so two large ones cost few; what is left is compared without that choice.
+
+    One of each such pair is lone, outside the region's largest component. Members are cut into
+    blocks and the lone ones, as guests, into blocks of their own; each block meets each block of
+    guests in a group of its own. So a region of any size is spread over tasks, and its rows are
+    little more than its members unless most of a large region is lone.
+    """
+    here = stored(_open(leaves, labels).select(*_OWN, "component"), "join-leaves")
+    alike = here.groupBy("region", "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
+    home = alike.groupBy("region").agg(
+        F.max(F.struct("members", "n", "component")).alias("home"),
+        F.sum("members").alias("members"),
+        F.sum("n").alias("all"),
+    )
+
+    def blocks(members: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(members / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES))
+
+    lone = blocks(F.col("members") - F.col("home.members"), F.col("all") - F.col("home.n"))
+    home = home.select(
+        "region",
+        F.col("home.component").alias("home"),
+        blocks(F.col("members"), F.col("all")).alias("blocks"),
+        lone.alias("guests"),
+    )
+    rows = split_join(here, home, ["region"], "inner").withColumns(
+        {
+            "lone": F.expr("component <> home"),
+            "block": F.expr("pmod(xxhash64(region, node), blocks)"),
+            "guest": F.expr("pmod(xxhash64(node, region), guests)"),
+        }
+    )
+    cells = F.expr(
+        "array_distinct(concat("
+        "transform(sequence(0L, guests - 1), x -> struct(block AS own, x AS visit)),"
+        "if(lone, transform(sequence(0L, blocks - 1), x -> struct(x AS own, guest AS visit)), array())))"
+    )
+    rows = rows.withColumn("cell", F.explode(cells)).select(
+        *_OWN,
+        "component",
+        "lone",
+        F.col("cell.own").alias("own"),
+        F.col("cell.visit").alias("visit"),
+        F.expr("cell.own = block").alias("owner"),
+        F.expr("lone AND cell.visit = guest").alias("guest"),
+    )
+    rows = split_join(rows, nodes.select("node", "slices"), ["node"], "inner")
+    key = ["region", "own", "visit"]
+    ship_code(rows.sparkSession)
+    found = (
+        rows.repartition(*key)
+        .sortWithinPartitions(*key)
+        .mapInArrow(_leaf_bounds(share, parts, best), "a long, b long, na long, nb long")
+    )
+    return stored(found.distinct(), "join-bounds")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Sorted rows as batches of whole groups, with the places where groups start, and the end."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        ends = [[x.column(k)[x.num_rows - 1].as_py() for k in key] for x in (held[0], batch)]
+        if len(held) > 1 and ends[0] == ends[1]:
+            continue
+        rows = pa.concat_batches(held)
+        starts = _starts(rows, key)
+        if len(starts) > 1:
+            yield rows.slice(0, starts[-1]), starts
+        held = [rows.slice(starts[-1])]
+    if held:
+        rows = pa.concat_batches(held)
+        yield rows, np.append(_starts(rows, key), rows.num_rows)
+
+
+def _starts(rows: pa.RecordBatch, key: list[str]) -> np.ndarray:
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for k in key:
+        values = rows.column(k).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+class _Slices:
+    """The counts in slices of some sets, as matrices of sets with equally many slices."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, places: np.ndarray):
+        sizes = offsets[places + 1] - offsets[places]
+        self.by_size = {}
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            self.by_size[size] = own, {size: data[offsets[places[own], None] + np.arange(size)]}
+
+    def bounds(self, one: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """The most that each set can have in common with the one, at most ``most``."""
+        out = most.copy()
+        for size, (own, folded) in self.by_size.items():
+            few = min(size, len(one))
+            if not few:
+                continue  # a set without counts
+            if few not in folded:
+                folded[few] = folded[size].reshape(len(own), -1, few).sum(axis=1, dtype=np.uint16)
+            x = one if len(one) == few else one.reshape(-1, few).sum(axis=0, dtype=np.uint16)
+            out[own] = np.minimum(out[own], np.minimum(folded[few], x).sum(axis=1, dtype=np.int64))
+        return out
+
+
+def _leaf_bounds(share: int, parts: int, best: bool):
+    """Pairs of a guest and an owner of its group that can be linked by their places in the region,
+    sizes and counts in slices. Two lone members meet as guest and owner of less and greater name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "na", "nb"]
+        for rows, starts in _groups(batches, ["region", "own", "visit"]):
+            node, n, at, component = (rows.column(x).to_numpy() for x in ("node", "n", "at", "component"))
+            early, lone, owner, guest = (
+                rows.column(x).to_numpy(zero_copy_only=False).astype(bool)
+                for x in ("early", "lone", "owner", "guest")
+            )
+            slices = rows.column("slices").fill_null(b"").cast(pa.large_binary())
+            offsets = np.frombuffer(slices.buffers()[1], np.int64)[slices.offset :][: len(slices) + 1]
+            data = np.frombuffer(slices.buffers()[2] or b"", np.uint8)
+            found = []
+            for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                own = start + np.flatnonzero(owner[start:end])
+                counts = None
+                for i in (start + np.flatnonzero(guest[start:end])).tolist():
+                    most = np.minimum(n[own] - at[own], n[i] - at[i])
+                    good = (component[own] != component[i]) & (early[own] | early[i])
+                    good &= ~lone[own] | (node[own] > node[i])
+                    good &= parts * most >= share * (n[own] + n[i] - most)
+                    if not good.any():
+                        continue
+                    counts = counts or _Slices(data, offsets, own)
+                    most = counts.bounds(data[offsets[i] : offsets[i + 1]], most)
+                    good &= parts * most >= share * (n[own] + n[i] - most)
+                    j = own[good]
+                    if best and len(j):
+                        j = j[[np.argmax(most[good] / (n[j] + n[i] - most[good]))]]
+                    i = np.full(len(j), i)
+                    less = node[i] < node[j]
+                    a, b = np.where(less, i, j), np.where(less, j, i)
+                    found.append(np.stack([node[a], node[b], n[a], n[b]]))
+            if found:
+                columns = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return run
 
 
 def _relabel(labels: DataFrame, near: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -60,6 +61,47 @@ def test_join_finds_every_class(spark, monkeypatch):
         assert sorted(map(tuple, got.collect())) == want
 
 
+def test_join_by_blocks_of_leaves_alone(spark, monkeypatch):
+    """No star before, so every link is found between blocks of members and of guests."""
+    rows = corpus()
+    monkeypatch.setattr(jaccard, "STAR_LEVELS", 0)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 20)
+    got = jaccard.ngram_join(spark.createDataFrame(rows, DOC).repartition(6))
+    assert sorted(map(tuple, got.collect())) == brute_join(rows)
+
+
+def test_join_bounds_pairs_in_proportion_to_near_copies(spark, monkeypatch):
+    rng, base, write, counts = random.Random(5), words(1, 120, 9000), jaccard.stored, []
+
+    def stored(df, label, path=None):
+        out = write(df, label, path)
+        counts[-1] += out.count() if label == "join-bounds" else 0
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    rows = []
+    for i in range(800):
+        text = list(base)
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    for n in (400, 800):
+        counts.append(0)
+        jaccard.ngram_join(spark.createDataFrame(rows[:n], DOC).repartition(4))
+    assert counts[1] <= 2.5 * counts[0] and counts[1] <= 16 * 800
+
+
+def test_groups_that_span_batches():
+    keys = np.repeat([3, 5, 6, 9], [1, 7, 2, 1])
+    table = pa.table({"k": keys, "v": np.arange(len(keys))})
+    for size in (1, 2, 3, 20):
+        found = []
+        for rows, starts in jaccard._groups(iter(table.to_batches(size)), ["k"]):
+            parts = zip(starts[:-1].tolist(), starts[1:].tolist())
+            found += [rows.slice(a, b - a).column("v").to_pylist() for a, b in parts]
+        assert found == [[0], [1, 2, 3, 4, 5, 6, 7], [8, 9], [10]]
+
+
 def test_join_at_other_thresholds_and_without_rows(spark):
     rows = corpus()[:120]
     got = jaccard.ngram_join(spark.createDataFrame(rows, DOC), share=100, parts=100)
