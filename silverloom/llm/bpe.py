@@ -19,7 +19,7 @@ from silverloom.llm.common import ship_code, table
 
 #: States of a transducer, and units of text with their ids, that a Python worker keeps.
 _STATES = 200_000
-_UNITS = 400_000
+_UNITS = 150_000
 _LONGEST_UNIT = 64
 #: Bytes of output gathered into one Arrow batch.
 _BATCH = 4 << 20
@@ -237,23 +237,29 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
+    def _ids(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.machine.ranks.get(data)
         ids = self.machine.encode(data) if whole is None else (whole,)
-        found = array("I", ids).tobytes()
+        return array("I", ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        found = self._ids(piece)
         if len(piece) <= _LONGEST_UNIT:
-            if len(self.pieces) > _UNITS:
+            if len(self.pieces) >= _UNITS:
                 self.pieces.clear()
             self.pieces[piece] = found
         return found
 
     def _unit(self, unit: str) -> bytes:
-        """A word meets many signs beside it, so its own ids are kept too."""
-        pieces = self.pieces
-        found = b"".join([pieces.get(piece) or self._piece(piece) for piece in self.find(unit)])
+        """A word meets many signs beside it, so its own ids are kept too, unless it stands alone."""
+        pieces, parts = self.pieces, self.find(unit)
+        if len(parts) == 1:
+            found = pieces.get(parts[0]) or self._ids(parts[0])
+        else:
+            found = b"".join([pieces.get(piece) or self._piece(piece) for piece in parts])
         if len(unit) <= _LONGEST_UNIT:
-            if len(self.known) > _UNITS:
+            if len(self.known) >= _UNITS:
                 self.known.clear()
             self.known[unit] = found
         return found

@@ -365,6 +365,21 @@ def test_mixing_edges(spark):
 # Byte-level BPE
 
 
+def test_units_kept_are_few_and_not_kept_twice(monkeypatch):
+    assert bpe._UNITS <= 150_000
+    text = "one two, three four! five two three (one) \u00e9t\u00e9 it's  x " * 3
+    library = tiktoken.Encoding(
+        "t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={}
+    )
+    want = library.encode_ordinary(text)
+    for most in (bpe._UNITS, 2):
+        monkeypatch.setattr(bpe, "_UNITS", most)
+        encoder = bpe.Encoder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+        assert max(len(encoder.known), len(encoder.pieces)) <= most
+        assert most == 2 or {" two", " four"} & encoder.known.keys() - encoder.pieces.keys()
+
+
 def test_encoding_agrees_with_the_library():
     ranks = bpe.read_ranks(RANKS)
     library = tiktoken.Encoding(
