@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from silverloom.llm.common import ship_code, table
 
-#: States of a transducer, and units of text with their ids, that a Python worker keeps.
-_STATES = 200_000
+#: States of a transducer, and matches of the pattern with their ids, that a Python worker keeps.
+_STATES = 30_000
 _UNITS = 150_000
 _LONGEST_UNIT = 64
+#: Bytes at the beginning of a match that are read once for all matches that begin with them.
+_HEAD = 5
 #: Bytes of output gathered into one Arrow batch.
 _BATCH = 4 << 20
 
@@ -28,11 +30,12 @@ _BATCH = 4 << 20
 class _State:
     """All tokens that may be being read: the longest end of the input, ``window``, that begins
     a token stands for the set, its shorter ends that do so for the other members. ``ends`` are
-    the tokens that may end here (length, id), the longest first."""
+    the tokens that may end here, the longest first: length, id, and of the tokens met before it
+    whether it may follow them."""
 
     __slots__ = ("window", "ends", "next")
 
-    def __init__(self, window: bytes, ends: tuple[tuple[int, int], ...]):
+    def __init__(self, window: bytes, ends: tuple[tuple[int, int, dict[int, bool]], ...]):
         self.window, self.ends = window, ends
         self.next: dict[int, _State] = {}
 
@@ -60,7 +63,9 @@ class Transducer:
     def _clear(self) -> None:
         self.start = _State(b"", ())
         self.states = {b"": self.start}
-        self.pairs: dict[int, bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.n_pairs = 0
+        self.heads: dict[bytes, tuple[_State, list[int]]] = {}
 
     def merge(self, data: bytes, whole: bool = True) -> list[int]:
         """The definition: join the neighbours of least rank, leftmost first, until none join.
@@ -103,6 +108,11 @@ class Transducer:
             else:
                 grown_b, b = b, right[0]
 
+    def _learn(self, follows: dict[int, bool], left: int, token: int) -> bool:
+        self.n_pairs += 1
+        follows[left] = self.may_follow(left, token)
+        return follows[left]
+
     def _next(self, state: _State, byte: int) -> _State:
         window = state.window + bytes((byte,))
         while window not in self.begins:
@@ -111,35 +121,33 @@ class Transducer:
                 raise ValueError("the ranks lack a byte")
         found = self.states.get(window)
         if found is None:
-            ends = [
-                (len(window) - i, self.ranks[window[i:]])
-                for i in range(len(window))
-                if window[i:] in self.ranks
-            ]
+            ends = []
+            for i in range(len(window)):
+                token = self.ranks.get(window[i:])
+                if token is not None:  # at the beginning (-1) every token may stand
+                    ends.append((len(window) - i, token, self.pairs.setdefault(token, {-1: True})))
             found = self.states[window] = _State(window, tuple(ends))
         state.next[byte] = found
         return found
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self.states) > self.max_states or len(self.pairs) > 10 * self.max_states:
+        most = self.max_states
+        if max(len(self.states), len(self.heads)) > most or self.n_pairs > 10 * most:
             self._clear()
         if len(data) <= self._EMIT:
             return self._encode_short(data)
-        state, pairs, out = self.start, self.pairs, []
+        state, out = self.start, []
         last, size_of = [-1], [0]  # last token, and its length, of each prefix; then of what is held
         for byte in data:
             state = state.next.get(byte) or self._next(state, byte)
-            for size, token in state.ends:
+            for size, token, follows in state.ends:
                 left = last[-size] if size <= len(last) else None
                 if left is None:
                     continue
-                if left < 0:
-                    break
-                key = left << 20 | token
-                follows = pairs.get(key)
-                if follows is None:
-                    follows = pairs[key] = self.may_follow(left, token)
-                if follows:
+                may = follows.get(left)
+                if may is None:
+                    may = self._learn(follows, left, token)
+                if may:
                     break
             else:
                 raise ValueError("the ranks are no order of merges")
@@ -151,25 +159,41 @@ class Transducer:
                 last, size_of = last[shared:], size_of[shared:]
         return out + self._path(last, size_of, len(last) - 1)
 
-    def _encode_short(self, data: bytes) -> list[int]:
-        """The same where nothing has to be emitted before the end."""
-        state, pairs, last, size_of = self.start, self.pairs, [-1], [0]
+    def _read(self, state: _State, last: list[int], data: bytes) -> _State:
+        """Add the last token of each further prefix to ``last``."""
         for byte in data:
-            state = state.next.get(byte) or self._next(state, byte)
-            for size, token in state.ends:
+            try:
+                state = state.next[byte]
+            except KeyError:
+                state = self._next(state, byte)
+            for size, token, follows in state.ends:
                 left = last[-size]
-                if left < 0:
-                    break
-                follows = pairs.get(left << 20 | token)
-                if follows is None:
-                    follows = pairs[left << 20 | token] = self.may_follow(left, token)
-                if follows:
+                may = follows.get(left)
+                if may is None:
+                    may = self._learn(follows, left, token)
+                if may:
                     break
             else:
                 raise ValueError("the ranks are no order of merges")
             last.append(token)
-            size_of.append(size)
-        return self._path(last, size_of, len(data))
+        return state
+
+    def _encode_short(self, data: bytes) -> list[int]:
+        """The same where nothing has to be emitted before the end."""
+        head = self.heads.get(data[:_HEAD])
+        if head is None:
+            last = [-1]
+            state = self._read(self.start, last, data[:_HEAD])
+            self.heads[data[:_HEAD]] = head = state, last
+        state, last = head
+        last = last[:]
+        self._read(state, last, data[_HEAD:])
+        tokens, end, bytes_of = [], len(data), self.bytes_of
+        while end > 0:
+            token = last[end]
+            tokens.append(token)
+            end -= len(bytes_of[token])
+        return tokens[::-1]
 
     @staticmethod
     def _shared(size_of: list[int], window: int) -> int:
@@ -212,24 +236,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def units(text: str) -> Iterator[str]:
-    """Cut a text before single blanks where no match of the pattern can reach across.
+class Encoder:
+    """Whole texts to ids: each match of the pattern apart, a token of its own if it is one.
 
-    A match holds white space only at its beginning or is white space alone, so a cut is safe
-    after anything but white space.
+    The ids of the matches met last are ``known``; when these are half of ``_UNITS`` they become
+    ``pieces``, the ones met before, which are known again when they are met again.
     """
-    held = None
-    for chunk in text.split(" "):
-        held = chunk if held is None else f"{held} {chunk}"
-        if held and not held[-1].isspace():
-            yield held
-            held = ""
-    if held:
-        yield held
-
-
-class Encoder:
-    """Whole texts to ids: each match of the pattern apart, a token of its own if it is one."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.machine = Transducer(ranks)
@@ -244,31 +256,18 @@ class Encoder:
         return array("I", ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        found = self._ids(piece)
+        found = self.pieces.get(piece) or self._ids(piece)
         if len(piece) <= _LONGEST_UNIT:
-            if len(self.pieces) >= _UNITS:
-                self.pieces.clear()
-            self.pieces[piece] = found
-        return found
-
-    def _unit(self, unit: str) -> bytes:
-        """A word meets many signs beside it, so its own ids are kept too, unless it stands alone."""
-        pieces, parts = self.pieces, self.find(unit)
-        if len(parts) == 1:
-            found = pieces.get(parts[0]) or self._ids(parts[0])
-        else:
-            found = b"".join([pieces.get(piece) or self._piece(piece) for piece in parts])
-        if len(unit) <= _LONGEST_UNIT:
-            if len(self.known) >= _UNITS:
-                self.known.clear()
-            self.known[unit] = found
+            if len(self.known) >= max(_UNITS // 2, 1):
+                self.pieces, self.known = self.known, {}
+            self.known[piece] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        known, out = self.known, []
-        for unit in units(text):
-            found = known.get(unit)
-            out.append(self._unit(unit) if found is None else found)
+        pieces = self.find(text)
+        out = list(map(self.known.get, pieces))
+        for i in [i for i, found in enumerate(out) if found is None]:
+            out[i] = self.known.get(pieces[i]) or self._piece(pieces[i])
         return b"".join(out)
 
 

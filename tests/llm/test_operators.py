@@ -1,5 +1,6 @@
 """Edge cases of the operators: nulls, empty and long texts, ties, repeats, clashing columns."""
 
+import itertools
 import random
 import re
 import time
@@ -380,6 +381,18 @@ def test_units_kept_are_few_and_not_kept_twice(monkeypatch):
         assert most == 2 or {" three", " five"} <= encoder.known.keys() - encoder.pieces.keys()
 
 
+def test_matches_met_often_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(bpe, "_UNITS", 8)
+    encoder, coded = bpe.Encoder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN), []
+    ids = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda piece: coded.append(piece) or ids(piece))
+    rare = ["".join(x) for x in itertools.product("bkz", repeat=4)]
+    for word in rare:
+        encoder.encode(f" often {word}")
+    assert coded.count(" often") == 1 and len(coded) == 1 + len(rare)
+    assert len(encoder.known) + len(encoder.pieces) <= 8
+
+
 def test_encoding_agrees_with_the_library():
     ranks = bpe.read_ranks(RANKS)
     library = tiktoken.Encoding(
