@@ -352,9 +352,15 @@ def _prepare(
             "hi": F.max("node").over(everyone),
             "any": F.max("early").over(everyone),
             "rows": F.count(F.lit(1)).over(everyone),
+            "most": F.min(F.col("n") - F.col("at")).over(everyone),
+            "both": F.sum("n").over(everyone),
         }
     ).where("lo < hi AND any")
-    regions = stored(_sifted(regions, ["node"], share, parts), "join-regions")
+    # Most are two documents that meet in a rare shingle by chance. In the first region that two
+    # linked documents share, neither has common shingles before its place.
+    able = _linked(F.col("most"), F.col("both"), F.lit(0), share, parts)
+    regions = regions.where((F.col("rows") > 2) | able).select(*_OWN).distinct()
+    regions = stored(regions, "join-regions")
     regions = stored(_first_of_equal(regions), "join-regions")
 
     def whole(wanted: DataFrame) -> DataFrame:
@@ -425,22 +431,20 @@ def ngram_join(
     ).withColumnRenamed("n", "n_shingles")
 
 
-def _sifted(regions: DataFrame, names: list[str], share: int, parts: int) -> DataFrame:
-    """Distinct members of regions of so many ``rows``, in small ones only those that may be
-    linked to a member of another name (the last of ``names``) by their sizes and places. In the
-    first region that two linked documents share, neither has common shingles before its place, so
-    they pass there; most that meet in a rare shingle by chance do not. A small region is one
-    array, larger ones are arrays of one member each."""
-    member = F.struct(*names, "n", "at", "early")
+def _sifted(regions: DataFrame, share: int, parts: int) -> DataFrame:
+    """Members of regions of so many ``rows``, in small ones only those that may be linked to a
+    member of another component by their sizes and places. A small region is one array, larger
+    ones are arrays of one member each."""
+    member = F.struct("node", "component", "n", "at", "early")
     apart = F.when(F.col("rows") > SIFT, F.col("node"))
     groups = regions.groupBy("region", "rows", apart.alias("apart")).agg(
-        F.collect_set(member).alias("members")
+        F.collect_list(member).alias("members")
     )
 
     def partner(x: Column) -> Callable[[Column], Column]:
         def meets(y: Column) -> Column:
             most = F.least(x["n"] - x["at"], y["n"] - y["at"])
-            return (x[names[-1]] != y[names[-1]]) & _linked(most, x["n"], y["n"], share, parts)
+            return (x["component"] != y["component"]) & _linked(most, x["n"], y["n"], share, parts)
 
         return meets
 
@@ -587,7 +591,7 @@ def _leaf_pairs(
     little more than its members unless most of a large region is lone.
     """
     here = _open(leaves, labels).withColumnRenamed("members", "rows")
-    here = stored(_sifted(here, ["node", "component"], share, parts), "join-leaves")
+    here = stored(_sifted(here, share, parts), "join-leaves")
     alike = here.groupBy("region", "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
     home = alike.groupBy("region").agg(
         F.max(F.struct("members", "n", "component")).alias("home"),
