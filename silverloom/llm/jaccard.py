@@ -47,8 +47,6 @@ LEAF = 512
 STAR_LEVELS = 1
 #: A region is split by its pivot if at most one member of so many is in the boundary.
 SPLIT = 5
-#: Largest region, in rows, whose members without a possible partner are dropped.
-SIFT = 32
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
 _BYTES = 2 << 20
 _SEEN = 100_000
@@ -346,21 +344,19 @@ def _prepare(
     everyone = Window.partitionBy("region").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    regions = keyed.withColumns(
-        {
-            "lo": F.min("node").over(everyone),
-            "hi": F.max("node").over(everyone),
-            "any": F.max("early").over(everyone),
-            "rows": F.count(F.lit(1)).over(everyone),
-            "most": F.min(F.col("n") - F.col("at")).over(everyone),
-            "both": F.sum("n").over(everyone),
-        }
-    ).where("lo < hi AND any")
-    # Most are two documents that meet in a rare shingle by chance. In the first region that two
-    # linked documents share, neither has common shingles before its place.
-    able = _linked(F.col("most"), F.col("both"), F.lit(0), share, parts)
-    regions = regions.where((F.col("rows") > 2) | able).select(*_OWN).distinct()
-    regions = stored(regions, "join-regions")
+    regions = stored(
+        keyed.withColumns(
+            {
+                "lo": F.min("node").over(everyone),
+                "hi": F.max("node").over(everyone),
+                "any": F.max("early").over(everyone),
+            }
+        )
+        .where("lo < hi AND any")
+        .select("region", "node", "n", "at", "early")
+        .distinct(),
+        "join-regions",
+    )
     regions = stored(_first_of_equal(regions), "join-regions")
 
     def whole(wanted: DataFrame) -> DataFrame:
@@ -395,10 +391,9 @@ def ngram_join(
     frequency table and counts reach the driver. Every level of the recursion is stored.
     """
     described, with_id, _, regions, whole = _prepare(docs, doc_id, text, size, share, parts)
+    nodes = with_id.groupBy("node").agg(F.first("n").alias("n"), F.max("slices").alias("slices"))
     placed = regions.select("node").distinct()
-    nodes = split_join(with_id.select("node", "n", "slices"), placed, ["node"], "left_semi")
-    nodes = nodes.groupBy("node").agg(F.first("n").alias("n"), F.max("slices").alias("slices"))
-    nodes = stored(nodes, "join-slices")
+    nodes = stored(split_join(nodes, placed, ["node"], "left_semi"), "join-slices")
     labels = nodes.select("node", F.col("node").alias("component"))
     labels = stored(labels, "join-labels")
     leaves, level = [], 0
@@ -431,28 +426,6 @@ def ngram_join(
     ).withColumnRenamed("n", "n_shingles")
 
 
-def _sifted(regions: DataFrame, share: int, parts: int) -> DataFrame:
-    """Members of regions of so many ``rows``, in small ones only those that may be linked to a
-    member of another component by their sizes and places. A small region is one array, larger
-    ones are arrays of one member each."""
-    member = F.struct("node", "component", "n", "at", "early")
-    apart = F.when(F.col("rows") > SIFT, F.col("node"))
-    groups = regions.groupBy("region", "rows", apart.alias("apart")).agg(
-        F.collect_list(member).alias("members")
-    )
-
-    def partner(x: Column) -> Callable[[Column], Column]:
-        def meets(y: Column) -> Column:
-            most = F.least(x["n"] - x["at"], y["n"] - y["at"])
-            return (x["component"] != y["component"]) & _linked(most, x["n"], y["n"], share, parts)
-
-        return meets
-
-    some = F.filter("members", lambda x: F.exists("members", partner(x)))
-    kept = F.when(F.col("rows") > SIFT, F.col("members")).otherwise(some)
-    return groups.select("region", F.explode(kept).alias("m")).select("region", "m.*")
-
-
 def _first_of_equal(regions: DataFrame) -> DataFrame:
     """Of regions with the same members, the one whose shingle comes first in the order. Two
     documents' first common region stays: one before it would be common to them too."""
@@ -590,8 +563,7 @@ def _leaf_pairs(
     guests in a group of its own. So a region of any size is spread over tasks, and its rows are
     little more than its members unless most of a large region is lone.
     """
-    here = _open(leaves, labels).withColumnRenamed("members", "rows")
-    here = stored(_sifted(here, share, parts), "join-leaves")
+    here = stored(_open(leaves, labels).select(*_OWN, "component"), "join-leaves")
     alike = here.groupBy("region", "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
     home = alike.groupBy("region").agg(
         F.max(F.struct("members", "n", "component")).alias("home"),
