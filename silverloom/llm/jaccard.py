@@ -50,7 +50,7 @@ SPLIT = 5
 #: Largest region, in rows, whose members without a possible partner are dropped.
 SIFT = 32
 #: Bytes of text hashed at a time, and sets that a task remembers having sent.
-_BYTES = 2 << 20
+_BYTES = 1 << 18
 _SEEN = 100_000
 
 #: Sets, and shingles in them, that a block of a region has on average.

@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -571,3 +572,62 @@ def test_common_lines_are_removed(spark):
     )
     good = {r.doc_id: r.text for r in lines.keep_good(df).collect()}
     assert good == {k: t for k, t in want.items() if k < 60}
+
+
+def test_common_lines_are_found_without_moving_texts(spark):
+    rng = random.Random(5)
+    body = {k: " ".join(words(k, 60)) for k in range(1200)}
+    extra = ["Shared  line", "shared line\r", " other SHARED line", "rare line", "", " \t"]
+    rows = []
+    for k in range(1200):
+        parts = [body[k], *rng.choices(extra[:3] + extra[4:], k=rng.randrange(6))]
+        parts += ["rare line"] * (k < 10) + ["shared line"] * (300 * (k == 7))
+        rng.shuffle(parts)
+        rows.append((k, "\n".join(parts) if k % 50 else "too few words", ["a", "b", None][k % 3]))
+    rows += [(2000, None, "a"), (2001, "", None)]
+
+    def normal(line):
+        return re.sub("[ \t-\r]+", " ", line).strip(" ").translate({i: i + 32 for i in range(65, 91)})
+
+    having, texts = {}, {}
+    for text, host in {(t, h) for _, t, h in rows if t}:
+        texts[host] = texts.get(host, 0) + 1
+        for line in {normal(x) for x in text.split("\n")} - {""}:
+            having[host, line] = having.get((host, line), 0) + 1
+    gone = {k for k, n in having.items() if n > 10 and n > texts[k[0]] * 0.05}
+    clean, good = {}, {}
+    for k, text, host in rows:
+        parts = (text or "").split("\n")
+        left = "\n".join(x for x in parts if (host, normal(x)) not in gone)
+        clean[k] = None if text is None else left
+        n, repeated = len((text or "").split()), k == 7
+        if n >= 50 and not repeated and len(left.split()) >= 0.2 * n:
+            good[k] = left
+    assert 1100 < len(good) < 1200 and len(gone) == 6
+
+    schema = DOC + ", source string, n_words string"
+    df = spark.createDataFrame([(*r, "own") for r in rows], schema)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8k")
+    try:
+        for work, want in ((lines.remove_common_lines, clean), (lines.keep_good, good)):
+            got = work(df)
+            assert got.columns == df.columns
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+            assert {r.doc_id: r.text for r in got.collect()} == want
+            assert {r.n_words for r in got.collect()} == {"own"}
+        spark.conf.set(name, "-1")
+        assert {r.doc_id: r.text for r in lines.keep_good(df).collect()} == good
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_texts_are_hashed_in_small_slices():
+    column = pa.array([" ".join(words(i, 400)) for i in range(2000)])
+    tracemalloc.start()
+    for _, data, offsets in jaccard._slices(column):
+        jaccard._Texts(data, offsets, 5)
+    assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    tracemalloc.stop()
