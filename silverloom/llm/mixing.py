@@ -111,7 +111,7 @@ def mix_sources(
         F.col("capped"), (total * max_epochs).cast("double")
     ).otherwise(w.cast("double") * n.cast("double") / d.cast("double"))
     whole = F.when(F.col("capped"), F.lit(max_epochs)).when(
-        total > 0, F.floor(_exact(w * n) / (_exact(d) * _exact(total)))
+        total > 0, F.floor(_exact(w) * _exact(n) / (_exact(d) * _exact(total)))
     ).otherwise(0).cast("int")
     goal = filled.select(
         "__source", "source_size", words_.alias("target"), whole.alias("__whole")

@@ -1,6 +1,7 @@
 """Edge cases of the operators: nulls, empty and long texts, ties, repeats, clashing columns."""
 
 import itertools
+import math
 import random
 import re
 import time
@@ -387,6 +388,21 @@ def test_mixing_edges(spark):
     assert [(r.size, r.target) for r in only] == [(0, 0.0)] * 21
 
 
+def test_mixing_is_the_same_at_every_size(spark):
+    """Doubled sizes are as many classes further up, so the mix takes each row as often. Weight
+    times words passes 2^31 in the second case, where the words do not, and 2^33 in the third."""
+    rng = random.Random(6)
+    rows = [(i, "abc"[i % 3], rng.randrange(1, 10)) for i in range(60)]
+    total = sum(n for _, _, n in rows)
+    assert total * 2**22 < 2**31 < 3 * total * 2**22
+    df, reps = spark.createDataFrame(rows, "doc_id long, source string, n long"), []
+    for factor in (1, 2**22, 2**32):
+        got = mixing.mix_sources(df, F.col("n") * factor).collect()
+        assert all(math.isclose(r.target, "?abc".index(r.source) * total * factor / 6) for r in got)
+        reps.append({r.doc_id: r.reps for r in got})
+    assert reps[0] == reps[1] == reps[2] and set(reps[0].values()) == {0, 1, 2}
+
+
 # Byte-level BPE
 
 
