@@ -7,6 +7,7 @@ import re
 import time
 import tracemalloc
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -403,6 +404,22 @@ def test_mixing_is_the_same_at_every_size(spark):
     assert reps[0] == reps[1] == reps[2] and set(reps[0].values()) == {0, 1, 2}
 
 
+def test_mixture_stage_at_sizes_whose_weighted_sum_passes_32_bits(spark, monkeypatch):
+    rows = [(i, " ".join(words(i, 1 + i % 9)), "en", "abc"[i % 3], 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted(corpus_pipeline.mixture(spark, docs, "").collect())
+    factor = 2**31 // sum(1 + i % 9 for i in range(60)) - 1
+
+    def mix(docs, size):
+        return mixing.mix_sources(docs, size.cast("long") * factor)
+
+    monkeypatch.setattr(corpus_pipeline, "mix_sources", mix)
+    got = sorted(corpus_pipeline.mixture(spark, docs, "").collect())
+    assert {r.doc_id for r in got} and abs(len(got) - len(want)) <= 3
+    taken = sum(len(r.text.split()) for r in got)
+    assert abs(taken - sum(1 + i % 9 for i in range(60))) <= 9
+
+
 # Byte-level BPE
 
 
